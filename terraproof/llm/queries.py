@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from terraproof.llm.q02_quality import SQL as OP2_SQL
+from terraproof.llm.q02_quality import op2_quality
 from terraproof.llm.q04_bpe import op4_bpe
 from terraproof.llm.q07_media import op7_media
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op4_bpe": op4_bpe,
     "op7_media": op7_media,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_quality": OP2_SQL,
+}
