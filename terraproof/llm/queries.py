@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from terraproof.llm.q01_simhash import op1_simhash
 from terraproof.llm.q02_quality import SQL as OP2_SQL
 from terraproof.llm.q02_quality import op2_quality
 from terraproof.llm.q04_bpe import op4_bpe
@@ -9,6 +10,7 @@ from terraproof.llm.q07_media import op7_media
 from terraproof.llm.q10_packing import op10_packing
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op4_bpe": op4_bpe,
     "op7_media": op7_media,
