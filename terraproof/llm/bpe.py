@@ -10,7 +10,9 @@ bottom-up. Around each join a window is encoded anew and grown until both sides
   adjacent pair of tokens then stands next to each other in some correct encoding, which is what makes the
   joined sequence the correct one. A window that reaches the end of a side needs no agreement there.
 
-Encodings of short blank-free runs are kept in a bounded cache, as natural text repeats them.
+Encodings of short blank-free runs are kept in a bounded cache, as natural text repeats them. A new run made of
+Western European letters and a tail of ASCII signs without apostrophe is two pre-tokens at most and goes to the
+library's merge model directly; every other run goes through the library's whole chain.
 Texts longer than ``spread`` are cut into leaves that Spark deals out to different tasks; all others stay in the
 task that reads them. Both ways run the same joins and give the same ids.
 
@@ -21,6 +23,7 @@ give repeated results. Input columns other than the id and the text are not look
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,6 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from terraproof.llm.cache import Recent, byte_letters
+
+#: Letters without any normal form but their own, then signs that make one pre-token.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 BLANKS = " \t\n\x0b\x0c\r"
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -55,11 +62,12 @@ class TreeEncoder:
     def __init__(self, path: str, leaf: int = 4096, margin: int = 64, cache: int = 250_000):
         if leaf < 1 or margin < 1:
             raise ValueError("leaf and margin are at least 1")
-        self.tokenizer, self.leaf, self.margin, self.limit = Tokenizer.from_file(path), leaf, margin, cache
+        self.tokenizer, self.leaf, self.margin = Tokenizer.from_file(path), leaf, margin
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.token = {i: x for x, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}.__getitem__
-        self.known: dict[str, Encoded] = {}
+        self.known, self.parts, self.letters = Recent(cache), Recent(cache), byte_letters()
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
 
     # runs -----------------------------------------------------------------
 
@@ -85,26 +93,39 @@ class TreeEncoder:
                 return left[: head[0]] + window[head[1] : tail[1]] + right[tail[0] :]
             width *= 2
 
-    def _encode_new(self, runs: list[str]) -> None:
-        short = [x for x in runs if len(x) <= self.leaf]
-        if len(self.known) + len(runs) > self.limit:
-            self.known.clear()
-        for x, e in zip(short, self.tokenizer.encode_batch_fast(short, add_special_tokens=False), strict=True):
-            self.known[x] = Encoded(e.ids, list(map(self.token, e.ids)))
-        for x in runs:
-            if len(x) > self.leaf:
-                ids = [i for i, _, _ in self._long_run(x)]
-                self.known[x] = Encoded(ids, list(map(self.token, ids)))
+    def _part(self, text: str) -> Encoded:
+        """One pre-token of plain letters or signs."""
+        found = self.parts.young.get(text) or self.parts.old_or_none(text)
+        if found is None:
+            tokens = self.tokenizer.model.tokenize(text if text.isascii() else text.encode().decode("latin-1").translate(self.letters))
+            found = Encoded([x.id for x in tokens], [x.value for x in tokens])
+            self.parts.put(text, found)
+        return found
+
+    def _new(self, run: str) -> Encoded:
+        plain = PLAIN.fullmatch(run)
+        if plain and not any(x in run for x in self.special):
+            word = self._part(plain[1].lower())
+            if not plain[2]:
+                return word
+            tail, both = self._part(plain[2]), Encoded((), ())
+            both.ids, both.tokens, both.n = f"{word.ids} {tail.ids}", f"{word.tokens} {tail.tokens}", word.n + tail.n
+            return both
+        ids = self.tokenizer.encode(run, add_special_tokens=False).ids if len(run) <= self.leaf else [i for i, _, _ in self._long_run(run)]
+        return Encoded(ids, list(map(self.token, ids)))
 
     def _runs(self, runs: list[str]) -> list[Encoded]:
-        out = list(map(self.known.get, runs))
+        out = list(map(self.known.young.get, runs))
         if None in out:
-            missing = list(dict.fromkeys(x for x, e in zip(runs, out, strict=True) if e is None))
-            have = {x: e for x, e in zip(runs, out, strict=True) if e is not None}
-            self._encode_new(missing)
-            out = [have.get(x) or self.known[x] for x in runs]
-            for x in [x for x in missing if len(x) > self.leaf]:
-                del self.known[x]
+            young = self.known.young
+            for k, e in enumerate(out):
+                if e is None:
+                    run = runs[k]
+                    out[k] = e = young.get(run) or self.known.old_or_none(run) or self._new(run)
+                    if len(run) <= 64:
+                        young[run] = e
+            self.known.turn()
+            self.parts.turn()
         return out
 
     # pieces ---------------------------------------------------------------
