@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,46 +26,74 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from terraproof.llm.cache import Recent, byte_letters
+
 #: Fixed value: how this vocabulary's files split text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: At most one blank and letters, then signs that make one pre-token.
+PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class ByteBpe:
     """Ids of a text by a byte-level vocabulary, through a bounded cache of its parts.
 
+    A new part made of at most one blank, Western European letters and a tail of ASCII signs without apostrophe is
+    two pre-tokens at most and goes to the library's merge model directly; others go through its whole chain.
+
     A blank or line feed between two visible characters always begins a new pre-token, so that a text without
     adjacent white space is cut there. Other texts are cut by the pattern itself. Texts that hold a special
     token go to the library whole.
     """
 
-    def __init__(self, path: str, cache: int = 300_000):
-        self.tokenizer, self.limit = Tokenizer.from_file(path), cache
+    def __init__(self, path: str, cache: int = 400_000):
+        self.tokenizer, self.letters = Tokenizer.from_file(path), byte_letters()
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.pattern, self.adjacent = regex.compile(PATTERN), re.compile(r"\s\s|\x00|[\x1c-\x1f\x85]")
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.known, self.cores = Recent(cache), Recent(cache)
+        self.known.put("", b"")
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _core(self, text: str) -> bytes:
+        """One pre-token."""
+        found = self.cores.young.get(text) or self.cores.old_or_none(text)
+        if found is None:
+            letters = text.replace(" ", self.letters[32]) if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+            found = array("I", [x.id for x in self.tokenizer.model.tokenize(letters)]).tobytes()
+            self.cores.put(text, found)
+        return found
+
+    def _new(self, part: str) -> bytes:
+        if plain := PLAIN.fullmatch(part):
+            return self._core(plain[1]) + self._core(plain[2]) if plain[2] else self._core(plain[1])
+        return self._whole(part) if part else b""
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         if any(x in text for x in self.special):
-            return self._whole([text])[0]
+            return self._whole(text)
         if self.adjacent.search(text):
             parts = self.pattern.findall(text)
         else:
             parts = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-        found = list(map(self.known.get, parts))
+        found = list(map(self.known.young.get, parts))
         if None in found:
-            new = list(dict.fromkeys(x for x, b in zip(parts, found, strict=True) if b is None))
-            fresh = dict(zip(new, self._whole(new), strict=True))
-            found = [fresh[x] if b is None else b for x, b in zip(parts, found, strict=True)]
-            if len(self.known) + len(fresh) > self.limit:
-                self.known = {"": b""}
-            self.known.update((x, b) for x, b in fresh.items() if len(x) < 64)
+            young = self.known.young
+            for k, b in enumerate(found):
+                if b is None:
+                    part = parts[k]
+                    b = young.get(part)
+                    if b is None:
+                        b = self.known.old_or_none(part)
+                    found[k] = b = self._new(part) if b is None else b
+                    if len(part) <= 64:
+                        young[part] = b
+            self.known.turn()
+            self.cores.turn()
         return b"".join(found)
 
 
