@@ -100,6 +100,7 @@ def with_figures(df: DataFrame, text_col: str) -> DataFrame:
         P + "n_lines": F.size(c("lines")).cast("long"),
         P + "n_dup_lines": (F.size(c("lines")) - F.size(F.array_distinct(c("lines")))).cast("long"),
         P + "n_repeat_words": F.when(distinct == F.size(c("keys")), 0).otherwise(_repeat_words(c("words"), c("keys"), c("n"))).cast("long"),
+        P + "task": F.spark_partition_id(),
     })
     return df.drop(*(P + x for x in ("text", "words", "lines", "n", "keys")))
 
@@ -129,5 +130,9 @@ def score_quality(df: DataFrame, id_col: str, text_col: str, rules: tuple[Rule,
 
 
 def keep_good(df: DataFrame, text_col: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``df`` that pass, with the columns of ``df``."""
-    return with_figures(df, text_col).filter(verdict(rules)).select(*df.columns)
+    """The rows of ``df`` that pass, with the columns of ``df``.
+
+    The task number keeps the optimizer from moving the filter below the projection, which would write the
+    figures' expressions out again for every use.
+    """
+    return with_figures(df, text_col).filter(verdict(rules) & (F.col(P + "task") >= 0)).select(*df.columns)

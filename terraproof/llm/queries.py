@@ -7,6 +7,7 @@ from terraproof.llm.q02_quality import SQL as OP2_SQL
 from terraproof.llm.q02_quality import op2_quality
 from terraproof.llm.q04_bpe import op4_bpe
 from terraproof.llm.q07_media import op7_media
+from terraproof.llm.q09_language import op9_language
 from terraproof.llm.q10_packing import op10_packing
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op4_bpe": op4_bpe,
     "op7_media": op7_media,
+    "op9_language": op9_language,
     "op10_packing": op10_packing,
 }
 ORACLES: dict[str, str] = {
