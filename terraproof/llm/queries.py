@@ -6,6 +6,7 @@ from terraproof.llm.q01_simhash import op1_simhash
 from terraproof.llm.q02_quality import SQL as OP2_SQL
 from terraproof.llm.q02_quality import op2_quality
 from terraproof.llm.q04_bpe import op4_bpe
+from terraproof.llm.q05_html import op5_html
 from terraproof.llm.q06_urls import op6_urls
 from terraproof.llm.q07_media import op7_media
 from terraproof.llm.q08_chat import SQL as OP8_SQL
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op4_bpe": op4_bpe,
+    "op5_html": op5_html,
     "op6_urls": op6_urls,
     "op7_media": op7_media,
     "op8_chat": op8_chat,
