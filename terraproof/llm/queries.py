@@ -5,6 +5,7 @@ from __future__ import annotations
 from terraproof.llm.q01_simhash import op1_simhash
 from terraproof.llm.q02_quality import SQL as OP2_SQL
 from terraproof.llm.q02_quality import op2_quality
+from terraproof.llm.q03_suffix_tree import op3_suffix_tree
 from terraproof.llm.q04_bpe import op4_bpe
 from terraproof.llm.q05_html import op5_html
 from terraproof.llm.q06_urls import op6_urls
@@ -17,6 +18,7 @@ from terraproof.llm.q10_packing import op10_packing
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op3_suffix_tree": op3_suffix_tree,
     "op4_bpe": op4_bpe,
     "op5_html": op5_html,
     "op6_urls": op6_urls,
