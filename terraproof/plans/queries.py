@@ -256,11 +256,11 @@ def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.select("*", (F.col("pos") * 40.0).alias("left"), (F.col("line_id") * 20.0).alias("top"), (F.length("text") * 7.0).alias("width"), F.lit(12.0).alias("height"), ((50.0 + F.length("text") % 50) / 100).alias("confidence"))
 
 
-@query(WORDS_SQL + """, g AS (SELECT doc_id, line_id, trim(regexp_replace(string_agg(text, ' ' ORDER BY pos), '\\s+', ' ', 'g')) AS t, round(avg(confidence), 6) AS confidence, min(lft) AS "left", min(tp) AS top, max(lft + width) AS "right", max(tp + height) AS bottom FROM w GROUP BY doc_id, line_id)
+@query(WORDS_SQL + """, g AS (SELECT doc_id, line_id, trim(regexp_replace(string_agg(text, ' ' ORDER BY pos), '\\s+', ' ', 'g')) AS t, round(avg(confidence) + 1e-9, 6) AS confidence, min(lft) AS "left", min(tp) AS top, max(lft + width) AS "right", max(tp + height) AS bottom FROM w GROUP BY doc_id, line_id)
 SELECT doc_id, line_id, confidence, "left", top, "right", bottom FROM g WHERE t <> ''""")
 def line_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = semantics.group_words(_words(spark, sf_dir), ["doc_id", "line_id"])
-    return lines.select("doc_id", "line_id", F.round("confidence", 6).alias("confidence"), "left", "top", "right", "bottom")
+    return lines.select("doc_id", "line_id", F.round(F.col("confidence") + 1e-9, 6).alias("confidence"), "left", "top", "right", "bottom")
 
 
 @query(WORDS_SQL + "SELECT doc_id, line_id, sha256(trim(regexp_replace(string_agg(text, ' ' ORDER BY pos), '\\s+', ' ', 'g'))) AS digest FROM w GROUP BY doc_id, line_id HAVING trim(regexp_replace(string_agg(text, ' ' ORDER BY pos), '\\s+', ' ', 'g')) <> ''")
