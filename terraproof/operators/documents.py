@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraproof.functions.text import classify_document, rank_attachment, status_eligible, status_reason
@@ -10,16 +10,21 @@ from terraproof.functions.text import classify_document, rank_attachment, status
 MIMES = ("application/pdf", "image/png", "image/jpeg", "image/tiff")
 
 
-def manifest_violations(entries: DataFrame) -> DataFrame:
-    """Rows (url, file, bytes, sha256, mime) that break a manifest's rules, with the first rule broken."""
-    broken = (
-        F.when(~F.coalesce(F.col("url"), F.lit("")).rlike("^https://[^/]+"), "url-not-https")
-        .when(F.coalesce(F.col("file"), F.lit("")).rlike(r"^$|^/|(^|/)\.\.(/|$)"), "file-not-inside")
-        .when(~F.coalesce(F.col("mime"), F.lit("")).isin(*MIMES), "mime-not-allowed")
+def broken_rule() -> Column:
+    """The first rule that a manifest entry (url, file, bytes, sha256, mime) breaks, or null."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return (
+        F.when(~text("url").rlike("^https://[^/]+"), "url-not-https")
+        .when(text("file").rlike(r"^$|^/|(^|/)\.\.(/|$)"), "file-not-inside")
+        .when(~text("mime").isin(*MIMES), "mime-not-allowed")
         .when(F.coalesce(F.col("bytes"), F.lit(-1)) < 0, "bytes-not-counted")
-        .when(~F.coalesce(F.col("sha256"), F.lit("")).rlike("^[a-fA-F0-9]{64}$"), "sha256-malformed")
+        .when(~text("sha256").rlike("^[a-fA-F0-9]{64}$"), "sha256-malformed")
     )
-    return entries.withColumn("broken", broken).filter("broken IS NOT NULL")
+
+
+def manifest_violations(entries: DataFrame) -> DataFrame:
+    """The entries that break a rule, with the rule."""
+    return entries.withColumn("broken", broken_rule()).filter("broken IS NOT NULL")
 
 
 def verify_files(entries: DataFrame, files: DataFrame) -> DataFrame:
