@@ -38,3 +38,14 @@ def cut(df: DataFrame) -> DataFrame:
 def id_crc32(id_column: str) -> Column:
     """CRC-32 of an id's decimal text."""
     return F.crc32(F.col(id_column).cast("string").cast("binary"))
+
+
+def bound_batches(rows: int = 2000) -> None:
+    """Fewer rows in an Arrow batch than Spark's default, which would bring 10,000 whole texts into a worker at once.
+
+    A number that the session's owner has chosen stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark = SparkSession.active()
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(rows))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from terraproof.llm.cache import Recent, byte_letters
+from terraproof.llm.common import bound_batches
 
 #: Fixed value: how this vocabulary's files split text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -145,6 +146,7 @@ def pack(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
 
 def tokenize(df: DataFrame, id_col: str, text_col: str, path: str, capacity: int, closing: int) -> DataFrame:
     """One row per piece: id, start, length, digest of its ids, tokens of its document."""
+    bound_batches()
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     end = np.array([closing], "<u4").tobytes()
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from terraproof.llm.common import cut
+from terraproof.llm.common import bound_batches, cut
 from terraproof.llm.components import connected_components
 
 SEED = 42
@@ -84,6 +84,7 @@ def fingerprint_column(text: Column, width: int = 3) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series(fingerprints(texts.tolist(), width))
 
+    bound_batches()
     return pandas_udf(run, "long")(text)
 
 
