@@ -35,7 +35,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, "doc_id", "text", tokenizer_file("byte_bpe_50k.json"))
+    """A smaller cache than the packing query's, as the stages share their workers' memory."""
+    return pack_documents(docs, "doc_id", "text", tokenizer_file("byte_bpe_50k.json"), cache=100_000)
 
 
 STAGES = [
