@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from terraproof.llm.cache import Recent, byte_letters
+from terraproof.llm.common import cut
 
 #: Letters without any normal form but their own, then signs that make one pre-token.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -216,11 +217,11 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, leaf: int
     id_type = rows.schema["_id"].dataType.simpleString()
 
     def here(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = encoder(path, leaf, margin)
+        e, apart = encoder(path, leaf, margin), (None,) * len(names)
         for pdf in batches:
-            out = pd.DataFrame([_row(e.encode(x), texts) for x in pdf["_text"]], columns=names)
+            out = pd.DataFrame([(*apart, x) if len(x) > spread else (*_row(e.encode(x), texts), None) for x in pdf["_text"]], columns=[*names, "_long"])
             out.insert(0, "_id", pdf["_id"].array)
-            yield out
+            yield out.astype({"n_tokens": "Int64"})
 
     def joined(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         e = encoder(path, leaf, margin)
@@ -228,9 +229,11 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, leaf: int
         piece = e.join_all(list(map(e.encode, parts)))
         return pd.DataFrame([(key[0], *_row(piece, texts))], columns=["_key", *names])
 
-    short = rows.filter(F.length("_text") <= spread).mapInPandas(here, f"_id {id_type}, {result}")
+    # one pass over the table: results of all texts but the long ones, which come along as they are
+    first = cut(rows.mapInPandas(here, f"_id {id_type}, {result}, _long string"))
+    short = first.filter("_long IS NULL").drop("_long")
     # One long text is one group: it is bounded by what a single row can hold. Copies are encoded once.
-    long = rows.filter(F.length("_text") > spread).withColumn("_key", F.sha2("_text", 256))
+    long = first.filter("_long IS NOT NULL").select("_id", F.col("_long").alias("_text")).withColumn("_key", F.sha2("_text", 256))
     n = F.ceil(F.length("_text") / F.lit(spread)).cast("int")
     cuts = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(k.alias("_at"), F.substr("_text", k * spread + 1, F.lit(spread)).alias("_part")))
     parts = long.dropDuplicates(["_key"]).select("_key", F.explode(cuts).alias("_x")).select("_key", "_x.*")
