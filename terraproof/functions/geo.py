@@ -78,3 +78,31 @@ def check_controls(points: Column, bbox: tuple[float, float, float, float]) -> C
     inside = F.filter(usable, lambda p: p["lat"].between(south - pad_lat, north + pad_lat) & p["lon"].between(west - pad_lon, east + pad_lon))
     reason = F.when(F.size(usable) < 3, "insufficient-control-points").when(F.size(pixels) < 3, "duplicate-control-pixels").when(F.size(inside) < 3, "control-points-outside-park-geofence")
     return F.struct(reason.isNull().alias("accepted"), reason.alias("reason"))
+
+
+def location_prior(*pairs: tuple[Column, Column]) -> Column:
+    """Struct (longitude, latitude) of the first pair of texts or numbers that is a place on earth."""
+    made = [F.struct(a.try_cast("double").alias("longitude"), b.try_cast("double").alias("latitude")) for a, b in pairs]
+    return F.coalesce(*(F.when(p["longitude"].between(-180, 180) & p["latitude"].between(-90, 90), p) for p in made))
+
+
+def explicit_controls(page: Column, *candidates: Column) -> Column:
+    """The first list of control points (x, y, lon, lat, page) with three or more for the page; a point without a page counts for any."""
+    mine = [F.filter(c, lambda p: F.coalesce(p["page"], page) == page) for c in candidates]
+    return F.coalesce(*(F.when(F.size(m) >= 3, m) for m in mine))
+
+
+def extent_controls(ring: Column, width: Column, height: Column) -> Column:
+    """Control points (x, y, lon, lat) of a raster's footprint, whose ring runs upper left, lower left, lower right, upper right."""
+    zero = F.lit(0.0)
+    pixels = F.array(*(F.struct(x.alias("x"), y.alias("y")) for x, y in ((zero, zero), (zero, height), (width, height), (width, zero))))
+    made = F.zip_with(pixels, F.slice(ring, 1, 4), lambda p, q: F.struct(p["x"].alias("x"), p["y"].alias("y"), q["lon"].alias("lon"), q["lat"].alias("lat")))
+    whole = (F.size(ring) >= 4) & (width > 0) & (height > 0) & ~F.exists(F.slice(ring, 1, 4), lambda q: q["lon"].isNull() | q["lat"].isNull())
+    return F.when(whole, made)
+
+
+def center(points: Column) -> Column:
+    """Struct (lon, lat): the mean of control points."""
+    n = F.nullif(F.size(points), F.lit(0))
+    mean = lambda c: F.aggregate(points, F.lit(0.0), lambda s, p: s + p[c]) / n
+    return F.struct(mean("lon").alias("lon"), mean("lat").alias("lat"))

@@ -184,3 +184,10 @@ def content_key(namespace: str, *parts: Column) -> Column:
     """Address of a result: namespace and digest of the namespace and the parts' JSON, fields in order of name."""
     body = F.to_json(F.struct(*parts))
     return F.concat(F.lit(namespace + "-"), F.sha2(F.concat(F.lit(namespace), F.lit("\u0000"), body), 256))
+
+
+def page_size(info: Column, page: int | None = None) -> Column:
+    """Struct (width, height) in points from a page-information text: the named page's line, else the common one, else the first."""
+    line = lambda p: rf"(?im)^Page\s+{p}size:\s*([0-9.]+)\s+x\s+([0-9.]+)\s+pts"
+    found = [F.struct(*(F.regexp_extract(F.coalesce(info, F.lit("")), line(p), k).try_cast("double").alias(n) for k, n in ((1, "width"), (2, "height")))) for p in ([rf"{int(page)}\s+"] if page is not None else []) + ["", r"\d+\s+"]]
+    return F.coalesce(*(F.when((s["width"] > 0) & (s["height"] > 0), s) for s in found))

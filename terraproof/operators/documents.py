@@ -114,3 +114,22 @@ def navigation(found: DataFrame, text_pattern: str, href_pattern: str, limit: in
     first = found.filter(wanted).withColumn("canonical", F.regexp_replace("resolved", "(?i)^http:", "https:")).groupBy("page_id", "canonical").agg(F.min(F.struct("position", "text")).alias("f"))
     rank = F.row_number().over(Window.partitionBy("page_id").orderBy("f.position"))
     return first.withColumn("rank", rank).filter(F.col("rank") <= limit).select("page_id", "rank", F.col("canonical").alias("url"), F.col("f.text").alias("text"))
+
+
+def hydrate_stats(verified: DataFrame) -> DataFrame:
+    """Counts and bytes of verified files by state."""
+    return verified.agg(
+        F.count(F.lit(1)).alias("entries"), F.count_if(F.col("state") == "reused").alias("reused"), F.count_if(F.col("state") == "missing").alias("missing"),
+        F.count_if(F.col("state") == "mismatch").alias("mismatch"), F.coalesce(F.sum(F.when(F.col("state") == "reused", F.col("bytes"))), F.lit(0)).alias("reused_bytes"),
+    )
+
+
+def group_applications(docs: DataFrame) -> DataFrame:
+    """Applications with their documents in order of ordinal; an application's documents are few."""
+    return docs.groupBy("application").agg(F.array_sort(F.collect_list(F.struct("ordinal", "url", "title"))).alias("documents"), F.sum("bytes").alias("bytes"))
+
+
+def page_candidates(candidates: DataFrame, most: int = 12) -> DataFrame:
+    """Registrations that were not rejected (status, method, alternatives): a method for each, and the first alternatives with their rank."""
+    ranked = F.transform(F.slice(F.coalesce("alternatives", F.array().cast("array<double>")), 1, most), lambda s, k: F.struct(s.alias("score"), (k + 1).alias("rank")))
+    return candidates.filter(F.col("status").isin("accepted", "candidate")).withColumns({"method": F.coalesce("method", F.lit("visual-registration")), "alternatives": ranked})
