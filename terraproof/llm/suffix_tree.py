@@ -9,9 +9,10 @@ proportion to the state above. A text is scored token by token in the longest ke
 How the work is dealt: texts are packed into blocks of bounded size, each with its own small vocabulary, and written
 once to the shared checkpoint folder. Word counts are summed over blocks, so a frequent word is one row per block
 and not one per occurrence, and go back to the blocks by a join on the word. Every n-gram count is taken in the
-blocks and summed over them. Only what has at least a fixed share of all training tokens enters the tree
-(``least_word`` for words and contexts, ``least_gram`` for what follows), so that its size is at most the inverse of
-those shares on each level, whatever the corpus; that is what is collected and broadcast.
+blocks, summed over them by the n-gram's key, and goes back to the blocks that hold the n-gram; so do the states.
+A context needs ``least`` training occurrences, so does what follows it; the model grows with the corpus and nothing
+of it is collected or broadcast. N-grams are told apart by 64-bit keys. Divergences are sums over what follows a
+context; each follower is counted by one of the blocks that hold it, so a frequent context is one row per block.
 
 Defined results: a null text is the empty text, which is one end. Repeated rows are scored and counted as often as
 they occur. Without training rows every probability is one, so both scores are 0. An empty table gives an empty
@@ -30,14 +31,18 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraproof.llm.common import ensure_checkpoint_dir
 
 END = ""
-BLOCK_TOKENS, BLOCK_WORDS = 4_000_000, 400_000
+BLOCK_TOKENS, BLOCK_WORDS = 1_500_000, 200_000
 BLOCK = "block long, ids array<{0}>, train array<boolean>, sizes array<int>, tokens binary, words binary, counts binary"
+#: The key of the start of a text.
+START = np.uint64(0x9E3779B97F4A7C15)
+ROWS = "kind int, block long, key long, n long, s double, a double, d double"
+TOLD = "block long, grams binary, totals binary, own binary, contexts binary, rests binary"
 #: Bits of an entry's key that hold its place in the block; the block stands above.
 PLACE_BITS = 30
 
@@ -90,6 +95,9 @@ def _blocks(df: DataFrame, id_col: str, text_col: str, is_train: Column) -> Data
     return rows.mapInPandas(run, BLOCK.format(rows.schema["id"].dataType.simpleString()))
 
 
+# The tree as one object, for small corpora: tests compare the tables below with it --------------------------------------
+
+
 @dataclass
 class Level:
     """The contexts of one length: (parent context, older token) -> context, and what follows each."""
@@ -254,10 +262,157 @@ def _logs(tree: Tree, symbols: np.ndarray, contexts: list[np.ndarray], counts: n
     return root, best
 
 
+# The tree as tables ---------------------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Rules:
+    total: int
+    texts: int
+    base: float
+    depth: int
+    least_context: int
+    least_gram: int
+    discount: float
+
+
+def _join(contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Keys of the contexts with one more token."""
+    x = (contexts ^ (contexts >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + tokens
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _before(x: np.ndarray) -> np.ndarray:
+    """The value of the token before; the first has none and keeps its own."""
+    out = x.copy()
+    out[1:] = x[:-1]
+    return out
+
+
+def _numbers(b, level: int, name: str, kind: type) -> np.ndarray:  # noqa: ANN001
+    held = getattr(b, f"{name}{level}", None)
+    return np.frombuffer(held, kind) if isinstance(held, (bytes, bytearray)) else np.zeros(0, kind)
+
+
+class Walk:
+    """A block's tokens with a start before each text, and what the tables say of them, level by level."""
+
+    def __init__(self, b, rules: Rules):  # noqa: ANN001
+        self.b, self.rules = b, rules
+        sizes, tokens = np.asarray(b.sizes, np.int64), unpack(b.tokens)
+        words, corpus = np.frombuffer(b.hashes, np.uint64), np.asarray(b.corpus, np.int64)
+        flat = np.insert(tokens, np.cumsum(sizes) - sizes, len(words))
+        self.real = flat < len(words)
+        self.own = sizes
+        self.train = np.repeat(np.asarray(b.train, bool), sizes + 1)
+        self.place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes + 1)
+        self.tokens = self.key = np.append(words, START)[flat]
+        self.seen = self.n = np.append(corpus, rules.texts)[flat]
+        self.root = self.best = np.log10((self.n + 1) / rules.base)
+        self.level = 0
+
+    def deeper(self) -> None:
+        """Goes to the n-grams with one token more: their contexts, and which of them can be frequent enough."""
+        self.level += 1
+        self.context, self.of = _before(self.key), _before(self.n)
+        self.usable = (self.place >= self.level) & (self.of >= self.rules.least_context)
+        self.at = np.flatnonzero(self.usable & (self.n >= self.rules.least_gram))
+        self.key = _join(self.context, self.tokens)
+
+    def count(self) -> pd.DataFrame:
+        keys, which = np.unique(self.key[self.at].view(np.int64), return_inverse=True)
+        n = np.bincount(which, self.train[self.at], len(keys)).astype(np.int64)
+        return pd.DataFrame({"kind": 0, "block": self.b.block, "key": keys, "n": n, "s": 0.0, "a": 0.0, "d": 0.0})
+
+    def look_up(self) -> None:
+        """The n-grams' training counts, 0 where they are below the least one."""
+        grams, totals = _numbers(self.b, self.level, "grams", np.int64), _numbers(self.b, self.level, "totals", np.int64)
+        place, found = _find(grams, self.key[self.at].view(np.int64))
+        self.n = np.zeros(len(self.key), np.int64)
+        self.n[self.at[found]] = totals[place[found]]
+
+    def weigh(self) -> pd.DataFrame:
+        """Each context's sums over the followers that this block speaks for: shares, shares above, divergence."""
+        grams, mine = _numbers(self.b, self.level, "grams", np.int64), _numbers(self.b, self.level, "own", np.bool_)
+        contexts, first = np.unique(self.context[self.usable].view(np.int64), return_index=True)
+        n = self.of[self.usable][first]
+        listed = np.flatnonzero(self.n > 0)
+        keys, one = np.unique(self.key[listed].view(np.int64), return_index=True)
+        one = listed[one[mine[_find(grams, keys)[0]]]] if len(keys) else listed
+        share, above = (self.n[one] - self.rules.discount) / self.of[one], 10 ** self.best[one]
+        where = np.searchsorted(contexts, self.context[one].view(np.int64))
+        add = lambda x: np.bincount(where, x, len(contexts))
+        return pd.DataFrame({"kind": 1, "block": self.b.block, "key": contexts, "n": n, "s": add(share), "a": add(above), "d": add(share * np.log(share / above))})
+
+    def score(self) -> None:
+        """Takes the kept contexts' shares into the probabilities."""
+        contexts, rests = _numbers(self.b, self.level, "contexts", np.int64), _numbers(self.b, self.level, "rests", np.float64)
+        at = np.flatnonzero(self.usable)
+        place, found = _find(contexts, self.context[at].view(np.int64))
+        at, place = at[found], place[found]
+        n = self.n[at]
+        best = self.best.copy()
+        best[at] = np.where(n > 0, np.log10(np.maximum(n - self.rules.discount, 1e-300) / self.of[at]), np.log10(rests[place]) + best[at])
+        self.best = best
+
+
+def _rows(known: DataFrame, rules: Rules, level: int) -> DataFrame:
+    """Counts of the n-grams of this level and sums of the contexts of the one above, as far as each block knows them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for b in pdf.itertuples():
+                walk = Walk(b, rules)
+                made = []
+                for k in range(1, level + 1):
+                    if k > rules.depth:
+                        break
+                    walk.deeper()
+                    if k == level:
+                        made.append(walk.count())
+                        break
+                    walk.look_up()
+                    if k == level - 1:
+                        made.append(walk.weigh())
+                    else:
+                        walk.score()
+                for rows in made:
+                    for at in range(0, len(rows), 100_000):
+                        yield rows.iloc[at : at + 100_000]
+
+    return known.mapInPandas(run, ROWS)
+
+
+def _told(rows: DataFrame, rules: Rules, gain: float, level: int) -> DataFrame:
+    """By block: the frequent ones of its n-grams, and the kept ones of its contexts."""
+    w = Window.partitionBy("kind", "key")
+    total = lambda c: F.sum(c).over(w)
+    sums = rows.select("kind", "block", "key", F.when(F.col("kind") == 0, total("n")).otherwise(F.col("n")).alias("n"), (F.min("block").over(w) == F.col("block")).alias("own"), total("s").alias("s"), total("a").alias("a"), total("d").alias("d"))
+    left, above = 1 - F.col("s"), 1 - F.col("a")
+    gained = F.col("d") + left * F.log(left / above)
+    kept = (F.col("s") > 0) & (left > 0) & (above > 0) & (gained >= gain) & (gained * F.col("n") >= math.log(max(1, rules.total)))
+    found = sums.filter(((F.col("kind") == 0) & (F.col("n") >= rules.least_gram)) | ((F.col("kind") == 1) & kept)).select("kind", "block", "key", "n", "own", F.when(F.col("kind") == 1, left / above).otherwise(0.0).alias("rest"))
+
+    def pack_block(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("key")
+        grams, contexts = pdf[pdf["kind"] == 0], pdf[pdf["kind"] == 1]
+        held = [x.to_numpy(kind).tobytes() for x, kind in ((grams["key"], np.int64), (grams["n"], np.int64), (grams["own"], np.bool_), (contexts["key"], np.int64), (contexts["rest"], np.float64))]
+        return pd.DataFrame([(pdf["block"].iloc[0], *held)], columns=["block", "grams", "totals", "own", "contexts", "rests"])
+
+    packed = found.groupBy("block").applyInPandas(pack_block, TOLD)
+    above_level = level - 1  # contexts of the level before come with the n-grams of this one
+    return packed.select("block", *(F.col(c).alias(f"{c}{level}") for c in ("grams", "totals", "own")), *(F.col(c).alias(f"{c}{above_level}") for c in ("contexts", "rests")))
+
+
 def score_texts(
-    df: DataFrame, id_col: str, text_col: str, is_train: Column, depth: int = 3, least_word: float = 1e-4, least_gram: float = 2e-6, gain: float = 0.02, discount: float = 0.5
+    df: DataFrame, id_col: str, text_col: str, is_train: Column, depth: int = 3, least_word: float = 0.0, least_gram: float = 0.0, gain: float = 0.02, discount: float = 0.5, least: int = 2
 ) -> DataFrame:
-    """One row per input row: id, train, n_tokens, n_known, train_tokens, base_score, score."""
+    """One row per input row: id, train, n_tokens, n_known, train_tokens, base_score, score.
+
+    ``least`` is the smallest training count of a context and of what follows it. ``least_word`` and ``least_gram``
+    ask for a share of all training tokens besides; by default they ask for nothing.
+    """
     spark = df.sparkSession
     home = f"{ensure_checkpoint_dir(spark)}/suffix-tree-{uuid.uuid4().hex}"
     _blocks(df, id_col, text_col, is_train).write.parquet(f"{home}/blocks")
@@ -266,12 +421,8 @@ def score_texts(
     entries.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n")).write.parquet(f"{home}/counts")
     counts = spark.read.parquet(f"{home}/counts")
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"), F.coalesce(F.max(F.when(F.col("word") == END, F.col("n"))), F.lit(0)).alias("texts")).first()
-    total, base = totals["n"], float(totals["n"] + totals["v"] + 1)
-    # at most 1 / least_word rows
-    common = [(r["word"], r["n"]) for r in counts.filter(F.col("n") >= least_word * total).collect()] if total else []
-    common.sort(key=lambda x: (-x[1], x[0]))
-    tree = _grow(blocks, {w: i for i, (w, _) in enumerate(common)}, np.array([n for _, n in common], np.int64), total, totals["texts"], base, depth, least_word, least_gram, gain, discount)
-    shared = spark.sparkContext.broadcast(tree)
+    total = totals["n"]
+    rules = Rules(total, totals["texts"], float(total + totals["v"] + 1), depth, max(1, least, math.ceil(least_word * total)), max(1, least, math.ceil(least_gram * total)), discount)
     id_type = blocks.schema["ids"].dataType.elementType.simpleString()
 
     # every block gets the corpus counts of its own words, in their order
@@ -279,19 +430,30 @@ def score_texts(
     place = F.col("key").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int").alias("pos")
     told = told.select(F.shiftright("key", PLACE_BITS).alias("block"), F.struct(place, "c").alias("x")).groupBy("block").agg(F.sort_array(F.collect_list("x")).alias("xs")).select("block", F.col("xs.c").alias("corpus"))
 
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for b in pdf.itertuples():
+                hashes = pd.util.hash_array(np.array(unpack_words(b.words), object), categorize=False)
+                yield pd.DataFrame([(b.block, b.train, b.sizes, b.tokens, hashes.tobytes(), b.corpus)], columns=["block", "train", "sizes", "tokens", "hashes", "corpus"])
+
+    slim = blocks.select("block", "train", "sizes", "tokens", "words").join(told, "block")
+    slim.mapInPandas(keyed, "block long, train array<boolean>, sizes array<int>, tokens binary, hashes binary, corpus array<long>").write.parquet(f"{home}/known")
+    known = spark.read.parquet(f"{home}/known")
+    for level in range(1, depth + 2):
+        _told(_rows(known, rules, level), rules, gain, level).write.parquet(f"{home}/told{level}")
+        known = known.join(spark.read.parquet(f"{home}/told{level}"), "block", "left")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = shared.value
         for pdf in batches:
             for b in pdf.itertuples():
-                sizes, tokens = np.asarray(b.sizes), unpack(b.tokens)
-                known, corpus = _symbols(t, unpack_words(b.words)), np.asarray(b.corpus, np.int64)
-                for texts, place in _slices(sizes):
-                    own = sizes[texts]
-                    symbols, seen = known[tokens[place]], corpus[tokens[place]]
-                    root, best = _logs(t, symbols, _contexts(t, symbols, own), seen)
-                    at = np.cumsum(own) - own
-                    add = lambda x: np.add.reduceat(x, at)  # noqa: B023, E731
-                    yield pd.DataFrame({"id": b.ids[texts], "train": b.train[texts], "n_tokens": own.astype(np.int64), "n_known": add((seen > 0).astype(np.int64)), "base_score": add(root), "score": add(best)})
-
-    scored = blocks.select("block", "ids", "train", "sizes", "tokens", "words").join(told, "block").drop("block").mapInPandas(run, f"id {id_type}, train boolean, n_tokens long, n_known long, base_score double, score double")
+                walk = Walk(b, rules)
+                for _ in range(rules.depth):
+                    walk.deeper()
+                    walk.look_up()
+                    walk.score()
+                at = np.cumsum(walk.own) - walk.own
+                add = lambda x: np.add.reduceat(x[walk.real], at)  # noqa: B023, E731
+                yield pd.DataFrame({"id": b.ids, "train": b.train, "n_tokens": walk.own, "n_known": add((walk.seen > 0).astype(np.int64)), "base_score": add(walk.root), "score": add(walk.best)})
+
+    scored = known.join(blocks.select("block", "ids"), "block").mapInPandas(run, f"id {id_type}, train boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select(F.col("id").alias(id_col), "train", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

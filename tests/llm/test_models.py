@@ -111,6 +111,32 @@ def test_suffix_tree_states_are_distributions(spark):
         assert 0.99 < (10**best).sum() + unseen < 1.01
 
 
+def test_suffix_tree_tables_equal_the_tree(spark):
+    texts, df = corpus(spark)
+    tokens = [[w.decode() for w in (t or "").encode().lower().split()] + [""] for t in texts]
+    counts = Counter(w for ws in tokens for w in ws)
+    total, least = sum(counts.values()), 3
+    words = {w: i for i, w in enumerate(sorted(w for w, n in counts.items() if n >= least))}
+    root, base = np.array([counts[w] for w in words]), float(total + len(counts) + 1)
+    blocks = suffix_tree._blocks(df, "doc_id", "text", F.lit(True))  # noqa: SLF001
+    tree = suffix_tree._grow(blocks, words, root, total, len(texts), base, 3, least / total, least / total, 0.02, 0.5)  # noqa: SLF001
+    assert all(level.kept.any() for level in tree.levels[:2])
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(df, "doc_id", "text", F.lit(True), least=least).collect()}
+    for i, ws in enumerate(tokens):
+        symbols = suffix_tree._symbols(tree, ws)  # noqa: SLF001
+        _, best = suffix_tree._logs(tree, symbols, suffix_tree._contexts(tree, symbols, np.array([len(ws)])), np.array([counts[w] for w in ws]))  # noqa: SLF001
+        assert math.isclose(got[i], best.sum(), rel_tol=1e-9)
+
+
+def test_suffix_tree_keeps_rare_contexts(spark):
+    """A pair of words seen four times in 50,000 tokens, less than a ten-thousandth."""
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 2000, 500)) + (" zig zag" if i < 4 else "") for i in range(100)] + ["zig zag"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    last = {r["doc_id"]: r for r in suffix_tree.score_texts(df, "doc_id", "text", F.col("doc_id") < 100).collect()}[100]
+    assert last["score"] - last["base_score"] > 3
+
+
 def test_pack_round_trip():
     x = np.array([0, 1, 255, 256, 2**31 - 1, 7], np.int32)
     assert (suffix_tree.unpack(suffix_tree.pack(x)) == x).all() and len(suffix_tree.unpack(suffix_tree.pack(x[:0]))) == 0
