@@ -13,7 +13,7 @@ and path segments. Per host:
    not rejected.
 
 Everything is grouped by (host, template prefix) with partial sums before the shuffle, so that a host with a third
-of all urls is many small groups. A url deeper than ``depth`` segments counts at its first ``depth`` segments.
+of all urls is many small groups. All segments count; with a ``depth`` only the first ``depth`` of each url do.
 
 Defined results: a null url, or one without ``://``, has an empty host and an empty path, no rule and the
 verdict of that empty template. Repeated rows count as often as they occur. An empty table gives an empty result.
@@ -65,51 +65,56 @@ def segments(path: Column) -> Column:
     return F.transform(parts, lambda s: F.when(s.rlike(variable), F.concat(F.lit("*"), F.regexp_extract(s, r"(\.[A-Za-z]{2,5})?$", 1))).otherwise(s))
 
 
-def _tree(leaves: DataFrame, depth: int, z: float, wide: int) -> tuple[DataFrame, list[str]]:
-    """Leaves (host, s1..sd, n, blocked) with merged segments m1..md beside the literal ones.
+def _tree(leaves: DataFrame, z: float, wide: int) -> DataFrame:
+    """Leaves (host, s, n, blocked) with their merged segments m beside the literal ones s.
 
     Level by level: the counts of the nodes (host, merged prefix, literal segment) are compared with those of their
-    parent; like ones share a wildcard from there on.
+    parent; like ones share a wildcard from there on. A leaf is done where its path ends or no other leaf shares its
+    prefix, so there are as many rounds as two different paths have merged segments in common, and one more.
     """
-    found, merged = leaves, []
-    for level in range(1, depth + 1):
-        here, above = f"s{level}", ["host", *merged]
-        nodes = found.groupBy(*above, here).agg(F.sum("n").alias("n"), F.sum("blocked").alias("b"))
-        totals = nodes.groupBy(*above).agg(F.sum("n").alias("tn"), F.sum("b").alias("tb"), F.count(F.lit(1)).alias("children"))
+    going, done, level = cut(leaves.withColumn("m", F.array().cast("array<string>"))), None, 0
+    while not going.isEmpty():
+        above = ["host", "m"]
+        found = going.withColumn("here", F.coalesce(F.get("s", F.lit(level)), F.lit("")))
+        nodes = found.groupBy(*above, "here").agg(F.sum("n").alias("tn_here"), F.sum("blocked").alias("tb_here"), F.count(F.lit(1)).alias("leaves"))
+        totals = nodes.groupBy(*above).agg(F.sum("tn_here").alias("tn"), F.sum("tb_here").alias("tb"), F.count(F.lit(1)).alias("children"), F.sum("leaves").alias("all"))
         both = nodes.join(totals, above)
-        rest_n, rest_b = F.col("tn") - F.col("n"), F.col("tb") - F.col("b")
+        n, b = F.col("tn_here"), F.col("tb_here")
+        rest_n, rest_b = F.col("tn") - n, F.col("tb") - b
         pooled = F.col("tb") / F.greatest(F.col("tn"), F.lit(1))
-        gap = F.abs(F.col("b") / F.greatest(F.col("n"), F.lit(1)) - rest_b / F.greatest(rest_n, F.lit(1)))
-        noise = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(F.col("n"), F.lit(1)) + 1 / F.greatest(rest_n, F.lit(1))))
-        known = (F.col("n") > 0) & (rest_n > 0)
+        gap = F.abs(b / F.greatest(n, F.lit(1)) - rest_b / F.greatest(rest_n, F.lit(1)))
+        noise = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(n, F.lit(1)) + 1 / F.greatest(rest_n, F.lit(1))))
+        known = (n > 0) & (rest_n > 0)
         alike = (known & (gap <= z * noise)) | (~known & (F.col("children") > wide))
-        name = F.when((F.col(here) == "") | ~alike, F.col(here)).otherwise("*").alias(f"m{level}")
-        found = found.join(both.select(*above, here, name), [*above, here])
-        merged.append(f"m{level}")
-    return found, merged
-
-
-def judge(df: DataFrame, id_col: str, url_col: str, rules: tuple[UrlRule, ...], depth: int = 3, z: float = 2.5, wide: int = 20, weight: float = 4.0, limit: float = 0.5) -> DataFrame:
+        alone = (F.col("all") == 1) & F.lit(wide >= 1)
+        name = F.when(alike, "*").otherwise(F.col("here")).alias("name")
+        step = found.join(both.select(*above, "here", name, alone.alias("alone")), [*above, "here"])
+        ends = F.col("here") == ""
+        merged = F.when(ends, F.col("m")).when(F.col("alone"), F.concat("m", F.slice("s", F.lit(level + 1), F.size("s")))).otherwise(F.concat("m", F.array("name")))
+        step = cut(step.select("host", "s", "n", "blocked", merged.alias("m"), (ends | F.col("alone")).alias("over")))
+        over = step.filter("over").drop("over")
+        done = over if done is None else done.unionByName(over)
+        going, level = step.filter("NOT over").drop("over"), level + 1
+    return going if done is None else done
+
+
+def judge(df: DataFrame, id_col: str, url_col: str, rules: tuple[UrlRule, ...], depth: int | None = None, z: float = 2.5, wide: int = 20, weight: float = 4.0, limit: float = 0.5) -> DataFrame:
     """One row per input row: id, host, path, rule, verdict, template, purity (null where a rule decides)."""
     url = F.col(url_col)
     urls = df.select(F.col(id_col).alias("_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    parts = F.array(*(F.coalesce(F.get("_s", F.lit(k)), F.lit("")) for k in range(depth)))
-    urls = urls.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("_s", segments(F.col("path")))
+    parts = segments(F.col("path"))
+    parts = parts if depth is None else F.slice(parts, 1, depth)
     # a rule is all the tree learns from; where a url's label is known its template decides nothing
-    keyed = urls.withColumn("_p", parts).select("_id", "host", "path", "_rule", *(F.get("_p", F.lit(k)).alias(f"s{k + 1}") for k in range(depth)))
-    literal = [f"s{k + 1}" for k in range(depth)]
+    keyed = urls.select("*", rule_of(F.col("host"), F.col("path"), rules).alias("_rule"), parts.alias("s"))
     label = F.when(F.col("_rule").isNotNull(), 1).otherwise(0)
     block = F.when(F.col("_rule.verdict") == "block", 1).otherwise(0)
-    leaves = cut(keyed.groupBy("host", *literal).agg(F.sum(label).alias("n"), F.sum(block).alias("blocked")))
-    tree, merged = _tree(leaves, depth, z, wide)
-    tree = cut(tree)
-    leaf = ["host", *merged]
-    scored = tree.groupBy(*leaf).agg(F.sum("n").alias("tn"), F.sum("blocked").alias("tb"))
+    tree = cut(_tree(keyed.groupBy("host", "s").agg(F.sum(label).alias("n"), F.sum(block).alias("blocked")), z, wide))
+    scored = tree.groupBy("host", "m").agg(F.sum("n").alias("tn"), F.sum("blocked").alias("tb"))
     purity = (F.col("tb") + weight / 2) / (F.col("tn") + weight)
-    template = F.concat_ws("/", *(F.when(F.col(m) != "", F.col(m)) for m in merged))
-    verdicts = cut(tree.join(scored.select(*leaf, purity.alias("purity")), leaf).select("host", *literal, F.concat(F.lit("/"), template).alias("template"), "purity"))
+    template = F.concat(F.lit("/"), F.array_join("m", "/"))
+    verdicts = cut(tree.join(scored.select("host", "m", purity.alias("purity")), ["host", "m"]).select("host", "s", template.alias("template"), "purity"))
     # The side of the templates is unique by key; a frequent template is the sort-merge join's skew, which it splits.
-    out = keyed.join(verdicts, ["host", *literal], "left")
+    out = keyed.join(verdicts, ["host", "s"], "left")
     by_tree = F.when(F.col("purity") > limit, "block").otherwise("allow")
     return out.select(
         F.col("_id").alias(id_col), "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce(F.col("_rule.verdict"), by_tree).alias("verdict"),

@@ -161,6 +161,18 @@ def test_url_templates_carry_labels_over(spark):
     assert len(free) == 120 and all(v == ("block" if p.startswith("/spam") else "allow") for p, v in free)
 
 
+def test_url_templates_reach_the_last_segment(spark):
+    kinds = ("/shop/en/c/spam", "/shop/en/c/blog")
+    rules = (urls.UrlRule("block", "s.net", kinds[0] + "/a"), urls.UrlRule("allow", "s.net", kinds[1] + "/a"))
+    rows = [f"http://s.net{kind}/{'a' if i % 2 else 'b'}{'xyz'[i % 3]}{chr(97 + i % 26)}/{i}" for kind in kinds for i in range(120)]
+    deep = "http://s.net/" + "/".join("deep" for _ in range(400))  # one long tail takes no round for each segment
+    df = spark.createDataFrame(list(enumerate([*rows, deep, deep])), "page_id long, url string")
+    got = [(r["path"], r["rule"], r["verdict"], r["template"]) for r in urls.judge(df, "page_id", "url", rules).collect()]
+    free = [(p, v) for p, rule, v, _ in got if rule is None and p.startswith("/shop")]
+    assert len(free) == 120 and all(v == ("block" if p.startswith(kinds[0]) else "allow") for p, v in free)
+    assert sum(t == p for p, _, _, t in got) == 2
+
+
 def test_main_text(spark):
     page = """<html><head><title>t</title></head><body><header><h1>Site</h1></header><nav><ul><li><a href=/a>Menu</a></li></ul></nav>
     <div class="cookie-notice">We use cookies on this site, a lot of them, really.</div><div class="ad">Buy now &amp; save</div>
