@@ -4,8 +4,9 @@ The standard library's streaming parser cuts a page into lines, one per block el
 characters, how many tags it took, how many characters are links, and the elements around it. The text-to-tag ratios
 of the page's lines are smoothed by a Gaussian; lines above a threshold, the smoothed ratios' mean less
 ``slack`` standard deviations, are the seeds. Seeds are clustered by the container they stand in (article, main,
-section, div, td, body); the containers whose seeds carry the most characters, and those of its kind and place that
-carry a fair share of it, are the content regions. All of a region's lines are kept, short ones included, apart from
+section, div, td, body). Where an article or main is around the container whose seeds carry the most characters, it
+and those of its kind and place that carry a fair share of it are the content regions. Elsewhere it is the innermost
+container around all lines that are not mostly links, however short. All of a region's lines are kept, apart from
 lines inside boilerplate elements or elements whose class, id or role names boilerplate.
 
 Defined results: a null or empty page, and one without text outside boilerplate, has the empty text. Text stands
@@ -144,6 +145,13 @@ def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return full(ratios) / full(np.ones(len(ratios)))
 
 
+def _around(regions: list[tuple[str, int]], at: int) -> Iterator[int]:
+    """The region and those around it, up to the page."""
+    while at >= 0:
+        yield at
+        at = regions[at][1]
+
+
 def main_text(html: str | None, sigma: float = 1.0, slack: float = 0.5, share: float = 0.35) -> str:
     """The page's content regions, one line per block."""
     if not html:
@@ -169,16 +177,20 @@ def main_text(html: str | None, sigma: float = 1.0, slack: float = 0.5, share: f
         weight[lines[k][0].region] += size[k]
     best = int(weight.argmax())
     # the nearest article or main around the best region speaks for all of its parts
-    top = best
-    at = best
-    while at > 0:
-        if regions[at][0] in ("article", "main"):
-            top = at
-            break
-        at = regions[at][1]
+    top = next((k for k in _around(regions, best) if regions[k][0] in ("article", "main")), -1)
+    whole = top < 0
+    if whole:
+        # without one, the innermost container of all lines that are not mostly links
+        linked = np.array([x.linked for x, _ in lines])
+        wanted = ~junk & (2 * linked < size)
+        wanted = [lines[k][0].region for k in np.flatnonzero(wanted if wanted.any() else seeds)]
+        top = wanted[0]
+        for region in set(wanted):
+            around = set(_around(regions, region))
+            top = next(k for k in _around(regions, top) if k in around)
     within = np.zeros(len(regions), bool)
     for k, (tag, parent) in enumerate(regions):
-        sibling = tag == regions[top][0] and parent == regions[top][1] and weight[k] >= share * weight[best]
+        sibling = not whole and tag == regions[top][0] and parent == regions[top][1] and weight[k] >= share * weight[best]
         within[k] = k == top or parent >= 0 and within[parent] or sibling
     kept = [t for (x, t), bad in zip(lines, junk, strict=True) if within[x.region] and not bad]
     return "\n".join(kept)

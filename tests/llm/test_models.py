@@ -187,6 +187,20 @@ def test_main_text(spark):
     assert html.extract_main_text(df.limit(0), "page_id", "url", "html").count() == 0
 
 
+def test_main_text_without_article():
+    long = "A sentence with more than enough words to be the longest one of the page by far. " * 8
+    nav = "<nav><a href=/a>Menu</a></nav><div class=footer>Imprint</div><div><a href=/b>More</a> <a href=/c>Links</a></div>"
+    pages = {
+        f"<body>{nav}<div><p>First words.</p><blockquote><p>{long}</p></blockquote><p>Last words.</p></div></body>": ["First words.", long.strip(), "Last words."],
+        f"<body>{nav}<div><div><p>{long}</p></div><div><p>Short.</p></div></div></body>": [long.strip(), "Short."],
+        f"<body><table><tr><td>{long}</td><td>Cell.</td></tr></table></body>": [long.strip(), "Cell."],
+    }
+    for page, want in pages.items():
+        assert html.main_text(page).split("\n") == want
+    page = f"<body><h1>Head</h1><p>Before.</p><section><p>{long}</p></section><p>After.</p></body>"
+    assert html.main_text(page).split("\n") == ["Head", "Before.", long.strip(), "After."]
+
+
 def test_page_text_of_all_pages(spark, small):
     import re
     from html import unescape
