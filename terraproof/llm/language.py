@@ -2,7 +2,8 @@
 
 A word's features are its affixes, its character n-grams and what a lexicon learned from the sample says of it;
 the transitions between the languages of neighbouring words are learned as well. Forward-backward gives each
-word's language probabilities in code-switched text; a line break ends a chain. A document's language is the one
+word's language probabilities in code-switched text; a line break ends a chain. A run of more than 62 characters
+without a blank counts as several words, so that text in scripts without blanks is read whole. A document's language is the one
 with the largest sum over its words, its score that sum per word.
 
 The field is fitted on the driver on a bounded sample: at most ``2 * per_language`` documents for each of the
@@ -28,12 +29,14 @@ from terraproof.llm.common import bound_batches
 
 UNKNOWN = "und"
 PREDICTED = "lang string, score double"
+#: Longer runs without a blank are cut into units of so many trigrams, each a position of the chain.
+LONGEST, UNIT = 62, 16
 EDGES = ".,;:!?\"'()[]{}|*#$%&<>-_=+/\\"
 
 
 def features(word: str) -> list[str]:
-    """The word, its affixes and its trigrams, edges included; of a very long word the trigrams of both ends."""
-    w = f"^{word}$" if len(word) <= 62 else f"^{word[:31]}{word[-31:]}$"
+    """The word, its affixes and its trigrams, edges included."""
+    w = f"^{word}$"
     out = [w[i : i + 3] for i in range(len(w) - 2)]
     out += ("w" + word, "p" + word[:1], "p" + word[:2], "q" + word[:4], "s" + word[-1:], "s" + word[-2:], "z" + word[-4:])
     return out
@@ -114,7 +117,15 @@ class Crf:
 
 
 def _chains(texts: list[str]) -> list[list[list[str]]]:
-    return [[words for line in text.split("\n") if (words := line.split())] for text in texts]
+    return [[units(words) for line in text.split("\n") if (words := line.split())] for text in texts]
+
+
+def units(words: list[str]) -> list[str]:
+    """Words, the long ones in pieces that overlap by two characters, so that each of their trigrams is in one piece."""
+    if max(map(len, words)) <= LONGEST:
+        return words
+    pieces = lambda w: [w[i : i + UNIT + 2] for i in range(0, len(w) - 2, UNIT)] if len(w) > LONGEST else [w]
+    return [x for w in words for x in pieces(w)]
 
 
 def train(texts: list[str], langs: list[str], rounds: int = 20, rate: float = 0.3, ridge: float = 2.0, rare: int = 3) -> Crf | None:

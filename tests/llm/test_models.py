@@ -64,6 +64,17 @@ def test_code_switching_is_seen_word_by_word(spark, small):
     assert best[:3] == ["en"] * 3 and best[-3:] == ["fr"] * 3
 
 
+def test_long_runs_are_read_whole(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    crf = language.fit(docs, "doc_id", "text", "lang", F.lit(True))
+    en, fr = ("".join(w for r in docs.filter(F.col("lang") == lang).orderBy("doc_id").limit(20).collect() for w in r["text"].split() if w.isalpha()) for lang in ("en", "fr"))
+    assert [p for p, _ in language.Tagger(crf).predict([en[:31] + fr + en[-31:], fr[:31] + en + fr[-31:]])] == ["fr", "en"]
+    for n in (63, 64, 65, 78, 79, 80, 81, 500):
+        word = "".join(chr(0x4E00 + i) for i in range(n))
+        parts = language.units(["a", word])
+        assert parts[0] == "a" and [x[i : i + 3] for x in parts[1:] for i in range(len(x) - 2)] == [word[i : i + 3] for i in range(n - 2)]
+
+
 def corpus(spark):
     base = "the cat sat on the mat and the dog sat on the rug"
     texts = [base + f" w{i}" for i in range(40)] + [None, "", " ", "THE cat unseen"] + ["x y " * 3000]
