@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraproof.functions.rules import CONTROL_PADDING_M, EARTH_RADIUS_M, METRES_PER_DEGREE
@@ -66,18 +66,37 @@ def distance_to_line(x: Column, y: Column, points: Column) -> Column:
     return F.array_min(F.transform(edges(points), lambda e: segment_distance(x, y, e)))
 
 
-def check_controls(points: Column, bbox: tuple[float, float, float, float]) -> Column:
-    """Struct (accepted, reason) of control points (x, y, lon, lat): three usable, three distinct, three near the box."""
+def _near_box(lon: Column, lat: Column, bbox: tuple[float, float, float, float]) -> Column:
     import math
 
     south, west, north, east = bbox
     pad_lat = CONTROL_PADDING_M / METRES_PER_DEGREE
     pad_lon = CONTROL_PADDING_M / max(1000.0, METRES_PER_DEGREE * math.cos(math.radians((south + north) / 2)))
+    return lat.between(south - pad_lat, north + pad_lat) & lon.between(west - pad_lon, east + pad_lon)
+
+
+def _control_verdict(usable: Column, pixels: Column, inside: Column) -> Column:
+    reason = F.when(usable < 3, "insufficient-control-points").when(pixels < 3, "duplicate-control-pixels").when(inside < 3, "control-points-outside-park-geofence")
+    return F.struct(reason.isNull().alias("accepted"), reason.alias("reason"))
+
+
+def check_controls(points: Column, bbox: tuple[float, float, float, float]) -> Column:
+    """Struct (accepted, reason) of control points (x, y, lon, lat): three usable, three distinct, three near the box."""
     usable = F.filter(points, lambda p: p["x"].isNotNull() & p["y"].isNotNull() & p["lon"].isNotNull() & p["lat"].isNotNull())
     pixels = F.array_distinct(F.transform(usable, lambda p: F.struct(F.round(p["x"], 2).alias("x"), F.round(p["y"], 2).alias("y"))))
-    inside = F.filter(usable, lambda p: p["lat"].between(south - pad_lat, north + pad_lat) & p["lon"].between(west - pad_lon, east + pad_lon))
-    reason = F.when(F.size(usable) < 3, "insufficient-control-points").when(F.size(pixels) < 3, "duplicate-control-pixels").when(F.size(inside) < 3, "control-points-outside-park-geofence")
-    return F.struct(reason.isNull().alias("accepted"), reason.alias("reason"))
+    inside = F.filter(usable, lambda p: _near_box(p["lon"], p["lat"], bbox))
+    return _control_verdict(F.size(usable), F.size(pixels), F.size(inside))
+
+
+def checked_controls(points: DataFrame, key: str, bbox: tuple[float, float, float, float]) -> DataFrame:
+    """(key, accepted, reason) as ``check_controls`` has it, from points as rows; counts combine before the shuffle."""
+    ok = F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("lon").isNotNull() & F.col("lat").isNotNull()
+    pixel = F.when(ok, F.struct(F.round("x", 2).alias("x"), F.round("y", 2).alias("y")))
+    rows = points.select(key, pixel.alias("pixel"), (ok & _near_box(F.col("lon"), F.col("lat"), bbox)).alias("inside"))
+    each = rows.groupBy(key, "pixel").agg(F.count("pixel").alias("usable"), F.count_if("inside").alias("inside"))
+    sums = each.groupBy(key).agg(F.sum("usable").alias("usable"), F.count("pixel").alias("pixels"), F.sum("inside").alias("inside"))
+    verdict = _control_verdict(F.col("usable"), F.col("pixels"), F.col("inside"))
+    return sums.select(key, verdict.alias("c")).select(key, "c.accepted", "c.reason")
 
 
 def location_prior(*pairs: tuple[Column, Column]) -> Column:

@@ -20,15 +20,20 @@ def registration_confidence(f1: Column, precision: Column, recall: Column, suppo
     return F.least(F.lit(0.99), f1 * 0.6 + precision * 0.2 + recall * 0.2 + support * 0.03)
 
 
+def usable(candidates: DataFrame, min_confidence: float = R.CONSENSUS_CONFIDENCE) -> DataFrame:
+    """The candidates with enough confidence and a place, all of them."""
+    ok = (F.col("confidence") >= min_confidence) & F.col("lon").isNotNull() & F.col("lat").isNotNull()
+    return candidates.filter(ok).select("application", "document", "rank", "ordinal", "lon", "lat", "confidence", "f1")
+
+
 def variants(candidates: DataFrame, min_confidence: float = R.CONSENSUS_CONFIDENCE, apart_m: float = R.VARIANT_SEPARATION_M, most: int = R.MAX_VARIANTS) -> DataFrame:
     """The usable candidates (application, document, rank, ordinal, lon, lat, confidence, f1) of each document.
 
     In order of rank, greedily: a candidate nearer than ``apart_m`` to one taken before is passed over; a document
     keeps ``most``. The fold runs over one document's candidates, which the registration bounds.
     """
-    usable = candidates.filter((F.col("confidence") >= min_confidence) & F.col("lon").isNotNull() & F.col("lat").isNotNull())
     row = F.struct("rank", "ordinal", "lon", "lat", "confidence", "f1")
-    lists = usable.groupBy("application", "document").agg(F.array_sort(F.collect_list(row)).alias("all"))
+    lists = usable(candidates, min_confidence).groupBy("application", "document").agg(F.array_sort(F.collect_list(row)).alias("all"))
     kind = lists.schema["all"].dataType.simpleString()
     near = lambda acc, x: F.exists(acc, lambda y: haversine_m(x["lon"], x["lat"], y["lon"], y["lat"]) < apart_m)
     taken = F.aggregate("all", F.array().cast(kind), lambda acc, x: F.when(near(acc, x) | (F.size(acc) >= most), acc).otherwise(F.concat(acc, F.array(x))))

@@ -484,7 +484,7 @@ z AS (SELECT application, count(DISTINCT document) AS candidates, count(*) AS va
 
 def _consensus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     # no variants are merged here, so that SQL can repeat it
-    return georef.consensus(georef.variants(view(spark, sf_dir, "georef"), apart_m=0.0, most=1000))
+    return georef.consensus(georef.usable(view(spark, sf_dir, "georef")))
 
 
 @query(CONSENSUS_SQL + "SELECT application, candidates, variants, documents, documents >= 2 AS accepted, round(spread, 1) AS spread_m FROM b JOIN z USING (application)")
@@ -532,8 +532,7 @@ def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def control_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = view(spark, sf_dir, "controls").groupBy("candidate").agg(F.collect_list(F.struct("x", "y", "lon", "lat")).alias("points"))
-    return points.withColumn("c", geo.check_controls(F.col("points"), BBOX)).select("candidate", "c.accepted", "c.reason")
+    return geo.checked_controls(view(spark, sf_dir, "controls"), "candidate", BBOX)
 
 
 # Bridge, keys, sources ------------------------------------------------------------------------------------------------

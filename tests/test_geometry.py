@@ -106,3 +106,25 @@ def test_variants_and_consensus(spark):
     pair = [(1, "a", 0, 0, -1.90, 52.98, 0.9, 0.8), (1, "a", 1, 1, -1.8800, 52.98, 0.8, 0.7), (1, "b", 0, 2, -1.92, 52.98, 0.9, 0.8), (1, "b", 1, 3, -1.8802, 52.98, 0.8, 0.7)]
     evidence, members = georef.consensus(georef.variants(spark.createDataFrame(pair, schema)))
     assert evidence.first()["accepted"] and {(r["document"], r["rank"]) for r in members.collect()} == {("a", 1), ("b", 1)}
+
+
+def test_consensus_queries_keep_every_usable_candidate(spark, small, monkeypatch):
+    from terraproof.plans import queries
+
+    schema = "application long, document string, rank int, ordinal long, lon double, lat double, confidence double, f1 double"
+    # the agreement with the other document is the 1,100th of the first
+    rows = [(1, "a", i, i, -1.88 + i * 0.01, 52.98, 0.9, 0.8) for i in range(1100)] + [(1, "b", 0, 5000, -1.88 + 1099 * 0.01, 52.98, 0.9, 0.8), (1, "b", 1, 5001, 0.0, 0.0, 0.7, 0.8)]
+    df = spark.createDataFrame(rows, schema)
+    monkeypatch.setattr(queries, "view", lambda *_: df)
+    r = queries.consensus_evidence(spark, small).first()
+    assert (r["candidates"], r["variants"], r["documents"], r["accepted"]) == (2, 1101, 2, True)
+    assert {(m["document"], m["ordinal"]) for m in queries.consensus_members(spark, small).collect()} == {("a", 1099), ("b", 5000)}
+
+
+def test_controls_as_rows(spark):
+    p = lambda x, y, lon=-1.89, lat=52.98: (x, y, lon, lat)
+    bbox = (52.975, -1.905, 52.995, -1.875)
+    cases = [[p(0.0, 0.0), p(1.0, 0.0), p(0.0, 1.0)], [p(0.0, 0.0), p(1.0, 0.0), p(None, 1.0)], [p(0.0, 0.0), p(0.001, 0.0), p(1.0, 1.0)], [p(0.0, 0.0), p(1.0, 0.0), p(0.0, 1.0, 3.0)], [p(0.0, None)] * 3, [p(0.0, 0.0)] * 9]
+    df = spark.createDataFrame([(k, *q) for k, c in enumerate(cases) for q in c], "k int, x double, y double, lon double, lat double")
+    want = {r["k"]: (r["c"]["accepted"], r["c"]["reason"]) for r in df.groupBy("k").agg(F.collect_list(F.struct("x", "y", "lon", "lat")).alias("c")).select("k", geo.check_controls(F.col("c"), bbox).alias("c")).collect()}
+    assert {r["k"]: (r["accepted"], r["reason"]) for r in geo.checked_controls(df, "k", bbox).collect()} == want and len(want) == 6
