@@ -13,8 +13,8 @@ bottom-up. Around each join a window is encoded anew and grown until both sides
 Encodings of short blank-free runs are kept in a bounded cache, as natural text repeats them. A new run made of
 Western European letters and a tail of ASCII signs without apostrophe is two pre-tokens at most and goes to the
 library's merge model directly; every other run goes through the library's whole chain.
-Texts longer than ``spread`` are cut into leaves that Spark deals out to different tasks; all others stay in the
-task that reads them. Both ways run the same joins and give the same ids.
+Texts longer than ``spread`` are cut into leaves that a shuffle brings together by text; one task encodes all leaves of
+a text. All others stay in the task that reads them. Both ways run the same joins and give the same ids.
 
 Defined results: a null text is the empty text; it has 0 tokens, and both its texts are empty. Repeated rows
 give repeated results. Input columns other than the id and the text are not looked at.
