@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +47,30 @@ def id_crc32(id_column: str) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary"))
 
 
-def bound_batches(rows: int = 2000) -> None:
-    """Fewer rows in an Arrow batch than Spark's default, which would bring 10,000 whole texts into a worker at once.
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20, most_rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in runs of rows that hold about ``most_bytes`` of a text column, one row at least.
 
-    A number that the session's owner has chosen stays.
+    Spark fills a batch with thousands of whole texts; in this way a worker has Python objects for a few of them only.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    spark = SparkSession.active()
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, str(rows))
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends, low = np.cumsum(sizes, dtype=np.int64), 0
+        while low < len(batch):
+            done = ends[low - 1] if low else 0
+            high = min(low + most_rows, max(low + 1, int(np.searchsorted(ends, done + most_bytes, side="right"))))
+            yield batch.slice(low, high - low)
+            low = high
+
+
+def release_memory() -> None:
+    """Gives a worker's free memory back to the system at the end of a task, as workers live on idle."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of ended jobs, which it does when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # noqa: SLF001

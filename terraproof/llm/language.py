@@ -16,19 +16,18 @@ nothing to learn from. Words without a letter have no say. Ties go to the first
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from terraproof.llm.common import bound_batches
+from terraproof.llm.common import release_memory, slices
 
 UNKNOWN = "und"
-PREDICTED = "lang string, score double"
 #: Longer runs without a blank are cut into units of so many trigrams, each a position of the chain.
 LONGEST, UNIT = 62, 16
 EDGES = ".,;:!?\"'()[]{}|*#$%&<>-_=+/\\"
@@ -283,26 +282,31 @@ def fit(df: DataFrame, id_col: str, text_col: str, lang_col: str, is_train: Colu
     return train(*sample(df, id_col, text_col, lang_col, is_train, per_language, most_languages, most_chars))
 
 
-def predict_column(spark: SparkSession, crf: Crf | None, text: Column) -> Column:
-    """Struct (lang, score) of each text. The model's size is bounded by its sample, so it is broadcast."""
-    bound_batches()
-    model = spark.sparkContext.broadcast(crf)
+def _read(df: DataFrame, text_col: str, crf: Crf | None, schema: StructType, row: Callable[[pa.RecordBatch, list[tuple[str, float]]], pa.RecordBatch]) -> DataFrame:
+    """``row`` of each run of rows and its texts' languages. The model's size is bounded by its sample, so it is broadcast."""
+    model = df.sparkSession.sparkContext.broadcast(crf)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model.value)
-        for texts in batches:
-            yield pd.DataFrame(tagger.predict(texts.tolist()), columns=["lang", "score"])
+        for part in slices(batches, text_col):
+            yield row(part, tagger.predict(part.column(text_col).to_pylist()))
+        del tagger
+        release_memory()
 
-    return pandas_udf(run, PREDICTED).asNondeterministic()(text)  # else a filter on it runs it again
+    return df.mapInArrow(run, schema)
 
 
-def identify(df: DataFrame, id_col: str, text_col: str, crf: Crf | None) -> DataFrame:
-    """One row per input row: id, lang, score."""
-    found = df.select(F.col(id_col), predict_column(df.sparkSession, crf, F.col(text_col)).alias("_found"))
-    return found.select(F.col(id_col), "_found.*")
+def identify(df: DataFrame, text_col: str, crf: Crf | None, names: tuple[str, str] = ("lang", "score")) -> DataFrame:
+    """The columns of ``df`` but the text, then language and score; ``names`` must not be names of ``df``."""
+    kept = [x for x in df.schema if x.name != text_col]
+
+    def row(part: pa.RecordBatch, found: list[tuple[str, float]]) -> pa.RecordBatch:
+        langs, scores = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays([*(part.column(x.name) for x in kept), pa.array(langs), pa.array(scores)], names=[*(x.name for x in kept), *names])
+
+    return _read(df, text_col, crf, StructType([*kept, StructField(names[0], StringType()), StructField(names[1], DoubleType())]), row)
 
 
 def keep_identified(df: DataFrame, text_col: str, crf: Crf | None, least: float = 0.4) -> DataFrame:
     """The rows of ``df`` whose language is known with at least that score."""
-    found = df.withColumn("__lang_found", predict_column(df.sparkSession, crf, F.col(text_col)))
-    return found.filter((F.col("__lang_found.lang") != UNKNOWN) & (F.col("__lang_found.score") >= least)).select(*df.columns)
+    return _read(df, text_col, crf, df.schema, lambda part, found: part.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found])))

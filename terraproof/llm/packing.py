@@ -1,14 +1,16 @@
 """Sequence packing: first-fit decreasing with a tournament tree, in randomised groups of documents.
 
 Documents become token ids plus one closing id. A document longer than a sequence is cut at multiples of the
-capacity: its full pieces fill sequences of their own, and only the rests have to be packed. The rests are dealt
-by a hash into groups of about ``group_size``; within a group, first-fit decreasing asks a tournament tree over
-the bins' free space for the leftmost bin that still fits, in logarithmic time. Groups are independent, so one
-group is one bounded task, and only numbers travel: the ids themselves never leave the task that makes them.
-
-Defined results: a null text is the empty text and becomes the closing id alone. Repeated rows are packed as often
-as they occur. Ties in length are broken by id, start and digest. An empty table gives an empty result.
-Sequence ids are unique: the group's number times 2**32 plus the bin's.
+capacity: its full pieces fill sequences of their own, and only the rests, one for each document at most, have to be
+packed. The rests are dealt by a random number into groups of about ``group_size``; within a group, first-fit
+decreasing asks a tournament tree over the bins' free space for the leftmost bin that still fits, in logarithmic
+time. Groups are independent and their number follows the number of rests, so one group is one bounded task however
+many equal rows there are, and only numbers travel: the ids themselves never leave the task that makes them.
+
+Defined results: a null text is the empty text and becomes the closing id alone. Null ids are kept. Repeated rows are
+packed as often as they occur. Ties in length are broken by id, start and digest. An empty table gives an empty
+result. Input columns other than the named ones are not looked at. Sequence ids are unique: of a group the group's
+number times 2**32 plus the bin's, of a full piece 2**62 plus the task's number times 2**32 plus the piece's.
 """
 
 from __future__ import annotations
@@ -16,23 +18,29 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from terraproof.llm.cache import Recent, byte_letters
-from terraproof.llm.common import bound_batches
+from terraproof.llm.common import cut, release_memory, slices
 
 #: Fixed value: how this vocabulary's files split text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: At most one blank and letters, then signs that make one pre-token.
 PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Sequences of full pieces are numbered from here.
+FULL = 1 << 62
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -144,46 +152,58 @@ def pack(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
     return [bins.place(n) for n in lengths]
 
 
-def tokenize(df: DataFrame, id_col: str, text_col: str, path: str, capacity: int, closing: int, cache: int) -> DataFrame:
-    """One row per piece: id, start, length, digest of its ids, tokens of its document."""
-    bound_batches()
+def tokenize(df: DataFrame, id_col: str, text_col: str, path: str, capacity: int, closing: int, cache: int, seed: int) -> DataFrame:
+    """One row per piece: id, start, length, digest of its ids, tokens of its document, and its ``_slot``.
+
+    The slot of a full piece numbers the full pieces of the task; that of a rest is a random number, made of the piece,
+    the task and how many like it came before, so that equal rows part and a task that is run again gives the same.
+    """
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     end = np.array([closing], "<u4").tobytes()
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = encoder(path, cache)
-        for pdf in batches:
-            ids, out = [], []
-            for doc, text in zip(pdf["_id"].array, pdf["_text"], strict=True):
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e, task, full, seen = encoder(path, cache), TaskContext.get().partitionId(), 0, Counter()
+        for part in slices(batches, "_text"):
+            ids, out = part.column("_id"), []
+            for k, (doc, text) in enumerate(zip(ids.to_pylist(), part.column("_text").to_pylist(), strict=True)):
                 b = e.encode(text) + end
                 n = len(b) // 4
                 for start in range(0, n, capacity):
-                    part = b[4 * start : 4 * (start + capacity)]
-                    ids.append(doc)
-                    out.append((start, len(part) // 4, zlib.crc32(part), n))
-            found = pd.DataFrame(out, columns=["start", "length", "ids_crc32", "doc_tokens"])
-            found.insert(0, "_id", pd.array(ids, dtype=pdf["_id"].dtype))
-            yield found
-
-    return rows.mapInPandas(pieces, f"_id {rows.schema['_id'].dataType.simpleString()}, {PIECES}")
+                    piece = b[4 * start : 4 * (start + capacity)]
+                    digest = zlib.crc32(piece)
+                    if len(piece) == 4 * capacity:
+                        slot, full = (task << 32) + full, full + 1
+                    else:
+                        like = f"{doc} {start} {digest} {n}"
+                        slot = xxhash.xxh64_intdigest(f"{task} {seen[like]} {like}", seed) >> 2
+                        seen[like] += 1
+                    out.append((k, start, len(piece) // 4, digest, n, slot))
+            at, *rest = map(pa.array, zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([ids.take(at), *rest], names=["_id", "start", "length", "ids_crc32", "doc_tokens", "_slot"])
+        release_memory()
+
+    return rows.mapInArrow(pieces, f"_id {rows.schema['_id'].dataType.simpleString()}, {PIECES}, _slot long")
 
 
 def pack_documents(df: DataFrame, id_col: str, text_col: str, path: str, capacity: int = 1024, closing: int = 0, group_size: int = 4096, seed: int = 17, cache: int = 400_000) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    The number of groups follows the number of input rows, which a count of the columnless input gives. ``cache``
-    bounds the known parts of texts that a worker keeps, about 100 MB at the default; fewer cost time.
+    The pieces, numbers only, are written to the checkpoint folder, so that texts are read once and the rests can be
+    counted. ``cache`` bounds the known parts of texts that a worker keeps, about 100 MB at the default; fewer cost time.
     """
-    groups = max(1, -(-df.count() // group_size))
-    found = tokenize(df, id_col, text_col, path, capacity, closing, cache)
+    found = cut(tokenize(df, id_col, text_col, path, capacity, closing, cache, seed))
+    rests = found.filter(F.col("length") < capacity)
+    groups = max(1, -(-rests.count() // group_size))
     id_type = found.schema["_id"].dataType.simpleString()
-    dealt = F.pmod(F.xxhash64(F.lit(seed), "_id", "start", "ids_crc32"), F.lit(groups)).alias("_group")
 
     def one_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
         placed = pack(pdf["length"].tolist(), capacity)
         base = int(key[0]) << 32
-        return pdf.drop(columns="_group").assign(sequence_id=[base + b for b, _ in placed], offset=[o for _, o in placed])
+        return pdf.drop(columns=["_group", "_slot"]).assign(sequence_id=[base + b for b, _ in placed], offset=[o for _, o in placed])
 
-    packed = found.select("*", dealt).groupBy("_group").applyInPandas(one_group, f"_id {id_type}, {PIECES}, sequence_id long, offset long")
-    return packed.withColumnRenamed("_id", id_col)
+    dealt = rests.withColumn("_group", F.col("_slot") % groups)
+    packed = dealt.groupBy("_group").applyInPandas(one_group, f"_id {id_type}, {PIECES}, sequence_id long, offset long")
+    alone = (F.col("_slot") + F.lit(FULL)).alias("sequence_id")
+    full = found.filter(F.col("length") == capacity).select("_id", "start", "length", "ids_crc32", "doc_tokens", alone, F.lit(0).cast("long").alias("offset"))
+    return full.unionByName(packed).withColumnRenamed("_id", id_col)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraproof.llm.common import id_crc32, table
-from terraproof.llm.language import fit, predict_column
+from terraproof.llm.language import fit, identify
 
 FOLDS, HELD_OUT = 3, 1
 
@@ -15,5 +15,4 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = id_crc32("doc_id") % FOLDS == HELD_OUT
     crf = fit(docs, "doc_id", "text", "lang", ~held_out)
-    found = docs.select("doc_id", held_out.alias("held_out"), predict_column(spark, crf, F.col("text")).alias("f"))
-    return found.select("doc_id", "held_out", F.col("f.lang").alias("lang_pred"), F.col("f.score").alias("score"))
+    return identify(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"), "text", crf, ("lang_pred", "score"))

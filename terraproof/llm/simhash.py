@@ -13,23 +13,26 @@ fingerprints decides which are used (``blocks``); both are exact, so the choice
 
 Defined results: a null text is the empty text and has fingerprint zero. Equal texts and repeated rows share a
 component. A component is named by the smallest id in it; null ids are passed over, and a component of null ids
-only is named null. An empty table gives an empty result.
+only is named null. An empty table gives an empty result. Input columns other than the named ones are not looked at,
+whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations, product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType, StructField, StructType
 
-from terraproof.llm.common import bound_batches, cut
+from terraproof.llm.common import cut, release_memory, slices
 from terraproof.llm.components import connected_components
 
 SEED = 42
@@ -78,14 +81,17 @@ def fingerprints(texts: list[str | None], width: int = 3) -> np.ndarray:
     return np.packbits(2 * ones > totals[:, None], axis=1).view(">i8").ravel().astype(np.int64)
 
 
-def fingerprint_column(text: Column, width: int = 3) -> Column:
-    """Fingerprint of each text as a long."""
+def with_fingerprint(df: DataFrame, text_col: str, name: str, width: int = 3, keep_text: bool = True) -> DataFrame:
+    """``df`` and the fingerprint of each text as a long; without ``keep_text`` the text stays behind."""
+    kept = [x for x in df.schema if keep_text or x.name != text_col]
 
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(fingerprints(texts.tolist(), width))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            found = pa.array(fingerprints(part.column(text_col).to_pylist(), width))
+            yield pa.RecordBatch.from_arrays([*(part.column(x.name) for x in kept), found], names=[*(x.name for x in kept), name])
+        release_memory()
 
-    bound_batches()
-    return pandas_udf(run, "long")(text)
+    return df.mapInArrow(run, StructType([*kept, StructField(name, LongType())]))
 
 
 def fingerprint_hex(fingerprint: Column) -> Column:
@@ -167,43 +173,54 @@ def anchors(prints: np.ndarray, steps: int, blocks: int) -> tuple[np.ndarray, np
     return np.concatenate(owners), np.concatenate(found)
 
 
-def _anchored(df: DataFrame, steps: int, blocks: int, names: tuple[str, str]) -> DataFrame:
+def _anchored(df: DataFrame, steps: int, blocks: int, names: tuple[str, str, str]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            prints = pdf["fp"].to_numpy()
+            prints, components = pdf["fp"].to_numpy(), pdf["component"].to_numpy()
             for at in range(0, len(prints), 4096):
                 owner, anchor = anchors(prints[at : at + 4096], steps, blocks)
-                yield pd.DataFrame({names[0]: anchor, names[1]: prints[at + owner]})
+                yield pd.DataFrame({names[0]: anchor, names[1]: prints[at + owner], names[2]: components[at + owner]})
 
-    return df.select("fp").mapInPandas(run, f"{names[0]} long, {names[1]} long")
+    return df.select("fp", "component").mapInPandas(run, ", ".join(f"{x} long" for x in names))
 
 
 def near_links(prints: DataFrame, threshold: int = 2, blocks: int = 2) -> DataFrame:
-    """Links (a, b), a < b, of the distinct fingerprints ``fp`` that differ in at most ``threshold`` bits.
+    """Links (a, b), a < b, of the components of distinct fingerprints ``fp`` that differ in at most ``threshold`` bits.
 
-    Beyond MAX_STEPS both sides go some steps past the radius, which together make the threshold: some word lies
-    that near to both, and its home anchor is an anchor of both. Such a link may be found more than once.
+    Fingerprints of one ``component`` are not linked again. Beyond MAX_STEPS both sides go some steps past the radius,
+    which together make the threshold: some word lies that near to both, and its home anchor is an anchor of both. Such
+    a link may be found more than once.
     """
     if not 0 <= threshold <= 2 * MAX_STEPS:
         raise ValueError(f"threshold is between 0 and {2 * MAX_STEPS}")
     steps = min(threshold, MAX_STEPS)
-    home = _anchored(prints, threshold - steps, blocks, ("anchor", "a"))
-    copies = _anchored(prints, steps, blocks, ("anchor_b", "b"))
-    near = (F.col("anchor") == F.col("anchor_b")) & (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold)
-    return home.hint("merge").join(copies, near).select("a", "b")
+    home = _anchored(prints, threshold - steps, blocks, ("anchor", "a", "of_a"))
+    copies = _anchored(prints, steps, blocks, ("anchor_b", "b", "of_b"))
+    apart = (F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b"))
+    near = (F.col("anchor") == F.col("anchor_b")) & apart & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold)
+    return home.hint("merge").join(copies, near).select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b"))
 
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: int = 2, width: int = 3) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): rows has id and ``fp`` of each input row; classes has for each ``fp`` its component_id,
-    the fingerprints (``n_prints``) and rows (``n_rows``) of the component."""
-    rows = cut(df.select(F.col(id_col).alias("_id"), fingerprint_column(F.col(text_col), width).alias("fp")))
-    prints = cut(rows.groupBy("fp").agg(F.min("_id").alias("least"), F.count(F.lit(1)).alias("n")))
-    links = near_links(prints, threshold, 2 if prints.count() <= 1 << 24 else 4)
-    linked = connected_components(links).withColumnRenamed("node", "fp")
-    named = prints.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    the fingerprints (``n_prints``) and rows (``n_rows``) of the component.
+
+    A threshold beyond MAX_STEPS is reached in two rounds: the second links what the first left apart, so that a dense
+    cluster of fingerprints, one component after the first round, does not give all of its pairs.
+    """
+    rows = cut(with_fingerprint(df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", "fp", width, keep_text=False))
+    # dealt out evenly, as each print becomes many rows
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prints = rows.groupBy("fp").agg(F.min("_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("fp").alias("component"))
+    prints = cut(prints.repartition(parts, "fp"))
+    blocks = 2 if prints.count() <= 1 << 24 else 4
+    for reach in sorted({min(threshold, MAX_STEPS), threshold}):
+        linked = connected_components(near_links(prints, reach, blocks)).withColumnRenamed("component", "_to")
+        joined = prints.join(linked, prints["component"] == linked["node"], "left").select("fp", "least", "n", F.coalesce("_to", "component").alias("component"))
+        prints = cut(joined.repartition(parts, "fp"))
     # partial sums first: a component of very many fingerprints is no single group of rows in one task
-    heads = named.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n_prints"), F.sum("n").alias("n_rows"))
-    classes = cut(named.select("fp", "component").join(heads, "component").select("fp", "component_id", "n_prints", "n_rows"))
+    heads = prints.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n_prints"), F.sum("n").alias("n_rows"))
+    classes = cut(prints.select("fp", "component").join(heads, "component").select("fp", "component_id", "n_prints", "n_rows"))
     return rows, classes
 
 
@@ -226,7 +243,8 @@ def keep_one(df: DataFrame, id_col: str, text_col: str, threshold: int = 2, widt
     first = df.join(once.select(F.col("_id").alias(id_col)), id_col, "left_semi")
     # rows whose id occurs again: one per id and fingerprint, which are the same component
     again = df.join(often.select(F.col("_id").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col])
-    nameless = df.filter(F.col(id_col).isNull()).withColumn("__fp", fingerprint_column(F.col(text_col), width))
-    alone = classes.filter(F.col("component_id").isNull()).select(F.col("fp").alias("__fp"))
-    rest = nameless.join(alone, "__fp", "left_semi").dropDuplicates(["__fp"]).drop("__fp")
+    mark = f"fp_{uuid.uuid4().hex}"  # clashes with no input column
+    nameless = with_fingerprint(df.filter(F.col(id_col).isNull()), text_col, mark, width)
+    alone = classes.filter(F.col("component_id").isNull()).select(F.col("fp").alias(mark))
+    rest = nameless.join(alone, mark, "left_semi").dropDuplicates([mark]).drop(mark)
     return first.select(*df.columns).unionByName(again.select(*df.columns)).unionByName(rest.select(*df.columns))

@@ -23,7 +23,7 @@ def brute_print(text: str | None) -> int:
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_components(prints: dict) -> dict:
+def brute_components(prints: dict, threshold: int = 2) -> dict:
     ids = sorted(prints)
     parent = {i: i for i in ids}
 
@@ -34,7 +34,7 @@ def brute_components(prints: dict) -> dict:
 
     for i, a in enumerate(ids):
         for b in ids[:i]:
-            if (prints[a] ^ prints[b]).bit_count() <= 2:
+            if (prints[a] ^ prints[b]).bit_count() <= threshold:
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}
@@ -69,13 +69,25 @@ def test_links_are_complete_for_every_code(spark):
                 x ^= (1 << int(k)) if k < 63 else -(1 << 63)
             points.add(x)
     points = sorted(points)
-    df = spark.createDataFrame([(x,) for x in points], "fp long")
+    df = spark.createDataFrame([(x, x) for x in points], "fp long, component long")
     apart = {(a, b): ((a ^ b) & (2**64 - 1)).bit_count() for i, a in enumerate(points) for b in points[i + 1 :]}
     for blocks, threshold in ((2, 0), (2, 1), (2, 2), (4, 2), (2, 4)):
         got = {tuple(r) for r in simhash.near_links(df, threshold, blocks).collect()}
         assert got == {p for p, d in apart.items() if d <= threshold}, (blocks, threshold)
 
 
+def test_two_rounds_reach_the_threshold(spark):
+    """The second round links what the first left apart, and nothing within a component."""
+    rng = random.Random(9)
+    docs = {i: " ".join(rng.choices(WORDS, k=40)) for i in range(40)}
+    docs |= {100 + i: " ".join([*docs[i % 40].split()[:-1], rng.choice(WORDS)]) for i in range(160)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.label_near_duplicates(df, "doc_id", "text", threshold=4).collect()}
+    assert got == brute_components({i: brute_print(t) for i, t in docs.items()}, 4)
+    prints = spark.createDataFrame([(x, 7) for x in range(64)], "fp long, component long")
+    assert simhash.near_links(prints, 2).count() == 0
+
+
 def test_codes_are_perfect():
     for _, code in simhash.blocks_of(4):
         assert (code.counts[0] == 1).all()
