@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -45,12 +44,12 @@ def test_language_held_out(spark, small):
     found = language.Tagger(crf).predict([r["text"] for r in rows])
     assert np.mean([p == r["lang"] for (p, _), r in zip(found, rows, strict=True)]) > 0.95
     odd = spark.createDataFrame([(0, None, "x"), (1, "", "x"), (2, "12 ... 34", "x"), (3, "the of and with that\npour dans une", "x"), (4, "the " * 50_000, "x"), (3, "the", "x")], "doc_id long, text string, lang string")
-    got = {r["doc_id"]: (r["lang"], r["score"]) for r in language.identify(odd, "doc_id", "text", crf).collect()}
+    got = {r["doc_id"]: (r["lang"], r["score"]) for r in language.identify(odd.drop("lang"), "text", crf).collect()}
     assert all(got[i] == ("und", 0.0) for i in (0, 1, 2)) and got[4][0] == "en" and all(0 <= s <= 1 for _, s in got.values())
     assert language.keep_identified(odd, "text", crf).columns == odd.columns
-    assert language.identify(odd.limit(0), "doc_id", "text", crf).count() == 0
+    assert language.identify(odd.drop("lang").limit(0), "text", crf).count() == 0
     assert language.fit(odd.limit(0), "doc_id", "text", "lang", F.lit(True)) is None
-    assert [r["lang"] for r in language.identify(odd, "doc_id", "text", None).collect()] == ["und"] * 6
+    assert [r["lang"] for r in language.identify(odd.drop("lang"), "text", None).collect()] == ["und"] * 6
 
 
 def test_code_switching_is_seen_word_by_word(spark, small):
@@ -81,62 +80,85 @@ def corpus(spark):
     return texts, spark.createDataFrame([(t, i, 1.0) for i, t in enumerate(texts)], "text string, doc_id long, score double")
 
 
-def test_suffix_tree(spark):
+def words_of(text):
+    return [w.decode() for w in (text or "").encode().lower().split()] + [""]
+
+
+class PlainTree:
+    """The suffix tree with dicts: ("^", ...) are contexts from the start of a text."""
+
+    def __init__(self, texts, depth=3, gain=0.02, discount=0.5, least=2):
+        self.n, self.discount, self.least = Counter(), discount, least
+        for ws in texts:
+            ws = ["^", *ws]
+            self.n.update(tuple(ws[i : i + k]) for k in range(1, depth + 2) for i in range(len(ws) - k + 1))
+        self.total = sum(n for c, n in self.n.items() if len(c) == 1 and c != ("^",))
+        self.base = self.total + sum(len(c) == 1 and c != ("^",) for c in self.n) + 1
+        follows = {}
+        for g, n in self.n.items():
+            if len(g) > 1 and n >= least and self.n[g[:-1]] >= least:
+                follows.setdefault(g[:-1], []).append(g[-1])
+        self.depth, self.rest = depth, {}
+        for c in sorted(follows, key=len):
+            share = {x: (self.n[*c, x] - discount) / self.n[c] for x in follows[c]}
+            above = {x: self.chance(c[1:], x) for x in share}
+            left, left_above = 1 - sum(share.values()), 1 - sum(above.values())
+            if left > 0 and left_above > 0:
+                gained = sum(p * math.log(p / above[x]) for x, p in share.items()) + left * math.log(left / left_above)
+                if gained >= gain and gained * self.n[c] >= math.log(max(1, self.total)):
+                    self.rest[c] = left / left_above
+
+    def chance(self, context, word):
+        if not context:
+            return (self.n[word,] + 1) / self.base
+        if context not in self.rest:
+            return self.chance(context[1:], word)
+        n = self.n[*context, word]
+        return (n - self.discount) / self.n[context] if n >= self.least else self.rest[context] * self.chance(context[1:], word)
+
+    def score(self, words):
+        ws = ["^", *words]
+        return sum(math.log10(self.chance(tuple(ws[max(0, i - self.depth) : i]), ws[i])) for i in range(1, len(ws)))
+
+
+def test_suffix_tree_against_a_plain_one(spark, monkeypatch):
+    """Small blocks and ranges: several of each in one partition."""
+    monkeypatch.setattr(suffix_tree, "RANGE_BYTES", 4000)
+    monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", 10_000)
+    rng = np.random.default_rng(3)
+    texts, _ = corpus(spark)
+    texts += [" ".join(f"w{k}" for k in rng.zipf(1.4, 60) if k < 300) for _ in range(150)] + [texts[0]] * 3
+    rows = [*enumerate(texts), (None, texts[1]), (5, texts[5])]  # a null id and a repeated row
+    df = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, train string").repartition(3)
+    train = F.coalesce(F.col("doc_id"), F.lit(2)) % 7 != 2
+    tree = PlainTree([words_of(t) for i, t in rows if (2 if i is None else i) % 7 != 2])
+    assert max(map(len, tree.rest)) == 3 and any("^" in c for c in tree.rest)
+    want = Counter((i, len(words_of(t)), sum(tree.n[w,] > 0 for w in words_of(t)), tree.total) for i, t in rows)
+    for size in (1_000_000, 500):
+        monkeypatch.setattr(suffix_tree, "BLOCK_TOKENS", size)
+        got = suffix_tree.score_texts(df, "doc_id", "text", train).collect()
+        assert Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in got) == want
+        by_id = {i: t for i, t in rows}
+        for r in got:
+            ws = words_of(by_id[r["doc_id"]])
+            assert math.isclose(r["base_score"], sum(math.log10((tree.n[w,] + 1) / tree.base) for w in ws), rel_tol=1e-9)
+            assert math.isclose(r["score"], tree.score(ws), rel_tol=1e-5), r
+
+
+def test_suffix_tree_without_rows(spark):
     texts, df = corpus(spark)
-    train = id_crc32("doc_id") % 7 != 2
-    got = {r["doc_id"]: r for r in suffix_tree.score_texts(df, "doc_id", "text", train, least_word=0.001, least_gram=0.0001, gain=0.01).collect()}
-    tokens = [[w.decode() for w in (t or "").encode().lower().split()] + [""] for t in texts]
-    counts = Counter(w for i, ws in enumerate(tokens) if zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
-    n, v = sum(counts.values()), len(counts)
-    for i, ws in enumerate(tokens):
-        r = got[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(ws), sum(counts[w] > 0 for w in ws), n)
-        assert math.isclose(r["base_score"], sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), rel_tol=1e-9)
-    assert sum(r["score"] for r in got.values()) > 0.8 * sum(r["base_score"] for r in got.values()) and all(r["score"] <= 0 for r in got.values())
-    assert suffix_tree.score_texts(df.limit(0), "doc_id", "text", train).count() == 0
-    nothing = suffix_tree.score_texts(df, "doc_id", "text", F.lit(False)).collect()
-    assert len(nothing) == len(texts) and all(r["score"] == r["base_score"] == 0 for r in nothing)
-
-
-def test_suffix_tree_states_are_distributions(spark):
-    _, df = corpus(spark)
-    home = suffix_tree._blocks(df, "doc_id", "text", F.lit(True))  # noqa: SLF001
-    counts = Counter()
-    for b in home.toPandas().itertuples():
-        counts.update(dict(zip(suffix_tree.unpack_words(b.words), suffix_tree.unpack(b.counts).tolist(), strict=True)))
-    n, words = sum(counts.values()), {w: i for i, w in enumerate(sorted(counts))}
-    root = np.array([counts[w] for w in words])
-    tree = suffix_tree._grow(home, words, root, n, df.count(), float(n + len(words) + 1), 3, 0.001, 0.0001, 0.01, 0.5)  # noqa: SLF001
-    kept = [(d, k) for d, level in enumerate(tree.levels) for k in np.flatnonzero(level.kept)]
-    assert kept and max(d for d, _ in kept) >= 1
-    every = np.arange(len(words))
-    for d, k in kept[:200]:
-        # follow the key up to the shorter contexts
-        chain, at = {d: k}, k
-        for up in range(d, 0, -1):
-            at = int(tree.levels[up].keys[at] // tree.width)
-            chain[up - 1] = at
-        contexts = [np.full(len(every), chain.get(i, -1)) for i in range(len(tree.levels))]
-        _, best = suffix_tree._logs(tree, every, contexts, root)  # noqa: SLF001
-        unseen = 1 / tree.base
-        assert 0.99 < (10**best).sum() + unseen < 1.01
-
-
-def test_suffix_tree_tables_equal_the_tree(spark):
-    texts, df = corpus(spark)
-    tokens = [[w.decode() for w in (t or "").encode().lower().split()] + [""] for t in texts]
-    counts = Counter(w for ws in tokens for w in ws)
-    total, least = sum(counts.values()), 3
-    words = {w: i for i, w in enumerate(sorted(w for w, n in counts.items() if n >= least))}
-    root, base = np.array([counts[w] for w in words]), float(total + len(counts) + 1)
-    blocks = suffix_tree._blocks(df, "doc_id", "text", F.lit(True))  # noqa: SLF001
-    tree = suffix_tree._grow(blocks, words, root, total, len(texts), base, 3, least / total, least / total, 0.02, 0.5)  # noqa: SLF001
-    assert all(level.kept.any() for level in tree.levels[:2])
-    got = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(df, "doc_id", "text", F.lit(True), least=least).collect()}
-    for i, ws in enumerate(tokens):
-        symbols = suffix_tree._symbols(tree, ws)  # noqa: SLF001
-        _, best = suffix_tree._logs(tree, symbols, suffix_tree._contexts(tree, symbols, np.array([len(ws)])), np.array([counts[w] for w in ws]))  # noqa: SLF001
-        assert math.isclose(got[i], best.sum(), rel_tol=1e-9)
+    assert suffix_tree.score_texts(df.limit(0), "doc_id", "text", F.lit(True)).count() == 0
+    for nothing in (F.lit(False), F.lit(None).cast("boolean")):
+        rows = suffix_tree.score_texts(df, "doc_id", "text", nothing).collect()
+        assert len(rows) == len(texts) and all(r["score"] == r["base_score"] == 0 and not r["train"] for r in rows)
+
+
+def test_suffix_tree_states_are_distributions():
+    tree = PlainTree([words_of(f"the cat sat on the mat and the dog sat on w{i % 9}") for i in range(40)])
+    every = {c[0] for c in tree.n if len(c) == 1} - {"^"}
+    assert tree.rest
+    for c in tree.rest:
+        assert math.isclose(sum(tree.chance(c, w) for w in every) + tree.chance(c, "never seen"), 1, rel_tol=1e-9)
 
 
 def test_suffix_tree_keeps_rare_contexts(spark):
@@ -149,8 +171,10 @@ def test_suffix_tree_keeps_rare_contexts(spark):
 
 
 def test_pack_round_trip():
-    x = np.array([0, 1, 255, 256, 2**31 - 1, 7], np.int32)
-    assert (suffix_tree.unpack(suffix_tree.pack(x)) == x).all() and len(suffix_tree.unpack(suffix_tree.pack(x[:0]))) == 0
+    x = np.array([0, 1, 255, 256, 2**31 - 1, 2**62, 7])
+    for part in (x, x[:1], x[:0], x[4:]):
+        assert (suffix_tree.unpack(suffix_tree.pack(part)) == part).all() and len(suffix_tree.unpack(suffix_tree.pack(part))) == len(part)
+        assert (suffix_tree.unpack_bytes(suffix_tree.pack_bytes(part / 3), np.float64) == part / 3).all()
 
 
 def test_url_rules(spark):
