@@ -2,30 +2,36 @@
 
 The standard library's streaming parser cuts a page into lines, one per block element. Each line knows its
 characters, how many tags it took, how many characters are links, and the elements around it. The text-to-tag ratios
-of the page's lines are smoothed by a Gaussian; lines above a threshold, the smoothed ratios' mean less
-``slack`` standard deviations, are the seeds. Seeds are clustered by the container they stand in (article, main,
-section, div, td, body). Where an article or main is around the container whose seeds carry the most characters, it
-and those of its kind and place that carry a fair share of it are the content regions. Elsewhere it is the innermost
-container around all lines that are not mostly links, however short. All of a region's lines are kept, apart from
-lines inside boilerplate elements or elements whose class, id or role names boilerplate.
+of the page's lines, 0 inside boilerplate, are smoothed by a Gaussian; lines above a threshold, ``level`` times the mean
+of the smoothed ratios over the page's characters, are strong; the strong ones that are not mostly links are the seeds. Seeds are clustered by the containers they stand in (article,
+main, section, div, td, body). Where an article or main is around the container whose seeds carry the most characters,
+it and those of its kind and place that carry a fair share of it are the content regions. Elsewhere the innermost
+container around all seeds is. A region's lines are kept, however short, apart from boilerplate and, outside article
+and main, from weak lines that are mostly links: menus that nothing names.
+
+Roles, names and forms only weigh as long as there is other text, and so do menus and the like that are never closed:
+one that holds nearly all of a page's unlinked text, as a form around the page, is no boilerplate. A name counts if each of its parts is a word of boilerplate or says nothing. Every step is linear in the page.
 
 Defined results: a null or empty page, and one without text outside boilerplate, has the empty text. Text stands
 line by line, white space inside a line is one blank. A page without tags is one line per text. Repeated rows give
-repeated results. Input columns other than the ones named are not looked at.
+repeated results. An empty table gives an empty result. Input columns other than the ones named are not looked at.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terraproof.llm.common import release_memory, slices
+
 #: Fixed values of HTML: elements that begin a new line, have no end tag, or hold no text for readers.
 BLOCKS = frozenset("address article aside blockquote body canvas center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -34,53 +40,67 @@ BOILERPLATE = frozenset("nav header footer aside form menu dialog search fieldse
 CONTAINERS = frozenset("article main section div td body blockquote".split())
 #: p cannot hold these; their start closes an open p.
 CLOSES_P = BLOCKS - {"body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "dd", "dt", "legend", "summary", "figcaption"}
-NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|side-?bar\w*|footer\w*|header\w*|masthead|cookies?|consent|notices?|popup|modal|newsletter|subscri\w*|share|sharing|social|related|recommend\w*|widget|comments?|respond|disqus|pagination|pager|login|signup|search\w*|toolbar|skip|copyright|legal|disclaimer)(?=$|[\s_-])", re.I)
+#: Parts of class names and ids that name boilerplate, and parts that say nothing of it.
+NAMES = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored sponsors promo promos promotion nav navbar navigation navi menu menus breadcrumb breadcrumbs sidebar footer header masthead cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription share sharing social related recommended recommendations comment comments respond disqus pagination pager login signup search toolbar skip copyright disclaimer imprint".split())
+PLAIN = frozenset("a and area bar block bottom box btn button buttons center col column container content div field fixed float form global group inner item items js l large layout left link links list main md mobile new now page panel post posts primary r right row secondary section side site slot sm small sticky sub text to top top2 ui user users widget wrap wrapper xs".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
 
+def names_boilerplate(names: str) -> bool:
+    """Whether one of the names, blank-separated, is made of words of boilerplate and words that say nothing."""
+    for name in names.lower().split():
+        parts = [x for x in re.split(r"[^a-z]+", re.sub(r"side-?bar", "sidebar", name)) if x]
+        if any(x in NAMES for x in parts) and all(x in NAMES or x in PLAIN for x in parts):
+            return True
+    return False
+
+
 @dataclass
 class Line:
     region: int
-    junk: bool
+    junk: int
     parts: list[str] = field(default_factory=list)
     tags: int = 0
     linked: int = 0
-    heading: bool = False
 
 
 class Lines(HTMLParser):
-    """Collects a page's lines while the parser streams over it."""
+    """Collects a page's lines while the parser streams over it.
+
+    ``regions`` are the containers, as (tag, parent), and ``junks`` the parents of the elements that look like
+    boilerplate; number 0 of both is the page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, silent, junk, region
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, silent, junk, region
+        self.places: dict[str, list[int]] = defaultdict(list)  # where each tag stands open
+        self.walls: list[int] = []  # where containers stand open
         self.regions: list[tuple[str, int]] = [("page", -1)]
+        self.junks: list[int] = [-1]
+        self.sure: list[bool] = [False]  # boilerplate by the element's kind, and closed by its own end tag
         self.lines: list[Line] = []
         self.line: Line | None = None
-        self.links = 0
         self.pending = 0
 
-    def _state(self) -> tuple[bool, bool, int]:
-        return self.open[-1][1:] if self.open else (False, False, 0)
-
-    def _break(self) -> None:
-        self.line = None
+    def _state(self) -> tuple[bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, 0, 0)
 
     def _pop_to(self, k: int) -> None:
-        for tag, *_ in self.open[k:]:
-            self.links -= tag == "a"
+        for at, (tag, _, junk, _) in enumerate(self.open[k:]):
+            self.places[tag].pop()
+            if at and junk:
+                self.sure[junk] = False
+            if tag in CONTAINERS:
+                self.walls.pop()
         del self.open[k:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS or tag == "br":
-            self._break()
-        if tag in CLOSES_P:
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k][0] == "p":
-                    self._pop_to(k)
-                    break
-                if self.open[k][0] in CONTAINERS:
-                    break
+            self.line = None
+        wall = self.walls[-1] if self.walls else -1
+        if tag in CLOSES_P and self.places["p"] and self.places["p"][-1] > wall:
+            self._pop_to(self.places["p"][-1])
         if tag in ("li", "td", "th", "tr", "option", "dd", "dt") and self.open and self.open[-1][0] == tag:
             self._pop_to(len(self.open) - 1)
         if self.line is not None:
@@ -90,18 +110,22 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         silent, junk, region = self._state()
-        if attrs:
-            named = " ".join(v for k, v in attrs if v and k in ("class", "id"))
-            what = {k: v for k, v in attrs if k in ("role", "hidden", "aria-hidden", "style")}
-            hidden = "hidden" in what or what.get("aria-hidden") == "true" or "display:none" in (what.get("style") or "").replace(" ", "").lower()
-            junk = junk or hidden or (what.get("role") or "").lower() in ROLES or tag not in ("body", "html") and bool(named) and bool(NAMES.search(named))
         # an article may have a header of its own: its headline belongs to the article
-        inside = tag == "header" and any(x[0] in ("article", "main") for x in self.open)
-        junk = junk or tag in BOILERPLATE and not inside
+        looks = tag in BOILERPLATE and not (tag == "header" and (self.places["article"] or self.places["main"]))
+        if attrs:
+            what = {k: v or "" for k, v in attrs}
+            hidden = "hidden" in what or what.get("aria-hidden") == "true" or "display:none" in what.get("style", "").replace(" ", "").lower()
+            named = f"{what.get('class', '')} {what.get('id', '')}"
+            looks = looks or hidden or what.get("role", "").lower() in ROLES or tag not in ("body", "html") and names_boilerplate(named)
+        if looks:
+            self.junks.append(junk)
+            self.sure.append(tag in BOILERPLATE and tag not in ("form", "fieldset"))
+            junk = len(self.junks) - 1
         if tag in CONTAINERS:
             self.regions.append((tag, region))
             region = len(self.regions) - 1
-        self.links += tag == "a"
+            self.walls.append(len(self.open))
+        self.places[tag].append(len(self.open))
         self.open.append((tag, silent or tag in SILENT, junk, region))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -111,15 +135,17 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
-            self._break()
+            self.line = None
         if self.line is not None:
             self.line.tags += 1
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                self._pop_to(k)
-                return
-            if self.open[k][0] in CONTAINERS and tag not in CONTAINERS and tag not in ("html", "body") and tag not in BOILERPLATE:
-                return
+        wall = self.walls[-1] if self.walls else -1
+        if self.places[tag] and (self.places[tag][-1] >= wall or tag in CONTAINERS or tag in BOILERPLATE or tag in ("html", "body")):
+            self._pop_to(self.places[tag][-1])
+
+    def close(self) -> None:
+        super().close()
+        for _, _, junk, _ in self.open:
+            self.sure[junk] = False
 
     def handle_data(self, data: str) -> None:
         silent, junk, region = self._state()
@@ -129,11 +155,11 @@ class Lines(HTMLParser):
         if line is None or line.region != region or line.junk != junk:
             if not data.strip():
                 return
-            line = self.line = Line(region, junk, tags=self.pending, heading=any(x[0] in ("h1", "h2") for x in self.open[-3:]))
+            line = self.line = Line(region, junk, tags=self.pending)
             self.pending = 0
             self.lines.append(line)
         line.parts.append(data)
-        if self.links:
+        if self.places["a"]:
             line.linked += len(data)
 
 
@@ -145,65 +171,76 @@ def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return full(ratios) / full(np.ones(len(ratios)))
 
 
-def _around(regions: list[tuple[str, int]], at: int) -> Iterator[int]:
-    """The region and those around it, up to the page."""
-    while at >= 0:
-        yield at
-        at = regions[at][1]
+def _below(parents: list[int], own: np.ndarray) -> np.ndarray:
+    """The sum of each node's own value and those of all below it; parents stand before their children."""
+    out = own.astype(float)
+    for k in range(len(parents) - 1, 0, -1):
+        out[parents[k]] += out[k]
+    return out
+
+
+def _boilerplate(parser: Lines, lines: list[Line], free: np.ndarray, most: float) -> np.ndarray:
+    """Which lines stand inside elements that look like boilerplate and hold no more than ``most`` of the unlinked text."""
+    held = _below(parser.junks, np.bincount([x.junk for x in lines], free, len(parser.junks)))
+    bad = np.zeros(len(held), bool)
+    for k in range(1, len(held)):
+        bad[k] = bad[parser.junks[k]] or parser.sure[k] or held[k] <= most * held[0]
+    return bad[[x.junk for x in lines]]
 
 
-def main_text(html: str | None, sigma: float = 1.0, slack: float = 0.5, share: float = 0.35) -> str:
+def main_text(html: str | None, sigma: float = 1.0, level: float = 0.3, share: float = 0.35, most: float = 0.8) -> str:
     """The page's content regions, one line per block."""
     if not html:
         return ""
     parser = Lines()
     parser.feed(html)
     parser.close()
-    lines = [(x, text) for x in parser.lines if (text := " ".join("".join(x.parts).split()))]
-    if not lines:
+    found = [(x, text) for x in parser.lines if (text := " ".join("".join(x.parts).split()))]
+    if not found:
         return ""
-    size = np.array([len(t) for _, t in lines], float)
-    ratio = np.array([max(0, n - x.linked) / max(1, x.tags) for n, (x, _) in zip(size, lines, strict=True)])
-    junk = np.array([x.junk for x, _ in lines])
-    even = smooth(np.where(junk, 0.0, ratio), sigma)
-    seeds = ~junk & (ratio > 0) & (even >= even.mean() - slack * even.std())
+    lines = [x for x, _ in found]
+    size = np.array([len(t) for _, t in found], float)
+    linked = np.array([x.linked for x in lines])
+    free = np.maximum(0, size - linked)
+    junk = _boilerplate(parser, lines, free, most)
+    ratio = np.where(junk, 0.0, free / np.maximum(1, [x.tags for x in lines]))
+    even = smooth(ratio, sigma)
+    strong, mostly_links = even >= level * np.average(even, weights=size), 2 * linked >= size
+    seeds = ~junk & strong & ~mostly_links
     if not seeds.any():
         seeds = ~junk & (ratio > 0)
     if not seeds.any():
         return ""
-    regions = parser.regions
-    weight = np.zeros(len(regions))
-    for k in np.flatnonzero(seeds):
-        weight[lines[k][0].region] += size[k]
-    best = int(weight.argmax())
-    # the nearest article or main around the best region speaks for all of its parts
-    top = next((k for k in _around(regions, best) if regions[k][0] in ("article", "main")), -1)
-    whole = top < 0
-    if whole:
-        # without one, the innermost container of all lines that are not mostly links
-        linked = np.array([x.linked for x, _ in lines])
-        wanted = ~junk & (2 * linked < size)
-        wanted = [lines[k][0].region for k in np.flatnonzero(wanted if wanted.any() else seeds)]
-        top = wanted[0]
-        for region in set(wanted):
-            around = set(_around(regions, region))
-            top = next(k for k in _around(regions, top) if k in around)
-    within = np.zeros(len(regions), bool)
-    for k, (tag, parent) in enumerate(regions):
-        sibling = not whole and tag == regions[top][0] and parent == regions[top][1] and weight[k] >= share * weight[best]
+    region, parents = np.array([x.region for x in lines]), [parent for _, parent in parser.regions]
+    own = np.bincount(region[seeds], size[seeds], len(parents))
+    weight = _below(parents, own)
+    # the nearest article or main around the heaviest container speaks for all of its parts
+    top = int(own.argmax())
+    while top >= 0 and parser.regions[top][0] not in ("article", "main"):
+        top = parents[top]
+    named = top >= 0
+    if not named:  # without one, the innermost container around all seeds
+        counts = _below(parents, np.bincount(region[seeds], minlength=len(parents)))
+        top = int(np.flatnonzero(counts == counts[0]).max())
+    within = np.zeros(len(parents), bool)
+    for k, (tag, parent) in enumerate(parser.regions):
+        sibling = named and tag == parser.regions[top][0] and parent == parents[top] and weight[k] >= share * weight[top]
         within[k] = k == top or parent >= 0 and within[parent] or sibling
-    kept = [t for (x, t), bad in zip(lines, junk, strict=True) if within[x.region] and not bad]
-    return "\n".join(kept)
+    menu = mostly_links & ~strong & (not named)
+    kept = within[region] & ~junk & ~menu
+    return "\n".join(t for (_, t), x in zip(found, kept, strict=True) if x)
 
 
 def extract_main_text(df: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """One row per input row: id, url, text, n_chars."""
-    rows = df.select(F.col(id_col), F.col(url_col), F.col(html_col).alias("_html"))
+    rows = df.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
     kinds = {x.name: x.dataType.simpleString() for x in rows.schema}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [main_text(x) for x in pdf["_html"]]
-            yield pdf.drop(columns="_html").assign(text=texts, n_chars=list(map(len, texts)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "_html"):
+            texts = [main_text(x) for x in part.column("_html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["_id", "_url", "text", "n_chars"])
+        release_memory()
 
-    return rows.mapInPandas(run, f"`{id_col}` {kinds[id_col]}, `{url_col}` {kinds[url_col]}, text string, n_chars long")
+    out = rows.mapInArrow(run, f"_id {kinds['_id']}, _url {kinds['_url']}, text string, n_chars long")
+    return out.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text", "n_chars")
