@@ -5,18 +5,19 @@ and path segments. Per host:
 
 1. Variable segments (numbers, hex strings, dates, identifiers with digits; file endings are kept) become wildcards.
 2. Each node of the tree, a prefix of such segments, counts the labelled urls below it and how many are blocked.
-3. A literal segment whose block rate does not differ from that of its siblings (two-proportion z test) is merged
-   with its like siblings into a wildcard, level by level. A segment without labels is like no other, unless it is
-   one of more than ``wide`` siblings, which make the position a variable one.
-4. A url takes the verdict of its merged template, a leaf of that tree: blocked if the block rate among its labelled
-   urls, smoothed by ``weight`` urls of which half are blocked, exceeds ``limit``. So a template without labels is
-   not rejected.
+3. Level by level, the segments whose block rate does not differ from that of their siblings (two-proportion z test)
+   are merged into one wildcard. Where a segment or all of its siblings have no label, nothing tells them apart.
+4. A node's purity is the share of blocked urls among the labelled ones below it, smoothed by ``weight`` urls with the
+   purity of the node above; the host's is smoothed by urls of which half are blocked. A url takes the purity of its
+   template, a leaf of the tree, and is blocked if that exceeds ``limit``. So a template without labels is judged by
+   the next node above that has some, and on a host without any it is not rejected.
 
 Everything is grouped by (host, template prefix) with partial sums before the shuffle, so that a host with a third
-of all urls is many small groups. All segments count; with a ``depth`` only the first ``depth`` of each url do.
+of all urls is many small groups. All segments count.
 
-Defined results: a null url, or one without ``://``, has an empty host and an empty path, no rule and the
-verdict of that empty template. Repeated rows count as often as they occur. An empty table gives an empty result.
+Defined results: a null url, or one without ``://``, has an empty host and an empty path, no rule and the verdict of
+that empty template. Of rules of equal length the one first in alphabetical order is named. Repeated rows count as
+often as they occur. An empty table gives an empty result. Input columns other than the named ones are not looked at.
 """
 
 from __future__ import annotations
@@ -65,54 +66,51 @@ def segments(path: Column) -> Column:
     return F.transform(parts, lambda s: F.when(s.rlike(variable), F.concat(F.lit("*"), F.regexp_extract(s, r"(\.[A-Za-z]{2,5})?$", 1))).otherwise(s))
 
 
-def _tree(leaves: DataFrame, z: float, wide: int) -> DataFrame:
-    """Leaves (host, s, n, blocked) with their merged segments m beside the literal ones s.
+def _tree(leaves: DataFrame, z: float, weight: float) -> DataFrame:
+    """Leaves (host, s, n, blocked) with their merged segments m beside the literal ones s, and the purity above them.
 
     Level by level: the counts of the nodes (host, merged prefix, literal segment) are compared with those of their
     parent; like ones share a wildcard from there on. A leaf is done where its path ends or no other leaf shares its
     prefix, so there are as many rounds as two different paths have merged segments in common, and one more.
     """
-    going, done, level = cut(leaves.withColumn("m", F.array().cast("array<string>"))), None, 0
+    going, done, level = cut(leaves.withColumns({"m": F.array().cast("array<string>"), "above": F.lit(0.5)})), None, 0
     while not going.isEmpty():
-        above = ["host", "m"]
+        node = ["host", "m"]
         found = going.withColumn("here", F.coalesce(F.get("s", F.lit(level)), F.lit("")))
-        nodes = found.groupBy(*above, "here").agg(F.sum("n").alias("tn_here"), F.sum("blocked").alias("tb_here"), F.count(F.lit(1)).alias("leaves"))
-        totals = nodes.groupBy(*above).agg(F.sum("tn_here").alias("tn"), F.sum("tb_here").alias("tb"), F.count(F.lit(1)).alias("children"), F.sum("leaves").alias("all"))
-        both = nodes.join(totals, above)
-        n, b = F.col("tn_here"), F.col("tb_here")
-        rest_n, rest_b = F.col("tn") - n, F.col("tb") - b
-        pooled = F.col("tb") / F.greatest(F.col("tn"), F.lit(1))
-        gap = F.abs(b / F.greatest(n, F.lit(1)) - rest_b / F.greatest(rest_n, F.lit(1)))
-        noise = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(n, F.lit(1)) + 1 / F.greatest(rest_n, F.lit(1))))
-        known = (n > 0) & (rest_n > 0)
-        alike = (known & (gap <= z * noise)) | (~known & (F.col("children") > wide))
-        alone = (F.col("all") == 1) & F.lit(wide >= 1)
-        name = F.when(alike, "*").otherwise(F.col("here")).alias("name")
-        step = found.join(both.select(*above, "here", name, alone.alias("alone")), [*above, "here"])
+        parts = found.groupBy(*node, "here").agg(F.sum("n").alias("n_here"), F.sum("blocked").alias("b_here"), F.count(F.lit(1)).alias("leaves"), F.max("above").alias("above"))
+        totals = parts.groupBy(*node).agg(F.sum("n_here").alias("tn"), F.sum("b_here").alias("tb"), F.sum("leaves").alias("all"), F.max("above").alias("prior"))
+        both = parts.join(totals, node)
+        n, b, rest_n, rest_b = F.col("n_here"), F.col("b_here"), F.col("tn") - F.col("n_here"), F.col("tb") - F.col("b_here")
+        some = lambda x: F.greatest(x, F.lit(1))
+        pooled = F.col("tb") / some(F.col("tn"))
+        gap = F.abs(b / some(n) - rest_b / some(rest_n))
+        noise = F.sqrt(pooled * (1 - pooled) * (1 / some(n) + 1 / some(rest_n)))
+        alike = (n == 0) | (rest_n == 0) | (gap <= z * noise)
+        purity = (F.col("tb") + weight * F.col("prior")) / (F.col("tn") + weight)
+        told = both.select(*node, "here", F.when(alike, "*").otherwise(F.col("here")).alias("name"), (F.col("all") == 1).alias("alone"), purity.alias("purity"))
+        step = found.join(told, [*node, "here"])
         ends = F.col("here") == ""
         merged = F.when(ends, F.col("m")).when(F.col("alone"), F.concat("m", F.slice("s", F.lit(level + 1), F.size("s")))).otherwise(F.concat("m", F.array("name")))
-        step = cut(step.select("host", "s", "n", "blocked", merged.alias("m"), (ends | F.col("alone")).alias("over")))
+        step = cut(step.select("host", "s", "n", "blocked", merged.alias("m"), F.col("purity").alias("above"), (ends | F.col("alone")).alias("over")))
         over = step.filter("over").drop("over")
         done = over if done is None else done.unionByName(over)
         going, level = step.filter("NOT over").drop("over"), level + 1
     return going if done is None else done
 
 
-def judge(df: DataFrame, id_col: str, url_col: str, rules: tuple[UrlRule, ...], depth: int | None = None, z: float = 2.5, wide: int = 20, weight: float = 4.0, limit: float = 0.5) -> DataFrame:
+def judge(df: DataFrame, id_col: str, url_col: str, rules: tuple[UrlRule, ...], z: float = 2.5, weight: float = 4.0, limit: float = 0.5) -> DataFrame:
     """One row per input row: id, host, path, rule, verdict, template, purity (null where a rule decides)."""
     url = F.col(url_col)
     urls = df.select(F.col(id_col).alias("_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    parts = segments(F.col("path"))
-    parts = parts if depth is None else F.slice(parts, 1, depth)
     # a rule is all the tree learns from; where a url's label is known its template decides nothing
-    keyed = urls.select("*", rule_of(F.col("host"), F.col("path"), rules).alias("_rule"), parts.alias("s"))
+    keyed = urls.select("*", rule_of(F.col("host"), F.col("path"), rules).alias("_rule"), segments(F.col("path")).alias("s"))
     label = F.when(F.col("_rule").isNotNull(), 1).otherwise(0)
     block = F.when(F.col("_rule.verdict") == "block", 1).otherwise(0)
-    tree = cut(_tree(keyed.groupBy("host", "s").agg(F.sum(label).alias("n"), F.sum(block).alias("blocked")), z, wide))
-    scored = tree.groupBy("host", "m").agg(F.sum("n").alias("tn"), F.sum("blocked").alias("tb"))
-    purity = (F.col("tb") + weight / 2) / (F.col("tn") + weight)
+    tree = cut(_tree(keyed.groupBy("host", "s").agg(F.sum(label).alias("n"), F.sum(block).alias("blocked")), z, weight))
+    scored = tree.groupBy("host", "m").agg(F.sum("n").alias("tn"), F.sum("blocked").alias("tb"), F.max("above").alias("above"))
+    purity = (F.col("tb") + weight * F.col("above")) / (F.col("tn") + weight)
     template = F.concat(F.lit("/"), F.array_join("m", "/"))
-    verdicts = cut(tree.join(scored.select("host", "m", purity.alias("purity")), ["host", "m"]).select("host", "s", template.alias("template"), "purity"))
+    verdicts = cut(tree.select("host", "m", "s").join(scored.select("host", "m", purity.alias("purity")), ["host", "m"]).select("host", "s", template.alias("template"), "purity"))
     # The side of the templates is unique by key; a frequent template is the sort-merge join's skew, which it splits.
     out = keyed.join(verdicts, ["host", "s"], "left")
     by_tree = F.when(F.col("purity") > limit, "block").otherwise("allow")
