@@ -6,20 +6,23 @@ length, so that a stray ``BM`` in prose is no bitmap. The hit at offset 0 correc
 confirmed hits behind it are the embedded media, outermost first.
 
 Defined results: a null or empty value has type ``application/octet-stream``, length 0 and no embedded media.
-Types are MIME names. ``declared_ok`` is null where no type was declared. Repeated rows give repeated results.
+Types are MIME names. ``declared_ok`` is null where no type was declared. Repeated rows give repeated results. An
+empty table gives an empty result. A FLAC stream does not tell its length and reaches to the end of the value.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import ahocorasick
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+
+from terraproof.llm.common import release_memory, slices
 
 UNKNOWN = "application/octet-stream"
 #: Each format's magic bytes, and how far behind the format's first byte they stand.
@@ -37,6 +40,8 @@ SIGNATURES = [
     ("application/zip", b"PK\x03\x04", 0),
     ("application/gzip", b"\x1f\x8b\x08", 0),
 ]
+#: Marks that the ends of documents and archives are found by.
+EOF, XREF, PDF, ZIP_END = CLOSING = (b"%%EOF", b"startxref", b"%PDF-", b"PK\x05\x06")
 
 
 def _png(b: bytes, at: int) -> int:
@@ -141,25 +146,40 @@ def _ogg(b: bytes, at: int) -> int:
     return pos - at
 
 
-def _pdf(b: bytes, at: int) -> int:
+class Marks:
+    """Where a value's closing marks stand, found in the pass that finds the magic bytes."""
+
+    def __init__(self) -> None:
+        self.at: dict[bytes, list[int]] = {x: [] for x in CLOSING}
+        self.archives: dict[int, int] | None = None
+
+    def next(self, mark: bytes, start: int) -> int:
+        """The first place of the mark from ``start`` on, or -1."""
+        held = self.at[mark]
+        k = bisect_left(held, start)
+        return held[k] if k < len(held) else -1
+
+
+def _pdf(b: bytes, at: int, marks: Marks) -> int:
     if not b[at + 5 : at + 6].isdigit():
         return 0
-    end = b.find(b"%%EOF", at)
-    if end < 0 or b.find(b"startxref", at, end) < 0:
+    end = marks.next(EOF, at)
+    if end < 0 or not 0 <= marks.next(XREF, at) < end:
         return 0
-    while (more := b.find(b"%%EOF", end + 5)) >= 0 and b.find(b"%PDF-", end, more) < 0:
+    while (more := marks.next(EOF, end + 5)) >= 0 and not 0 <= marks.next(PDF, end) < more:
         end = more
     return end + 5 - at
 
 
-def _zip(b: bytes, at: int) -> int:
-    end = b.find(b"PK\x05\x06", at)
-    while 0 <= end <= len(b) - 22:
-        size, start, note = struct.unpack_from("<IIH", b, end + 12)
-        if at + start + size == end and end + 22 + note <= len(b):
-            return end + 22 + note - at
-        end = b.find(b"PK\x05\x06", end + 4)
-    return 0
+def _zip(b: bytes, at: int, marks: Marks) -> int:
+    if marks.archives is None:  # each closing record says where its archive begins
+        marks.archives = {}
+        for end in marks.at[ZIP_END]:
+            if end <= len(b) - 22:
+                size, start, note = struct.unpack_from("<IIH", b, end + 12)
+                if end + 22 + note <= len(b):
+                    marks.archives.setdefault(end - size - start, end + 22 + note)
+    return max(0, marks.archives.get(at, at) - at)
 
 
 def _gzip(b: bytes, at: int) -> int:
@@ -176,17 +196,19 @@ def _gzip(b: bytes, at: int) -> int:
     return min(pos, len(b)) - at - len(unpack.unused_data) if unpack.eof else 0
 
 
-VALIDATORS: dict[str, Callable[[bytes, int], int]] = {
+VALIDATORS: dict[str, Callable[..., int]] = {
     "image/png": _png, "image/gif": _gif, "image/jpeg": _jpeg, "image/bmp": _bmp, "audio/wav": _riff, "image/webp": _riff,
     "audio/flac": _flac, "application/ogg": _ogg, "application/pdf": _pdf, "application/zip": _zip, "application/gzip": _gzip,
 }
+MARKED = {"application/pdf", "application/zip"}
 
 
 def build_automaton() -> ahocorasick.Automaton:
-    """The automaton over all magic bytes; bytes stand as Latin-1 characters."""
-    found = ahocorasick.Automaton()
-    for kind, magic, back in SIGNATURES:
-        found.add_word(magic.decode("latin-1"), (kind, len(magic) - 1 + back))
+    """The automaton over all magic bytes and closing marks; bytes stand as Latin-1 characters."""
+    found, named = ahocorasick.Automaton(), dict.fromkeys([m for _, m, _ in SIGNATURES] + list(CLOSING))
+    for magic in named:
+        kinds = [(kind, back) for kind, m, back in SIGNATURES if m == magic]
+        found.add_word(magic.decode("latin-1"), (magic, kinds[0] if kinds else None))
     found.make_automaton()
     return found
 
@@ -199,9 +221,15 @@ def sniff(b: bytes | None, automaton: ahocorasick.Automaton) -> tuple[str, int,
     if not b:
         return UNKNOWN, 0, []
     kind, length, inside, past = UNKNOWN, len(b), [], 0
-    for end, (name, back) in sorted(((e, v) for e, v in automaton.iter(b.decode("latin-1"))), key=lambda x: x[0] - x[1][1]):
-        at = end - back
-        if at < 0 or at and at < past or not (n := VALIDATORS[name](b, at)):
+    hits, marks = [], Marks()
+    for last, (magic, opens) in automaton.iter(b.decode("latin-1")):
+        at = last - len(magic) + 1
+        if magic in marks.at:
+            marks.at[magic].append(at)
+        if opens:
+            hits.append((at - opens[1], opens[0]))
+    for at, name in sorted(hits):
+        if at < 0 or at and at < past or not (n := VALIDATORS[name](b, at, marks) if name in MARKED else VALIDATORS[name](b, at)):
             continue
         if at == 0:
             if kind == UNKNOWN:
@@ -212,26 +240,25 @@ def sniff(b: bytes | None, automaton: ahocorasick.Automaton) -> tuple[str, int,
     return kind, length, inside
 
 
-SNIFFED = "type string, declared_ok boolean, length long, embedded array<struct<type:string,start:long,length:long>>"
+SPAN = pa.struct([("type", pa.string()), ("start", pa.int64()), ("length", pa.int64())])
+SNIFFED = {"type": pa.string(), "declared_ok": pa.bool_(), "length": pa.int64(), "embedded": pa.list_(SPAN)}
 
 
-def _sniffed(values: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+def sniff_batches(batches: Iterator[pa.RecordBatch], content: str, declared: str | None, carve: bool = False) -> Iterator[pa.RecordBatch]:
+    """Each batch with the columns of SNIFFED behind its own and, with ``carve``, the embedded bytes."""
     automaton = build_automaton()
-    for content, declared in values:
-        rows = []
-        for b, said in zip(content, declared, strict=True):
+    for part in slices(batches, content):
+        found, values = [], part.column(content).to_pylist()
+        for b, said in zip(values, part.column(declared).to_pylist() if declared else [None] * len(part), strict=True):
             kind, n, inside = sniff(b, automaton)
-            rows.append((kind, None if said is None else said == kind, n, [dict(zip(("type", "start", "length"), x, strict=True)) for x in inside]))
-        yield pd.DataFrame(rows, columns=["type", "declared_ok", "length", "embedded"])
-
-
-def sniff_column(content: Column, declared: Column) -> Column:
-    """Struct of the true type, whether the declared one was right, the length and the embedded media."""
-    return pandas_udf(_sniffed, SNIFFED)(content, declared)
-
-
-def _carved(content: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([[b[s["start"] : s["start"] + s["length"]] for s in inside] if b is not None and inside is not None else [] for b, inside in zip(content, spans, strict=True)])
+            found.append((kind, None if said is None else said == kind, n, [dict(zip(("type", "start", "length"), x, strict=True)) for x in inside]))
+        for (name, to), x in zip(SNIFFED.items(), zip(*found, strict=True), strict=True):
+            part = part.append_column(name, pa.array(x, to))
+        if carve:
+            cuts = [[b[s["start"] : s["start"] + s["length"]] for s in inside] for b, (*_, inside) in zip(values, found, strict=True)]
+            part = part.append_column("carved", pa.array(cuts, pa.list_(pa.binary())))
+        yield part
+    release_memory()
 
 
 def sniff_media(df: DataFrame, id_col: str, content_col: str, declared_col: str | None = None, carve: bool = False) -> DataFrame:
@@ -239,10 +266,15 @@ def sniff_media(df: DataFrame, id_col: str, content_col: str, declared_col: str
 
     Other input columns are not looked at, so their names cannot clash.
     """
-    declared = F.col(declared_col) if declared_col else F.lit(None).cast("string")
-    found = df.select(F.col(id_col), F.col(content_col).alias("_content"), sniff_column(F.col(content_col), declared).alias("_found"))
-    cols = [F.col(id_col), F.col("_found.*")]
-    return found.select(*cols, *([pandas_udf(_carved, "array<binary>")("_content", "_found.embedded").alias("carved")] if carve else []))
+    rows = df.select(F.col(id_col).alias("_id"), F.col(content_col).alias("_content"), (F.col(declared_col) if declared_col else F.lit(None)).cast("string").alias("_declared"))
+    kept = ["_id", *SNIFFED, *["carved"] * carve]
+    schema = f"_id {rows.schema['_id'].dataType.simpleString()}, type string, declared_ok boolean, length long, embedded array<struct<type:string,start:long,length:long>>" + ", carved array<binary>" * carve
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sniff_batches(batches, "_content", "_declared", carve):
+            yield part.select(kept)
+
+    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
 def to_wav(payload: bytes, rate: int = 8000) -> bytes:

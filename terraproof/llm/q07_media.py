@@ -6,59 +6,55 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from terraproof.llm.common import table
-from terraproof.llm.media import sniff_column, to_wav, wav_chunks
+from terraproof.llm.common import slices, table
+from terraproof.llm.media import sniff_batches, to_wav, wav_chunks
 
 UNIT = 576
+RESULT = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def stored(texts: pd.Series) -> pd.Series:
-    """UTF-8 bytes, filled up with 255 to a positive multiple of UNIT, as the samples of a WAV file."""
+def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """UTF-8 bytes, filled up with 255 to a positive multiple of UNIT, as the samples of a WAV file.
 
-    def one(text: str | None) -> bytes:
-        b = (text or "").encode()
-        return to_wav(b.ljust(max(1, -(-len(b) // UNIT)) * UNIT, b"\xff"))
-
-    return texts.map(one)
+    The stored form is declared as ``image/png`` on purpose: the operator has to correct it.
+    """
+    for part in slices(batches, "text", 1 << 20):
+        held = [x.encode("utf-8", "surrogatepass") for x in part.column("text").to_pylist()]
+        media = [to_wav(b.ljust(max(1, -(-len(b) // UNIT)) * UNIT, b"\xff")) for b in held]
+        columns = [part.column("doc_id"), pa.array(list(map(len, held))), pa.array(media, pa.binary()), pa.array(["image/png"] * len(part))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "media", "declared"])
 
 
-READ_BACK = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, form string"
+def read_back(b: bytes) -> tuple:
+    """What the stored bytes themselves say: the samples come out of the data chunk."""
+    chunks = wav_chunks(b)
+    (fmt, _), (start, n) = chunks[b"fmt "], chunks[b"data"]
+    samples = memoryview(b)[start : start + n]
+    channels, rate, bits = (int.from_bytes(b[fmt + i : fmt + i + k], "little") for i, k in ((2, 2), (4, 4), (14, 2)))
+    return n, hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(b), hashlib.sha256(b).hexdigest(), f"channels={channels};rate={rate};bits={bits};frames={n}"
 
 
-def read_back(media: pd.Series) -> pd.DataFrame:
-    """What the stored bytes themselves say: the samples come out of the data chunk."""
-    rows = []
-    for b in media:
-        chunks = wav_chunks(b)
-        (fmt, _), (start, n) = chunks[b"fmt "], chunks[b"data"]
-        samples = memoryview(b)[start : start + n]
-        channels, rate, bits = (int.from_bytes(b[fmt + i : fmt + i + k], "little") for i, k in ((2, 2), (4, 4), (14, 2)))
-        rows.append((n, hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(b), hashlib.sha256(b).hexdigest(), f"channels={channels};rate={rate};bits={bits};frames={n}"))
-    return pd.DataFrame(rows, columns=["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "form"])
+def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The contract's columns; ``feature`` is what sniffing says of the stored form."""
+    names = [x.split()[0] for x in RESULT.split(", ")]
+    for part in batches:
+        rows = []
+        for x in part.select(["media", "type", "declared_ok", "length", "embedded"]).to_pylist():
+            *found, form = read_back(x["media"])
+            spans = ",".join(f"{s['type']}@{s['start']}+{s['length']}" for s in x["embedded"])
+            rows.append((*found, f"{x['type']};declared_ok={str(x['declared_ok']).lower()};length={x['length']};{form};embedded={spans}"))
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), *map(pa.array, zip(*rows, strict=True))], names=names)
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document the digests of its stored form; ``feature`` is what sniffing says of it.
+    """Stored, sniffed and read back in one pass, few texts at a time."""
 
-    The stored form is declared as ``image/png`` on purpose: the operator has to correct it.
-    """
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), pandas_udf(stored, "binary")("text").alias("media"))
-    found = docs.select("doc_id", "n_bytes", pandas_udf(read_back, READ_BACK)("media").alias("r"), sniff_column(F.col("media"), F.lit("image/png")).alias("s"))
-    spans = F.concat_ws(",", F.transform("s.embedded", lambda x: F.concat(x["type"], F.lit("@"), x["start"].cast("string"), F.lit("+"), x["length"].cast("string"))))
-    feature = F.concat_ws(";", F.col("s.type"), F.concat(F.lit("declared_ok="), F.col("s.declared_ok").cast("string")), F.concat(F.lit("length="), F.col("s.length").cast("string")), F.col("r.form"), F.concat(F.lit("embedded="), spans))
-    return found.select("doc_id", "n_bytes", *(f"r.{c}" for c in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256")), feature.alias("feature"))
-
-
-def reference(rows: Iterator[tuple[int, str | None]]) -> dict[int, tuple]:
-    """The contract's digests without the operator, for tests."""
-    out = {}
-    for doc_id, text in rows:
-        b = (text or "").encode()
-        p = b + b"\xff" * (max(UNIT, -(-len(b) // UNIT) * UNIT) - len(b))
-        out[doc_id] = (len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return digests(sniff_batches(store(batches), "media", "declared"))
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return docs.mapInArrow(run, RESULT)
