@@ -13,8 +13,9 @@ bottom-up. Around each join a window is encoded anew and grown until both sides
 Encodings of short blank-free runs are kept in a bounded cache, as natural text repeats them. A new run made of
 Western European letters and a tail of ASCII signs without apostrophe is two pre-tokens at most and goes to the
 library's merge model directly; every other run goes through the library's whole chain.
-Texts longer than ``spread`` are cut into leaves that a shuffle brings together by text; one task encodes all leaves of
-a text. All others stay in the task that reads them. Both ways run the same joins and give the same ids.
+Texts longer than ``spread`` are cut into parts that a shuffle deals to different tasks, which encode them in parallel;
+only their ids, tokens and edge runs then come together by text to be joined. All others are halved and joined in the
+task that reads them. Both ways run the same joins and give the same ids.
 
 Defined results: a null text is the empty text; it has 0 tokens, and both its texts are empty. Repeated rows
 give repeated results. Input columns other than the id and the text are not looked at.
@@ -28,12 +29,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from terraproof.llm.cache import Recent, byte_letters
-from terraproof.llm.common import cut
+from terraproof.llm.common import cut, release_memory, slices
 
 #: Letters without any normal form but their own, then signs that make one pre-token.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -205,7 +207,25 @@ def _row(piece: Piece, texts: bool) -> tuple:
     return (n, *(hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in (ids, decoded)), *((ids, decoded) if texts else ()))
 
 
-def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, leaf: int = 4096, margin: int = 64, spread: int = 4_000_000, texts: bool = False) -> DataFrame:
+PART = "_key string, _at int, first string, last string, opens boolean, closes boolean, ids array<string>, tokens array<string>, n array<long>"
+
+
+def ends_apart(piece: Piece) -> list[Encoded]:
+    """A piece's runs, all between the first and the last as one: joins only touch those two."""
+    if len(piece.runs) < 4:
+        return piece.runs
+    inner, middle = Encoded((), ()), [x for x in piece.runs[1:-1] if x.n]
+    inner.ids, inner.tokens, inner.n = " ".join([x.ids for x in middle]), " ".join([x.tokens for x in middle]), sum([x.n for x in middle])
+    return [piece.runs[0], inner, piece.runs[-1]]
+
+
+def _again(ids: str, tokens: str, n: int) -> Encoded:
+    out = Encoded((), ())
+    out.ids, out.tokens, out.n = ids, tokens, int(n)
+    return out
+
+
+def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, leaf: int = 4096, margin: int = 64, spread: int = 65_536, texts: bool = False) -> DataFrame:
     """Per row: id, n_tokens, digests of ids and decoded text and, with ``texts``, both as text.
 
     ``path`` is a tokenizers file without a decoder whose pre-tokens never span ASCII white space. ``spread``
@@ -215,28 +235,47 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, leaf: int
     result = RESULT + (", ids string, decoded string" if texts else "")
     rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     id_type = rows.schema["_id"].dataType.simpleString()
-
-    def here(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e, apart = encoder(path, leaf, margin), (None,) * len(names)
-        for pdf in batches:
-            out = pd.DataFrame([(*apart, x) if len(x) > spread else (*_row(e.encode(x), texts), None) for x in pdf["_text"]], columns=[*names, "_long"])
-            out.insert(0, "_id", pdf["_id"].array)
-            yield out.astype({"n_tokens": "Int64"})
+    kinds = [pa.int64(), *[pa.string()] * (len(names) - 1), pa.string(), pa.int32(), pa.string()]
+
+    def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e, apart, seen = encoder(path, leaf, margin), (None,) * len(names), set()
+        for batch in slices(batches, "_text"):
+            out = []
+            for k, text in enumerate(batch.column("_text").to_pylist()):
+                if len(text) <= spread:
+                    out.append((k, *_row(e.encode(text), texts), None, None, None))
+                    continue
+                key = hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+                out.append((k, *apart, key, None, None))
+                if key not in seen:  # copies in one task are cut once
+                    seen.add(key)
+                    out += [(None, *apart, key, at, text[at * spread : (at + 1) * spread]) for at in range(-(-len(text) // spread))]
+            owner, *rest = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column("_id").take(pa.array(owner, pa.int64())), *map(pa.array, rest, kinds)], names=["_id", *names, "_key", "_at", "_part"])
+        release_memory()
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e, named = encoder(path, leaf, margin), [x.split()[0] for x in PART.split(", ")]
+        for batch in slices(batches, "_part"):
+            out = []
+            for key, at, text in zip(*(batch.column(x).to_pylist() for x in ("_key", "_at", "_part")), strict=True):
+                piece = e.encode(text)
+                runs = ends_apart(piece)
+                out.append((key, at, piece.first, piece.last, piece.opens, piece.closes, *([getattr(x, held) for x in runs] for held in ("ids", "tokens", "n"))))
+            to = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*out, strict=True), to)), names=named)
+        release_memory()
 
     def joined(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        e = encoder(path, leaf, margin)
-        parts = pdf.sort_values("_at")["_part"]
-        piece = e.join_all(list(map(e.encode, parts)))
+        e, pdf = encoder(path, leaf, margin), pdf.sort_values("_at")
+        piece = e.join_all([Piece(x.first, x.last, list(map(_again, x.ids, x.tokens, x.n)), x.opens, x.closes) for x in pdf.itertuples()])
         return pd.DataFrame([(key[0], *_row(piece, texts))], columns=["_key", *names])
 
-    # one pass over the table: results of all texts but the long ones, which come along as they are
-    first = cut(rows.mapInPandas(here, f"_id {id_type}, {result}, _long string"))
-    short = first.filter("_long IS NULL").drop("_long")
-    # One long text is one group: it is bounded by what a single row can hold. Copies are encoded once.
-    long = first.filter("_long IS NOT NULL").select("_id", F.col("_long").alias("_text")).withColumn("_key", F.sha2("_text", 256))
-    n = F.ceil(F.length("_text") / F.lit(spread)).cast("int")
-    cuts = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.struct(k.alias("_at"), F.substr("_text", k * spread + 1, F.lit(spread)).alias("_part")))
-    parts = long.dropDuplicates(["_key"]).select("_key", F.explode(cuts).alias("_x")).select("_key", "_x.*")
-    whole = parts.groupBy("_key").applyInPandas(joined, f"_key string, {result}")
-    far = long.select("_id", "_key").join(whole, "_key").select("_id", *names)
+    # one pass over the table: results of all texts but the long ones, which come along in parts
+    first = cut(rows.mapInArrow(here, f"_id {id_type}, {result}, _key string, _at int, _part string"))
+    short = first.filter("_key IS NULL").select("_id", *names)
+    # the shuffle that drops copies deals the parts of a text to different tasks; their ids then meet by text
+    parts = first.filter("_at IS NOT NULL").select("_key", "_at", "_part").dropDuplicates(["_key", "_at"])
+    whole = parts.mapInArrow(encoded, PART).groupBy("_key").applyInPandas(joined, f"_key string, {result}")
+    far = first.filter("_key IS NOT NULL AND _at IS NULL").select("_id", "_key").join(whole, "_key").select("_id", *names)
     return short.unionByName(far).withColumnRenamed("_id", id_col)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import random
+import re
 import struct
+import wave
 import zlib
 from collections import Counter
 
@@ -14,7 +17,7 @@ from tokenizers import Tokenizer
 
 from terraproof.llm import bpe, chat, media, packing, quality
 from terraproof.llm.q04_bpe import tokenizer_file
-from terraproof.llm.q07_media import reference
+from terraproof.llm.q07_media import UNIT
 
 TEXTS = [None, "", " \n\t", "a b c a b c", "a b c a b", "a a a", "a a a a", "Über #1 | x\nder Text\nder Text\n \n", "wort " * 3000, "x" * 20_000, "don't  stop\n\nnow é中\u00a0!", "<|endoftext|> a", "and the of " * 30]
 
@@ -57,6 +60,22 @@ def test_bpe_matches_the_library(spark):
     assert bpe.encode_texts(docs(spark).limit(0), "doc_id", "text", path).count() == 0
 
 
+def test_bpe_parts_of_a_text_are_encoded_apart(spark):
+    """The parts are encoded before the shuffle that brings them together by text; copies share their parts."""
+    path = tokenizer_file("word_bpe_49k.json")
+    tok, rng = Tokenizer.from_file(path), random.Random(5)
+    long = ["".join(rng.choice("etaoin srhlÜé'.\n") for _ in range(n)) for n in (999, 1000, 1001, 2500, 7001)] + ["x" * 5000, " " * 3000]
+    df = docs(spark, [*long, long[4], long[4], None]).repartition(3)
+    out = bpe.encode_texts(df, "doc_id", "text", path, leaf=64, margin=4, spread=1000)
+    for r in out.collect():
+        text = [*long, long[4], long[4], ""][r["doc_id"]]
+        ids = tok.encode(text, add_special_tokens=False).ids
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() and r["n_tokens"] == len(ids)
+        assert r["decoded_sha256"] == hashlib.sha256(tok.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    plan = out._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert re.search(r"FlatMapGroupsInPandas.*?hashpartitioning\(_key#\d+, \d+\).*?MapInArrow encoded.*?hashpartitioning\(_key#\d+, _at#\d+, \d+\)", plan, re.S)
+
+
 def test_bpe_joins_at_any_place():
     path = tokenizer_file("word_bpe_49k.json")
     tok, rng = Tokenizer.from_file(path), random.Random(1)
@@ -86,9 +105,21 @@ def test_packing(spark):
         assert list(g["offset"]) == [0, *g["length"].cumsum()[:-1]] and g["length"].sum() <= 256
     same = packing.pack_documents(docs(spark, ["a b c"] * 50), "doc_id", "text", path).toPandas()
     assert len(same) == 50 and same["sequence_id"].nunique() == 1
+    # equal rows without an id part into groups
+    equal = spark.createDataFrame([(None, "", "clash")] * 3000, "doc_id long, text string, sequence_id string")
+    groups = packing.pack_documents(equal, "doc_id", "text", path, group_size=300).selectExpr("shiftright(sequence_id, 32) AS g").groupBy("g").count().toPandas()
+    assert groups["count"].sum() == 3000 and len(groups) == 10 and groups["count"].max() < 600
     assert packing.pack_documents(docs(spark).limit(0), "doc_id", "text", path).count() == 0
 
 
+def test_packing_fill(spark, small):
+    path = tokenizer_file("byte_bpe_50k.json")
+    got = packing.pack_documents(spark.read.parquet(f"{small}/documents.parquet"), "doc_id", "text", path).toPandas()
+    full = got[got["length"] == 1024]
+    assert len(full) and full["sequence_id"].is_unique and (full["offset"] == 0).all() and (full["sequence_id"] >= packing.FULL).all()
+    assert got["length"].sum() / (1024 * got["sequence_id"].nunique()) > 0.98
+
+
 def test_first_fit_decreasing():
     rng = random.Random(2)
     lengths = sorted((rng.randrange(1, 101) for _ in range(500)), reverse=True)
@@ -115,7 +146,6 @@ SAMPLES = {
 
 
 def test_sniffing(spark):
-    import io
     import zipfile
 
     z = io.BytesIO()
@@ -136,11 +166,35 @@ def test_media_round_trip(spark, tmp_path):
     from terraproof.llm.q07_media import op7_media
 
     texts = [None, "", "a" * 576, "b" * 577, "é" * 400, "BM GIF89a %PDF-1"]
-    docs(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
-    want = reference(enumerate(texts))
+    texts += [texts[2], "é中" * 40_000]
+    rows = spark.createDataFrame([(t, i, "clash") for i, t in enumerate(texts)] + [(texts[3], 3, "again")], "text string, doc_id long, feature string")
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    rows.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     got = op7_media(spark, str(tmp_path)).collect()
-    assert {r["doc_id"]: (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) for r in got} == want
-    assert all(r["feature"].startswith("audio/wav;declared_ok=false") for r in got)
+    assert len(got) == len(texts) + 1 and op7_media(spark, str(tmp_path / "none")).count() == 0
+    for r in got:
+        b = (texts[r["doc_id"]] or "").encode()
+        p = b + b"\xff" * (max(UNIT, -(-len(b) // UNIT) * UNIT) - len(b))
+        with io.BytesIO() as stored:
+            with wave.open(stored, "wb") as w:  # the standard library's writer and reader
+                w.setnchannels(1)
+                w.setsampwidth(1)
+                w.setframerate(8000)
+                w.writeframes(p)
+            form = stored.getvalue()
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(form), hashlib.sha256(form).hexdigest())
+        assert r["feature"] == f"audio/wav;declared_ok=false;length={len(form)};channels=1;rate=8000;bits=8;frames={len(p)};embedded="
+
+
+def test_sniffing_takes_linear_time():
+    import time
+
+    automaton = media.build_automaton()
+    for magic in (b"%PDF-1", b"PK\x03\x04", b"%PDF-1 %%EOF "):
+        began = time.perf_counter()
+        assert media.sniff(magic * 200_000, automaton)[0] == media.UNKNOWN
+        assert time.perf_counter() - began < 5
 
 
 def rotate(spark, rows, **kw):
@@ -150,26 +204,32 @@ def rotate(spark, rows, **kw):
 
 def test_chat(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, "ann", "ünd"), (2, 0, "system", "alone"), (None, None, None, "lost"), (1, 3, "ann", "ünd")]
-    got = {(r["conv_id"], r["perspective"]): r for r in rotate(spark, rows, block_turns=64).collect() if r["block"] is not None}
-    assert set(got) == {(1, "ann"), (1, "bob")}
+    got = {(r["conv_id"], r["perspective"]): r for r in rotate(spark, rows, block_turns=64).collect()}
+    assert set(got) == {(1, "ann"), (1, "bob"), (None, "unknown")}
     r = got[1, "ann"]
     assert r["text"].startswith("<|start|>system<|message|>be kind<|end|>\n<|start|>assistant<|message|>hi<|end|>\n<|start|>user name=bob<|message|><|end|>\n") and r["n_turns"] == 5
     spans = [tuple(map(int, s.split("+"))) for s in r["mask"].split(",")]
     assert [r["text"][a : a + n] for a, n in spans] == ["hi", "ünd", "ünd"] and r["n_masked"] == 8
-    lost = [x for x in rotate(spark, rows).collect() if x["conv_id"] is None]
-    assert [(x["perspective"], x["mask"]) for x in lost] == [("unknown", "29+4")]
+    assert got[None, "unknown"]["mask"] == "29+4"
     assert rotate(spark, []).count() == 0
 
 
-def test_chat_blocks_are_the_dialogue(spark):
-    rng = random.Random(6)
-    rows = [(1, t, rng.choice("abc"), f"t{t}") for t in range(150)] + [(2, 0, "a", f"x{i % 3}") for i in range(30)]
-    whole = {r["perspective"]: r["text"] for r in rotate(spark, rows[:150], block_turns=1000).collect()}
-    parts = rotate(spark, rows, block_turns=16).toPandas()
-    for who, text in whole.items():
-        assert "".join(parts[(parts.conv_id == 1) & (parts.perspective == who)].sort_values("block")["text"]) == text
-    crowd = parts[parts.conv_id == 2]
-    assert len(crowd) == 3 and crowd["copies"].sum() == 30 and (crowd["n_turns"] == 1).all()
+@pytest.mark.parametrize("copies", [63, 64, 65, 300])
+def test_chat_has_one_form_at_every_size(spark, copies):
+    """A turn number of so many rows, equal and different ones, before and behind other turns."""
+    rng = random.Random(copies)
+    rows = [(1, t, rng.choice("abc"), f"t{t}") for t in range(70)] + [(1, 9, "a", f"x{i % 3}" if i % 2 else f"y{i}") for i in range(copies)]
+    rows += [(2, None, "b", "same")] * copies + [(2, 1, "c", "end")]
+    turns = {c: sorted((-1 if t is None else t, who, said) for conv, t, who, said in rows if conv == c) for c in (1, 2)}
+    got = {(r["conv_id"], r["perspective"], r["block"]): r for r in rotate(spark, rows, block_turns=64).collect()}
+    want = {(c, p, b) for c, ts in turns.items() for p in {w for _, w, _ in ts} for b in range(-(-len(ts) // 64))}
+    assert set(got) == want
+    for (c, p, b), r in got.items():
+        part = turns[c][64 * b : 64 * (b + 1)]
+        assert r["n_turns"] == len(part)
+        assert r["text"] == "".join(f"<|start|>{'assistant' if w == p else 'user name=' + w}<|message|>{said}<|end|>\n" for _, w, said in part)
+        spans = [tuple(map(int, s.split("+"))) for s in r["mask"].split(",") if s]
+        assert [r["text"][a : a + n] for a, n in spans] == [said for _, w, said in part if w == p]
 
 
 @pytest.mark.parametrize("name", ["op2_quality", "op8_chat"])
