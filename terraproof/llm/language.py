@@ -1,7 +1,8 @@
 """Language identification by a linear-chain conditional random field over words.
 
 A word's features are its affixes, its character n-grams and what a lexicon learned from the sample says of it;
-the transitions between the languages of neighbouring words are learned as well. Forward-backward gives each
+the transitions between the languages of neighbouring words are learned as well, from the sample's documents and from
+lines spliced of two of them. Forward-backward gives each
 word's language probabilities in code-switched text; a line break ends a chain. A run of more than 62 characters
 without a blank counts as several words, so that text in scripts without blanks is read whole. A document's language is the one
 with the largest sum over its words, its score that sum per word.
@@ -10,7 +11,9 @@ The field is fitted on the driver on a bounded sample: at most ``2 * per_languag
 ``most_languages`` most frequent languages, none longer than ``most_chars``. Everything else covers all rows.
 
 Defined results: a text that is null or holds no letter is ``und`` with score 0; so is every text where there is
-nothing to learn from. Words without a letter have no say. Ties go to the first language in alphabetical order.
+nothing to learn from. Words without a letter have no say. Ties go to the first language in alphabetical order. Null
+ids are read like others; repeated rows give repeated results. An empty table gives an empty result. Other input
+columns go through untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from terraproof.llm.common import release_memory, slices
 UNKNOWN = "und"
 #: Longer runs without a blank are cut into units of so many trigrams, each a position of the chain.
 LONGEST, UNIT = 62, 16
+#: Words that a document gives to a line of two languages.
+SPLICE = 20
 EDGES = ".,;:!?\"'()[]{}|*#$%&<>-_=+/\\"
 
 
@@ -137,14 +142,25 @@ def train(texts: list[str], langs: list[str], rounds: int = 20, rate: float = 0.
     types: dict[str, int] = {}
     ids, gold, lengths = [], [], []
     by_word: dict[str, Counter] = defaultdict(Counter)
+
+    def learn(forms: list[str], langs: list[int]) -> None:
+        ids.extend(types.setdefault(w, len(types)) for w in forms)
+        gold.extend(langs)
+        lengths.append(len(forms))
+
+    heads = []
     for chains, lang in zip(_chains(texts), langs, strict=True):
+        heads.append(([], code[lang]))
         for words in chains:
             forms = list(map(normal, words))
-            ids += [types.setdefault(w, len(types)) for w in forms]
-            gold += [code[lang]] * len(forms)
-            lengths.append(len(forms))
+            learn(forms, [code[lang]] * len(forms))
+            heads[-1][0].extend(forms[: SPLICE - len(heads[-1][0])])
             for w in forms:
                 by_word[w][code[lang]] += 1
+    # a document has one language, so switches are learned from the heads of two documents in one line
+    for (a, x), (b, y) in zip(heads, heads[1:] + heads[:1], strict=True):
+        if x != y and a and b:
+            learn(a + b, [x] * len(a) + [y] * len(b))
     if not ids:
         return None
     seen = Counter(f for w in types if w for f in features(w))
@@ -278,7 +294,7 @@ def sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, is_train: C
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 
-def fit(df: DataFrame, id_col: str, text_col: str, lang_col: str, is_train: Column, per_language: int = 80, most_languages: int = 64, most_chars: int = 60_000) -> Crf | None:
+def fit(df: DataFrame, id_col: str, text_col: str, lang_col: str, is_train: Column, per_language: int = 80, most_languages: int = 64, most_chars: int = 20_000) -> Crf | None:
     return train(*sample(df, id_col, text_col, lang_col, is_train, per_language, most_languages, most_chars))
 
 

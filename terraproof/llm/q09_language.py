@@ -13,6 +13,6 @@ FOLDS, HELD_OUT = 3, 1
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = id_crc32("doc_id") % FOLDS == HELD_OUT
+    held_out = F.coalesce(id_crc32("doc_id") % FOLDS == HELD_OUT, F.lit(False))
     crf = fit(docs, "doc_id", "text", "lang", ~held_out)
-    return identify(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"), "text", crf, ("lang_pred", "score"))
+    return identify(docs.select("doc_id", held_out.alias("held_out"), "text"), "text", crf, ("lang_pred", "score"))

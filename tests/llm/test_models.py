@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from terraproof.llm import html, language, suffix_tree, urls
+from terraproof.llm import html, language, quality, suffix_tree, urls
 from terraproof.llm.common import id_crc32
 from terraproof.llm.q06_urls import RULES
 
@@ -64,6 +65,20 @@ def test_code_switching_is_seen_word_by_word(spark, small):
     assert best[:3] == ["en"] * 3 and best[-3:] == ["fr"] * 3
 
 
+def test_switches_are_learned():
+    """Words of both languages go with their neighbours; to change costs less than with transitions of constant chains."""
+    rng = np.random.default_rng(2)
+    vocabulary = {"x": ["aba", "abo", "abu"], "y": ["kik", "kok", "kuk"]}
+    texts, langs = zip(*((" ".join(rng.choice(vocabulary[x], 30)), x) for x in "xy" * 20), strict=True)
+    crf = language.train(list(texts), list(langs))
+    assert crf.trans[0, 1] > 0 and crf.trans[0, 0] > crf.trans[0, 1]
+    tagger = language.Tagger(crf)
+    words = ["aba", "abo", "zzz", "kik", "kok", "aba"]
+    marginal = language.Lattice(np.array([len(words)])).run(tagger.table[tagger._ids(words)].astype(float), crf.trans, crf.first, False)[0]  # noqa: SLF001
+    best = [crf.labels[i] for i in marginal.argmax(1)]
+    assert best[:2] == ["x"] * 2 and best[3:] == ["y", "y", "x"]
+
+
 def test_long_runs_are_read_whole(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     crf = language.fit(docs, "doc_id", "text", "lang", F.lit(True))
@@ -359,23 +374,60 @@ def test_page_text_of_all_pages(spark, small):
         assert html.main_text(r["html"]) == want
 
 
-def test_pipeline(spark, small, tmp_path):
+def plain_quality(text):
+    """The verdict of the quality rules, word by word."""
+    t = text or ""
+    words = [x for x in re.split("[\x20\x09-\x0d]+", t) if x]
+    lines = [x for x in t.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    three = Counter(zip(words, words[1:], words[2:], strict=False))
+    repeated = {p + k for p, x in enumerate(zip(words, words[1:], words[2:], strict=False)) if three[x] > 1 for k in range(3)}
+    stops = set(quality.STOP_WORDS.split())
+    figures = {
+        "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(map(t.count, "#*$%&|<>")), "n_shouts": sum(map(t.count, "!?")), "n_upper": sum(unicodedata.category(c) == "Lu" for c in t),
+        "n_stop_words": sum(w.lower() in stops for w in words), "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)),
+    }
+    if len(words) < 50 or 100 * len(repeated) > 50 * len(words):
+        return False
+    return all(r.least <= (figures[r.numerator] / figures[r.denominator] if figures[r.denominator] else 0.0) <= r.most for r in quality.RULES)
+
+
+def test_pipeline_against_plain_stages(spark, small, tmp_path):
     import corpus_pipeline as cp
+    from test_simhash import brute_components, brute_print
+    from tokenizers import Tokenizer
 
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    odd = [(90001, None, None, None, None), (90002, "", "en", "s", 0), (90003, "12 34", None, "s", 5), (None, "the of and " * 40, "en", None, 1)]
-    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    from terraproof.llm.q04_bpe import tokenizer_file
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").withColumn("__lang_found", F.lit("clash")).withColumn("_n", F.lit("clash"))
+    good = docs.filter("lang = 'en'").orderBy(F.desc("n_chars")).first()
+    odd = [(90001, None, None, None, None), (90002, "", "en", "s", 0), (90003, "12 34", None, "s", 5), (90004, good["text"], "en", "s", 9), (good["doc_id"], good["text"], "en", "s", 9), (None, good["text"][:-30], "en", None, 1)]
+    docs = docs.unionByName(spark.createDataFrame([(*r, "clash", "clash") for r in odd], docs.schema))
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    at, ids = docs, []
-    for name, stage in cp.STAGES[:-1]:
+    crf = language.fit(docs, "doc_id", "text", "lang", F.coalesce(id_crc32("doc_id") % 3 != 1, F.lit(True)))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = language.Tagger(crf).predict([t for _, t in rows])
+    want = [[r for r, (lang, score) in zip(rows, found, strict=True) if lang != "und" and score >= 0.4]]
+    want.append([(i, t) for i, t in want[0] if plain_quality(t)])
+    named = {i: t for i, t in want[1] if i is not None}
+    heads = set(brute_components({i: brute_print(t) for i, t in named.items()}, 4).values())
+    want.append([(i, t) for i, t in named.items() if i in heads])
+    at = docs
+    for (name, stage), expected in zip(cp.STAGES, want, strict=False):
         out = stage(spark, at, str(tmp_path))
         assert out.columns == docs.columns
         out.write.parquet(str(tmp_path / name))
         at = spark.read.parquet(str(tmp_path / name))
-        ids.append({r["doc_id"] for r in at.select("doc_id").collect()})
-    assert ids[0] >= ids[1] >= ids[2] and not ids[0] & {90001, 90002, 90003}
-    clean = {r["doc_id"] for r in spark.read.parquet(f"{small}/labels.parquet").filter("quality = 1").collect()}
-    texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] in clean and r["doc_id"] in ids[0]}
-    assert {i for i, t in texts.items() if len((t or "").split()) >= 50} <= ids[1]
+        assert Counter((r["doc_id"], r["text"]) for r in at.collect()) == Counter(expected), name
+    assert len(want[0]) < len(rows) and len(want[1]) < len(want[0]) and len(want[2]) < len(want[1])
     packed = cp.run(spark, str(tmp_path)).toPandas()
-    assert set(packed["doc_id"].dropna()) == {i for i in ids[2] if i is not None}
+    tok = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    pieces = {i: g.sort_values("start") for i, g in packed.groupby("doc_id")}
+    assert set(pieces) == {i for i, _ in want[2]}
+    for i, t in want[2]:
+        n = len(tok.encode(t, add_special_tokens=False).ids) + 1
+        assert (pieces[i]["doc_tokens"] == n).all() and pieces[i]["length"].sum() == n and (pieces[i]["start"] == pieces[i]["length"].cumsum() - pieces[i]["length"]).all()
+    for _, g in packed.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert (g["offset"] == g["length"].cumsum() - g["length"]).all() and g["length"].sum() <= 1024
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert cp.run(spark, str(tmp_path / "none")).count() == 0
