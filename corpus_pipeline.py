@@ -1,10 +1,16 @@
-"""Corpus pipeline: language identification, quality rules, near-duplicate removal, packing."""
+"""Corpus pipeline: language identification, quality rules, near-duplicate removal, packing.
+
+Every stage but the last returns the columns that it was given, whatever their names. Documents without a text or
+without a letter have no language and go in the first stage. Null ids are kept; rows that repeat an id, or copies of a
+text, are one document of a group in the third stage. A table without rows gives no rows.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terraproof.llm.common import ensure_checkpoint_dir, id_crc32, table
 from terraproof.llm.language import fit, keep_identified
@@ -17,7 +23,7 @@ from terraproof.llm.simhash import keep_one
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; what it learns from is the input's own labelled documents."""
-    crf = fit(docs, "doc_id", "text", "lang", id_crc32("doc_id") % FOLDS != HELD_OUT)
+    crf = fit(docs, "doc_id", "text", "lang", F.coalesce(id_crc32("doc_id") % FOLDS != HELD_OUT, F.lit(True)))
     return keep_identified(docs, "text", crf)
 
 
