@@ -108,6 +108,20 @@ def useful_text(text: Column) -> Column:
     return (count_words(text) >= 5) & (F.length(squeeze(text)) >= 32)
 
 
+def embedded_or(embedded: Column, words: Column, fallback: Column, least: int = 24) -> Column:
+    """A page's embedded text where it has a word and ``least`` characters that are no white space, else the fallback."""
+    solid = F.length(F.regexp_replace(F.coalesce(embedded, F.lit("")), r"[\s\p{Z}\x0B\uFEFF]+", ""))
+    return F.when((solid >= least) & (F.coalesce(words, F.lit(0)) > 0), embedded).otherwise(fallback)
+
+
+def pixel_threshold(base: Column, dpi: Column, requested: Column, least: float = 1.0) -> Column:
+    """A threshold in pixels, made smaller where a page was drawn at less than the requested resolution."""
+    given = lambda c: F.nullif(c.cast("double"), F.lit(0.0))
+    asked = F.greatest(F.lit(1.0), F.coalesce(given(requested), given(dpi), F.lit(240.0)))
+    real = F.greatest(F.lit(1.0), F.coalesce(given(dpi), asked))
+    return F.greatest(F.lit(max(0.0, least)), F.greatest(F.lit(0.0), F.coalesce(base.cast("double"), F.lit(0.0))) * F.least(F.lit(1.0), real / asked))
+
+
 def scale_denominators(text: Column, least: int = 25, most: int = 10000) -> Column:
     """Distinct denominators of scales like 1:500, ascending."""
     found = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?i)(?:scale\s*)?1\s*[:/]\s*([0-9]{2,5})" + ASCII_EDGE), F.lit(1)), lambda x: x.cast("int"))

@@ -18,15 +18,21 @@ def still_valid(fingerprints: DataFrame, files: DataFrame) -> DataFrame:
     return fingerprints.join(files.select("file", "size", "modified"), ["file", "size", "modified"], "left_anti")
 
 
-def evidence_key(entries: DataFrame) -> DataFrame:
-    """One digest of a set of entries (url, sha256, bytes), whatever their order and number of copies.
+#: Fixed value: the version of ingest that evidence keys are made for.
+INGEST_VERSION = 2
 
-    Each entry's digest is summed bit by bit as 32-bit words, so no list of all entries has to meet in one task.
+
+def evidence_key(entries: DataFrame, ingest_version: int = INGEST_VERSION) -> DataFrame:
+    """One digest of a set of documents (schemaVersion, status, url, file, bytes, sha256, mime), whatever their order.
+
+    Letter case of digests and media types does not count, the number of copies does. Entries' digests are sorted and
+    digested by their first four digits, then these digests are; so no task gets the list of all entries.
     """
-    d = entries.select("url", "sha256", "bytes").distinct().select(F.sha2(F.concat_ws("|", "url", "sha256", F.col("bytes").cast("string")), 256).alias("h"))
-    words = [F.sum(F.conv(F.substring("h", 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)")).alias(f"w{k}") for k in range(8)]
-    total = d.agg(F.count(F.lit(1)).alias("entries"), *words)
-    return total.select("entries", F.sha2(F.concat_ws(",", F.col("entries").cast("string"), *(F.coalesce(F.col(f"w{k}").cast("string"), F.lit("0")) for k in range(8))), 256).alias("evidence_key"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    h = F.sha2(F.concat_ws("|", text("schemaVersion"), text("status"), text("url"), text("file"), text("bytes"), F.lower(text("sha256")), F.lower(text("mime"))), 256)
+    held = entries.select(h.alias("h")).groupBy(F.substring("h", 1, 4).alias("at")).agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ","), 256).alias("d"))
+    total = held.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("entries"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "d"))), lambda x: x["d"]), ",").alias("all"))
+    return total.select("entries", F.concat(F.lit("planning-prefetch-"), F.sha2(F.concat_ws("|", F.lit(str(ingest_version)), "all"), 256)).alias("evidence_key"))
 
 
 class ResultStore:

@@ -46,8 +46,12 @@ def normalize_reference(elements: DataFrame) -> DataFrame:
     return out.select(F.concat_ws(":", F.lit("osm"), F.coalesce("type", F.lit("element")), F.col("id").cast("string")).alias("id"), "kind", name.alias("name"), "form", points.alias("points"))
 
 
-def _points(line) -> np.ndarray:
-    return np.array([(p["x"], p["y"]) for p in line], float).reshape(-1, 2)
+#: Distances computed at once.
+POINTS_BY_SEGMENTS = 1 << 19
+
+
+def _points(x: np.ndarray | None, y: np.ndarray | None) -> np.ndarray:
+    return np.zeros((0, 2)) if x is None else np.column_stack([x, y])
 
 
 def _line_share(a: np.ndarray, b: np.ndarray, tolerance: float) -> float:
@@ -64,13 +68,18 @@ def _line_share(a: np.ndarray, b: np.ndarray, tolerance: float) -> float:
     seg = np.repeat(np.arange(len(n)), n)
     t = (np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n) + 0.5) / n[seg]
     p = start[seg] + step[seg] * t[:, None]
-    best = np.full(len(p), np.inf)
-    for q, v in zip(b[:-1], np.diff(b, axis=0), strict=True):
-        square = v @ v
-        along = np.clip(((p - q) @ v) / square, 0, 1) if square > np.finfo(float).eps else np.zeros(len(p))
-        gap = p - (q + along[:, None] * v)
-        best = np.minimum(best, np.hypot(gap[:, 0], gap[:, 1]))
-    return float(min(1.0, ((best <= tolerance) * (length / np.maximum(n, 1))[seg]).sum() / length.sum()))
+    (qx, qy), (vx, vy) = b[:-1].T, np.diff(b, axis=0).T
+    square = vx * vx + vy * vy
+    scale = np.where(square > np.finfo(float).eps, square, np.inf)  # a segment without length is its point
+    near = np.empty(len(p), bool)
+    rows = max(1, POINTS_BY_SEGMENTS // len(qx))
+    for at in range(0, len(p), rows):
+        dx, dy = p[at : at + rows, :1] - qx, p[at : at + rows, 1:] - qy
+        along = np.clip((dx * vx + dy * vy) / scale, 0, 1)
+        dx -= along * vx
+        dy -= along * vy
+        near[at : at + rows] = np.sqrt((dx * dx + dy * dy).min(1)) <= tolerance
+    return float(min(1.0, (near * (length / np.maximum(n, 1))[seg]).sum() / length.sum()))
 
 
 def _inside(x: np.ndarray, y: np.ndarray, ring: np.ndarray) -> np.ndarray:
@@ -105,15 +114,19 @@ def _match(form: str, a: np.ndarray, other: str, b: np.ndarray) -> tuple[float |
         return none
     gap = float(np.hypot(*(middle(a) - middle(b))))
     if form == "LineString":
-        return (_line_share(a, b, R.MAX_OFFSET_M), _line_share(b, a, R.MAX_OFFSET_M), _line_share(a, b, R.TOLERANCE_M), _line_share(b, a, R.TOLERANCE_M), None, gap)
+        shares = _line_share(a, b, R.MAX_OFFSET_M), _line_share(b, a, R.MAX_OFFSET_M)
+        if max(shares) < R.MIN_OVERLAP and gap > R.MAX_OFFSET_M:  # no match, by share or by name
+            return (*shares, None, None, None, gap)
+        return (*shares, _line_share(a, b, R.TOLERANCE_M), _line_share(b, a, R.TOLERANCE_M), None, gap)
     if form == "Polygon":
         one, two, iou = _area_shares(a, b)
         return one, two, one, two, iou, gap
     return None, None, None, None, None, gap
 
 
-def _measured(form: pd.Series, a: pd.Series, other: pd.Series, b: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_match(f, _points(p), g, _points(q)) for f, p, g, q in zip(form, a, other, b, strict=True)], columns=[x.split()[0] for x in MATCH.split(", ")], dtype="float64")
+def _measured(form: pd.Series, ax: pd.Series, ay: pd.Series, other: pd.Series, bx: pd.Series, by: pd.Series) -> pd.DataFrame:
+    rows = zip(form, map(_points, ax, ay), other, map(_points, bx, by), strict=True)
+    return pd.DataFrame([_match(*x) for x in rows], columns=[x.split()[0] for x in MATCH.split(", ")], dtype="float64")
 
 
 def candidate_pairs(planning: DataFrame, reference: DataFrame, cell_m: float = 250.0, reach_m: float = R.MAX_OFFSET_M) -> DataFrame:
@@ -139,8 +152,12 @@ def candidate_pairs(planning: DataFrame, reference: DataFrame, cell_m: float = 2
 
 def feature_matches(planning: DataFrame, reference: DataFrame) -> DataFrame:
     """Matches (planning_id, reference_id, shares, score, equivalent) of features (id, kind, name, form, points in metres)."""
-    pairs = candidate_pairs(planning, reference)
-    m = pairs.withColumn("m", pandas_udf(_measured, MATCH)("p_form", "p_points", "r_form", "r_points")).select("*", "m.*")
+    # dealt out anew by pair: shapes crowd in few cells, and a pair costs far more than its row
+    parts = int(planning.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = candidate_pairs(planning, reference).repartition(parts, "p_id", "r_id")
+    line = lambda c: (F.transform(c, lambda p: p["x"].cast("double")), F.transform(c, lambda p: p["y"].cast("double")))
+    measured = pandas_udf(_measured, MATCH).asNondeterministic()  # else the filter below runs it again
+    m = pairs.withColumn("m", measured("p_form", *line("p_points"), "r_form", *line("r_points"))).select("*", "m.*")
     same = (normal_name(F.col("p_name")) != "") & (normal_name(F.col("p_name")) == normal_name(F.col("r_name")))
     named = same & (F.col("distance") <= R.MAX_OFFSET_M)
     share = F.greatest("planning_share", "reference_share", F.coalesce("iou", F.lit(0.0)))

@@ -333,6 +333,21 @@ def coordinate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "labels_text").withColumn("c", text.coordinate_pair(F.col("coordinates"))).select("id", "c.kind", "c.first", "c.second")
 
 
+@query("""SELECT conv_id, turn, CASE WHEN length(regexp_replace(coalesce(text, ''), '\\s+', '', 'g')) >= 24 THEN text ELSE role END AS chosen FROM conversations""")
+def text_or_ocr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns stand for embedded texts, roles for what OCR reads."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return rows.select("conv_id", "turn", text.embedded_or(F.col("text"), text.count_words(F.col("text")), F.col("role")).alias("chosen"))
+
+
+@query("""SELECT p_partkey, round(greatest(1, p_size * least(1, CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE (60 + p_partkey % 300) / CAST(CASE WHEN p_partkey % 4 = 0 THEN 60 + p_partkey % 300 ELSE 240 END AS DOUBLE) END)), 6) AS pixels FROM part""")
+def pixel_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth page has no resolution of its own, every fourth none that was requested."""
+    key = F.col("p_partkey")
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").withColumns({"dpi": F.when(key % 5 != 0, 60 + key % 300), "requested": F.when(key % 4 == 0, 0).otherwise(240)})
+    return rows.select("p_partkey", F.round(text.pixel_threshold(F.col("p_size"), F.col("dpi"), F.col("requested")), 6).alias("pixels"))
+
+
 HAVERSINE = "2 * 6371008.8 * asin(least(1.0, sqrt(sin(radians({3} - {1}) / 2) * sin(radians({3} - {1}) / 2) + cos(radians({1})) * cos(radians({3})) * sin(radians({2} - {0}) / 2) * sin(radians({2} - {0}) / 2))))"
 
 
@@ -354,7 +369,7 @@ def local_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Geometry -------------------------------------------------------------------------------------------------------------
 
-VERTICES = 4
+VERTICES = 32
 
 
 def _geoms(spark: SparkSession, sf_dir: str, vertices: int) -> DataFrame:
@@ -404,17 +419,20 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _share_sql(name: str, of: str, to: str, tolerance: float) -> str:
-    """CTE: share of each ``of`` shape near each ``to`` shape of its kind."""
+    """CTE: share of each ``of`` shape's sampled length near each ``to`` shape of its kind whose box is within reach."""
     spacing = max(0.75, min(3.0, tolerance / 4))
     return f"""{name} AS (SELECT a, b, least(1.0, sum(CASE WHEN d <= {tolerance} THEN w ELSE 0 END) / sum(w)) AS share FROM (
-    SELECT p.vec_id AS a, q.vec_id AS b, p.i, p.s, any_value(p.w) AS w, min(sqrt((p.px - q.x - q.vx * t) * (p.px - q.x - q.vx * t) + (p.py - q.y - q.vy * t) * (p.py - q.y - q.vy * t))) AS d
-    FROM (SELECT vec_id, kind, i, s, len / n AS w, x + vx * (s + 0.5) / n AS px, y + vy * (s + 0.5) / n AS py FROM (SELECT *, ceil(len / CAST({spacing} AS DOUBLE)) AS n, unnest(range(CAST(ceil(len / CAST({spacing} AS DOUBLE)) AS INT))) AS s FROM e WHERE vec_id % 2 = {of})) p
-    JOIN LATERAL (SELECT vec_id, x, y, vx, vy, kind, greatest(0.0, least(1.0, ((p.px - x) * vx + (p.py - y) * vy) / (vx * vx + vy * vy))) AS t FROM e WHERE vec_id % 2 = {to} AND e.kind = p.kind) q ON true
+    SELECT vec_id AS a, other AS b, i, s, any_value(w) AS w, sqrt(min((px - x - vx * t) * (px - x - vx * t) + (py - y - vy * t) * (py - y - vy * t))) AS d
+    FROM (SELECT p.*, q.vec_id AS other, q.x, q.y, q.vx, q.vy, greatest(0.0, least(1.0, ((px - q.x) * q.vx + (py - q.y) * q.vy) / (q.vx * q.vx + q.vy * q.vy))) AS t
+      FROM (SELECT vec_id, i, s, len / n AS w, x + vx * (s + 0.5) / n AS px, y + vy * (s + 0.5) / n AS py FROM (SELECT *, ceil(len / CAST({spacing} AS DOUBLE)) AS n, unnest(range(CAST(ceil(len / CAST({spacing} AS DOUBLE)) AS INT))) AS s FROM e WHERE vec_id % 2 = {of})) p
+      JOIN near ON p.vec_id = near.v{of} JOIN e q ON q.vec_id = near.v{to})
     GROUP BY 1, 2, 3, 4) GROUP BY 1, 2)"""
 
 
 _ELEMENTS = f"""WITH {geoms_sql(VERTICES)}, e AS (SELECT vec_id, kind, i, x, y, bx - x AS vx, b_y - y AS vy, sqrt((bx - x) * (bx - x) + (b_y - y) * (b_y - y)) AS len FROM
- (SELECT *, lead(x) OVER o AS bx, lead(y) OVER o AS b_y FROM g WINDOW o AS (PARTITION BY vec_id ORDER BY i)) WHERE bx IS NOT NULL)"""
+ (SELECT *, lead(x) OVER o AS bx, lead(y) OVER o AS b_y FROM g WINDOW o AS (PARTITION BY vec_id ORDER BY i)) WHERE bx IS NOT NULL),
+box AS (SELECT vec_id, kind, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM g GROUP BY 1, 2),
+near AS (SELECT p.vec_id AS v0, q.vec_id AS v1 FROM box p JOIN box q ON p.kind = q.kind AND p.vec_id % 2 = 0 AND q.vec_id % 2 = 1 AND p.x0 <= q.x1 + 25 AND q.x0 - 25 <= p.x1 AND p.y0 <= q.y1 + 25 AND q.y0 - 25 <= p.y1)"""
 MATCH_SQL = f"""{_ELEMENTS}, {_share_sql('lf', '0', '1', 25.0)}, {_share_sql('lr', '1', '0', 25.0)}, {_share_sql('sf', '0', '1', 3.0)}, {_share_sql('sr', '1', '0', 3.0)},
 m AS (SELECT lf.a AS planning_id, lf.b AS reference_id, round(lf.share, 6) AS planning_share, round(lr.share, 6) AS reference_share, round(sf.share, 6) AS strict_planning, round(sr.share, 6) AS strict_reference,
  round(least(lf.share, lr.share), 6) AS score, least(sf.share, sr.share) >= 0.82 AS equivalent FROM lf JOIN lr ON lf.a = lr.b AND lf.b = lr.a JOIN sf ON lf.a = sf.a AND lf.b = sf.b JOIN sr ON lf.a = sr.b AND lf.b = sr.a WHERE greatest(lf.share, lr.share) >= 0.18)
@@ -530,7 +548,14 @@ def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.page_gate(rows).select("page", "mode", "accepted", F.array_join("reasons", ",").alias("reasons"))
 
 
-@query()
+_PAD_LAT = geo.CONTROL_PADDING_M / geo.METRES_PER_DEGREE
+_PAD_LON = geo.CONTROL_PADDING_M / max(1000.0, geo.METRES_PER_DEGREE * math.cos(math.radians((BBOX[0] + BBOX[2]) / 2)))
+
+
+@query(f"""{with_views('controls')}, c AS (SELECT candidate, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL) AS usable, count(DISTINCT (floor(x * 100 + 0.5), floor(y * 100 + 0.5))) AS pixels,
+count(*) FILTER (lat BETWEEN {BBOX[0]} - CAST({_PAD_LAT!r} AS DOUBLE) AND {BBOX[2]} + CAST({_PAD_LAT!r} AS DOUBLE) AND lon BETWEEN {BBOX[1]} - CAST({_PAD_LON!r} AS DOUBLE) AND {BBOX[3]} + CAST({_PAD_LON!r} AS DOUBLE)) AS inside FROM controls GROUP BY 1),
+r AS (SELECT candidate, CASE WHEN usable < 3 THEN 'insufficient-control-points' WHEN pixels < 3 THEN 'duplicate-control-pixels' WHEN inside < 3 THEN 'control-points-outside-park-geofence' END AS reason FROM c)
+SELECT candidate, reason IS NULL AS accepted, reason FROM r""")
 def control_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.checked_controls(view(spark, sf_dir, "controls"), "candidate", BBOX)
 
@@ -573,11 +598,12 @@ def cache_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cache.missing(work, work.filter("ordinal % 3 = 0")).select("ordinal")
 
 
-@query(f"""{with_views('documents_meta')}, h AS (SELECT DISTINCT sha256(url || '|' || sha256(file) || '|' || CAST(bytes AS VARCHAR)) AS h FROM documents_meta),
-s AS (SELECT count(*) AS entries, {", ".join(f"CAST(sum(CAST('0x' || substr(h, {1 + 8 * k}, 8) AS BIGINT)) AS HUGEINT) AS w{k}" for k in range(8))} FROM h)
-SELECT entries, sha256(concat_ws(',', entries, w0, w1, w2, w3, w4, w5, w6, w7)) AS evidence_key FROM s""")
+@query(f"""{with_views('documents_meta')}, h AS (SELECT sha256(concat_ws('|', '1', 'usable', url, file, CAST(bytes AS VARCHAR), sha256(file), 'application/pdf')) AS h FROM documents_meta),
+s AS (SELECT substr(h, 1, 4) AS head, count(*) AS n, sha256(string_agg(h, ',' ORDER BY h)) AS d FROM h GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS entries, 'planning-prefetch-' || sha256('2|' || string_agg(d, ',' ORDER BY head)) AS evidence_key FROM s""")
 def evidence_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cache.evidence_key(view(spark, sf_dir, "documents_meta").withColumn("sha256", F.sha2("file", 256)))
+    docs = view(spark, sf_dir, "documents_meta").withColumns({"schemaVersion": F.lit(1), "status": F.lit("usable"), "sha256": F.upper(F.sha2("file", 256)), "mime": F.lit("application/PDF")})
+    return cache.evidence_key(docs)
 
 
 @query(f"""{with_views('fetches')} SELECT mode, count(*) AS n FROM (SELECT CASE WHEN age_ms <= 21600000 THEN 'fresh' WHEN age_ms IS NOT NULL AND http_status = 304 THEN 'revalidated' WHEN http_status BETWEEN 200 AND 299 AND age_ms IS NOT NULL THEN 'refreshed'

@@ -86,10 +86,16 @@ def test_result_store_computes_only_what_is_missing(spark, tmp_path):
     assert seen == [["a", "b"], ["c"]]
 
 
-def test_evidence_key_ignores_order_and_copies(spark):
-    rows = [("u1", "s1", 1), ("u2", "s2", 2)]
-    key = lambda r: evidence_key(spark.createDataFrame(r, "url string, sha256 string, bytes long")).first()["evidence_key"]
-    assert key(rows) == key(rows[::-1] + rows) != key(rows[:1])
+def test_evidence_key(spark):
+    columns = "schemaVersion int, status string, url string, file string, bytes long, sha256 string, mime string"
+    row = lambda **c: tuple(({"schemaVersion": 1, "status": "usable", "url": "u", "file": "f", "bytes": 1, "sha256": "ab", "mime": "application/pdf"} | c).values())
+    key = lambda *r: evidence_key(spark.createDataFrame(list(r), columns)).first()["evidence_key"]
+    base = key(row(), row(url="v"))
+    assert base == key(row(url="v"), row()) == key(row(sha256="AB", mime="Application/PDF"), row(url="v")) and base.startswith("planning-prefetch-")
+    others = [row(file="g"), row(mime="image/png"), row(bytes=2), row(sha256="ac"), row(schemaVersion=2), row(status="disabled"), row(file=None)]
+    keys = {key(x, row(url="v")) for x in others} | {base, key(row()), key(row(), row(), row(url="v"))}
+    assert len(keys) == len(others) + 3
+    assert evidence_key(spark.createDataFrame([], columns)).count() == 1
 
 
 def test_stream_resolves_touched_keys(spark, tmp_path):

@@ -27,7 +27,9 @@ def test_ingest(spark, tmp_path):
     rows = manifest.ingest(m).collect()
     assert [(r["url"], r["classification"], r["application"], r["longitude"]) for r in rows] == [("https://h/2", "site-plan", "A/1", -1.9), ("https://h/1", "narrative", "A/1", -1.9)]
     assert [r["page"] for r in manifest.prepare(manifest.ingest(m).withColumn("pages", F.lit(40))).collect()] == list(range(1, 13))
-    assert manifest.conflicts(manifest.entries_of(m)).count() == 0
+    copy = {"kind": "document", "url": "https://h/1", "file": "f/1.pdf", "bytes": 5, "sha256": HASH, "mime": "application/pdf"}
+    again = manifest.read_manifest(spark, write_manifest(tmp_path, entries=[copy, copy, copy | {"url": "https://h/2"}, {"kind": "page", "url": "x"}]))
+    assert manifest.ingest(again).count() == 2
 
 
 def test_manifest_fails_closed(spark, tmp_path):
@@ -35,8 +37,21 @@ def test_manifest_fails_closed(spark, tmp_path):
     assert read(status="disabled", entries=[]).count() == 0
     with pytest.raises(Exception, match="shape or counts"):
         read(documentsDownloaded=3).collect()
+    one = {"kind": "document", "url": "https://h/1", "file": "f", "bytes": 1, "sha256": HASH, "mime": "application/pdf"}
     with pytest.raises(Exception, match="mime-not-allowed"):
-        read(documentsDownloaded=1, entries=[{"url": "https://h/1", "file": "f", "bytes": 1, "sha256": HASH, "mime": "text/html"}]).collect()
+        read(documentsDownloaded=1, entries=[one | {"mime": "text/html"}]).collect()
+    with pytest.raises(Exception, match="conflicting duplicate url"):
+        read(documentsDownloaded=1, entries=[one, one | {"bytes": 2}]).collect()
+    with pytest.raises(Exception, match="shape or counts"):
+        read(liveApplications=2).collect()
+    with pytest.raises(Exception, match="shape or counts"):
+        read(applications=[{"reference": "A/1", "failure": "gone"}]).collect()
+    with pytest.raises(Exception, match="shape or counts"):
+        read(schemaVersion=2).collect()
+    many = [one | {"url": f"https://h/{i}"} for i in range(1201)]
+    assert read(documentsDownloaded=1200, entries=many[:1200]).count() == 1200
+    with pytest.raises(Exception, match="document ceiling exceeded: 1201"):
+        read(documentsDownloaded=1201, entries=many).collect()
 
 
 def test_attachments(spark):
