@@ -54,6 +54,24 @@ def point_in_ring(x: Column, y: Column, points: Column) -> Column:
     return F.size(F.filter(edges(closed), lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
 
 
+def net_area(parts: Column) -> Column:
+    """Area of parts, each an array of rings: the first ring's less that of its holes, at least zero."""
+    holes = lambda rings: F.aggregate(F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0))), F.lit(0.0), lambda s, r: s + ring_area(r))
+    one = lambda rings: F.when(F.size(rings) > 0, F.greatest(F.lit(0.0), ring_area(F.get(rings, F.lit(0))) - holes(rings))).otherwise(0.0)
+    return F.aggregate(parts, F.lit(0.0), lambda s, rings: s + one(rings))
+
+
+def point_in_parts(x: Column, y: Column, parts: Column) -> Column:
+    """True inside some part's first ring and in none of its holes."""
+    holes = lambda rings: F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0)))
+    return F.exists(parts, lambda rings: F.when(F.size(rings) > 0, point_in_ring(x, y, F.get(rings, F.lit(0))) & ~F.exists(holes(rings), lambda r: point_in_ring(x, y, r))).otherwise(False))
+
+
+def contour_distance(x: Column, y: Column, points: Column) -> Column:
+    """Distance of a point from a contour, which closes itself; inside or outside alike."""
+    return distance_to_line(x, y, F.concat(points, F.slice(points, 1, 1)))
+
+
 def segment_distance(x: Column, y: Column, e: Column) -> Column:
     """Distance of a point from a segment (a, b)."""
     vx, vy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from terraproof.functions import rules as R
-from terraproof.functions.geo import bounds
+from terraproof.functions.geo import bounds, local_xy
 from terraproof.functions.text import first_case, normal_name, normal_status, status_eligible, status_reason
 
 MATCH = "planning_share double, reference_share double, strict_planning double, strict_reference double, iou double, distance double"
@@ -50,16 +50,37 @@ def normalize_reference(elements: DataFrame) -> DataFrame:
 POINTS_BY_SEGMENTS = 1 << 19
 
 
-def _points(x: np.ndarray | None, y: np.ndarray | None) -> np.ndarray:
-    return np.zeros((0, 2)) if x is None else np.column_stack([x, y])
+#: A shape's parts, each a list of rings or of one line.
+Parts = list[list[np.ndarray]]
+AREAS, LINES = ("Polygon", "MultiPolygon"), ("LineString", "MultiLineString")
 
 
-def _line_share(a: np.ndarray, b: np.ndarray, tolerance: float) -> float:
+def _parts(x: np.ndarray | None, y: np.ndarray | None, part: np.ndarray | None, ring: np.ndarray | None) -> Parts:
+    if x is None or not len(x):
+        return []
+    xy, key = np.column_stack([x, y]), np.column_stack([part, ring])
+    lines = np.split(xy, np.flatnonzero((np.diff(key, axis=0) != 0).any(1)) + 1)
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(key, axis=0) != 0).any(1)]))
+    out: dict[int, list[np.ndarray]] = {}
+    for at, line in zip(first, lines, strict=True):
+        out.setdefault(int(part[at]), []).append(line)
+    return list(out.values())
+
+
+def _segments(parts: Parts) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and steps of all segments; parts are not joined to each other."""
+    lines = [line for rings in parts for line in rings if len(line) > 1]
+    if not lines:
+        return np.zeros((0, 2)), np.zeros((0, 2))
+    return np.concatenate([line[:-1] for line in lines]), np.concatenate([np.diff(line, axis=0) for line in lines])
+
+
+def _line_share(a: Parts, b: Parts, tolerance: float) -> float:
     """Share of a's length whose sampled middle points lie within the tolerance of b."""
-    if len(a) < 2 or len(b) < 2:
+    (start, step), (from_, over) = _segments(a), _segments(b)
+    if not len(start) or not len(from_):
         return 0.0
     spacing = max(0.75, min(3.0, tolerance / 4 or 1.0))
-    start, step = a[:-1], np.diff(a, axis=0)
     length = np.hypot(step[:, 0], step[:, 1])
     n = np.maximum(1, np.ceil(length / spacing)).astype(int)
     n[length <= 0] = 0
@@ -68,7 +89,7 @@ def _line_share(a: np.ndarray, b: np.ndarray, tolerance: float) -> float:
     seg = np.repeat(np.arange(len(n)), n)
     t = (np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n) + 0.5) / n[seg]
     p = start[seg] + step[seg] * t[:, None]
-    (qx, qy), (vx, vy) = b[:-1].T, np.diff(b, axis=0).T
+    (qx, qy), (vx, vy) = from_.T, over.T
     square = vx * vx + vy * vy
     scale = np.where(square > np.finfo(float).eps, square, np.inf)  # a segment without length is its point
     near = np.empty(len(p), bool)
@@ -95,40 +116,80 @@ def _ring_area(p: np.ndarray) -> float:
     return float(abs((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum()) / 2)
 
 
-def _area_shares(a: np.ndarray, b: np.ndarray) -> tuple[float, float, float]:
+def _net_area(parts: Parts) -> float:
+    return sum(max(0.0, _ring_area(rings[0]) - sum(map(_ring_area, rings[1:]))) for rings in parts)
+
+
+def _covered(x: np.ndarray, y: np.ndarray, parts: Parts) -> np.ndarray:
+    """Points in a part's first ring and in none of its holes."""
+    out = np.zeros(len(x), bool)
+    for outer, *holes in parts:
+        out |= np.logical_and.reduce([_inside(x, y, outer), *(~_inside(x, y, h) for h in holes)])
+    return out
+
+
+def _box(parts: Parts) -> tuple[np.ndarray, np.ndarray]:
+    xy = np.concatenate([line for rings in parts for line in rings])
+    return xy.min(0), xy.max(0)
+
+
+def _area_shares(a: Parts, b: Parts) -> tuple[float, float, float]:
     """Shares of both areas in their intersection, sampled on a grid, and intersection over union."""
-    area_a, area_b = _ring_area(a), _ring_area(b)
-    low, high = np.maximum(a.min(0), b.min(0)), np.minimum(a.max(0), b.max(0))
+    area_a, area_b, (low_a, high_a), (low_b, high_b) = _net_area(a), _net_area(b), _box(a), _box(b)
+    low, high = np.maximum(low_a, low_b), np.minimum(high_a, high_b)
     if not area_a or not area_b or (low >= high).any():
         return 0.0, 0.0, 0.0
     spacing = max(0.5, min(3.0, float(np.sqrt(np.prod(high - low) / 4000)) or 0.5))
-    x, y = (g.ravel() for g in np.meshgrid(np.arange(low[0] + spacing / 2, high[0], spacing), np.arange(low[1] + spacing / 2, high[1], spacing)))
-    both = float((_inside(x, y, a) & _inside(x, y, b)).sum()) * spacing * spacing
+    x, rows = np.arange(low[0] + spacing / 2, high[0], spacing), np.arange(low[1] + spacing / 2, high[1], spacing)
+    hits, band = 0, max(1, POINTS_BY_SEGMENTS // max(1, len(x)))
+    for at in range(0, len(rows), band):  # the largest spacing leaves a vast area with many points
+        px, py = (g.ravel() for g in np.meshgrid(x, rows[at : at + band]))
+        hits += int((_covered(px, py, a) & _covered(px, py, b)).sum())
+    both = float(hits) * spacing * spacing
     return min(1.0, both / area_a), min(1.0, both / area_b), min(1.0, both / max(np.finfo(float).eps, area_a + area_b - both))
 
 
-def _match(form: str, a: np.ndarray, other: str, b: np.ndarray) -> tuple[float | None, ...]:
-    middle = lambda p: (p.min(0) + p.max(0)) / 2
+def _match(form: str, a: Parts, other: str, b: Parts) -> tuple[float | None, ...]:
+    middle = lambda p: sum(_box(p)) / 2
+    group = lambda f: "area" if f in AREAS else "line" if f in LINES else f
     none = (None,) * 6
-    if form != other or not len(a) or not len(b):
+    if group(form) != group(other) or not a or not b:
         return none
     gap = float(np.hypot(*(middle(a) - middle(b))))
-    if form == "LineString":
+    if form in LINES:
         shares = _line_share(a, b, R.MAX_OFFSET_M), _line_share(b, a, R.MAX_OFFSET_M)
         if max(shares) < R.MIN_OVERLAP and gap > R.MAX_OFFSET_M:  # no match, by share or by name
             return (*shares, None, None, None, gap)
         return (*shares, _line_share(a, b, R.TOLERANCE_M), _line_share(b, a, R.TOLERANCE_M), None, gap)
-    if form == "Polygon":
+    if form in AREAS:
         one, two, iou = _area_shares(a, b)
         return one, two, one, two, iou, gap
     return None, None, None, None, None, gap
 
 
-def _measured(form: pd.Series, ax: pd.Series, ay: pd.Series, other: pd.Series, bx: pd.Series, by: pd.Series) -> pd.DataFrame:
-    rows = zip(form, map(_points, ax, ay), other, map(_points, bx, by), strict=True)
+def _measured(form: pd.Series, ax: pd.Series, ay: pd.Series, ap: pd.Series, ar: pd.Series, other: pd.Series, bx: pd.Series, by: pd.Series, bp: pd.Series, br: pd.Series) -> pd.DataFrame:
+    rows = zip(form, map(_parts, ax, ay, ap, ar), other, map(_parts, bx, by, bp, br), strict=True)
     return pd.DataFrame([_match(*x) for x in rows], columns=[x.split()[0] for x in MATCH.split(", ")], dtype="float64")
 
 
+def in_parts(features: DataFrame) -> DataFrame:
+    """Features whose points all carry part and ring (0 where there is none); a part's ring 0 is its outline, others are holes."""
+    has = [f.name for f in features.schema["points"].dataType.elementType.fields]
+    number = lambda p, c: F.coalesce(p[c].cast("int"), F.lit(0)) if c in has else F.lit(0)
+    return features.withColumn("points", F.transform("points", lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y"), number(p, "part").alias("part"), number(p, "ring").alias("ring"))))
+
+
+def projected(features: DataFrame, bbox: tuple[float, float, float, float]) -> DataFrame:
+    """Features with points (lon, lat, ...) in metres (x, y, ...) east and north of the middle of the box."""
+    more = [f.name for f in features.schema["points"].dataType.elementType.fields if f.name not in ("lon", "lat")]
+
+    def metres(p: Column) -> Column:
+        x, y = local_xy(p["lon"], p["lat"], bbox)
+        return F.struct(x.alias("x"), y.alias("y"), *(p[c].alias(c) for c in more))
+
+    return features.withColumn("points", F.transform("points", metres))
+
+
 def candidate_pairs(planning: DataFrame, reference: DataFrame, cell_m: float = 250.0, reach_m: float = R.MAX_OFFSET_M) -> DataFrame:
     """Pairs of one kind (path and road are one) whose boxes, one widened by the reach, meet.
 
@@ -151,18 +212,21 @@ def candidate_pairs(planning: DataFrame, reference: DataFrame, cell_m: float = 2
 
 
 def feature_matches(planning: DataFrame, reference: DataFrame) -> DataFrame:
-    """Matches (planning_id, reference_id, shares, score, equivalent) of features (id, kind, name, form, points in metres)."""
+    """Matches (planning_id, reference_id, shares, score, equivalent) of features (id, kind, name, form, points in metres).
+
+    Points (x, y) may carry part and ring, for shapes of several parts and for holes.
+    """
     # dealt out anew by pair: shapes crowd in few cells, and a pair costs far more than its row
     parts = int(planning.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = candidate_pairs(planning, reference).repartition(parts, "p_id", "r_id")
-    line = lambda c: (F.transform(c, lambda p: p["x"].cast("double")), F.transform(c, lambda p: p["y"].cast("double")))
+    pairs = candidate_pairs(in_parts(planning), in_parts(reference)).repartition(parts, "p_id", "r_id")
+    line = lambda c: tuple(F.col(c)[k] for k in ("x", "y", "part", "ring"))
     measured = pandas_udf(_measured, MATCH).asNondeterministic()  # else the filter below runs it again
     m = pairs.withColumn("m", measured("p_form", *line("p_points"), "r_form", *line("r_points"))).select("*", "m.*")
     same = (normal_name(F.col("p_name")) != "") & (normal_name(F.col("p_name")) == normal_name(F.col("r_name")))
     named = same & (F.col("distance") <= R.MAX_OFFSET_M)
     share = F.greatest("planning_share", "reference_share", F.coalesce("iou", F.lit(0.0)))
     fade = 1 - F.col("distance") / F.lit(R.MAX_OFFSET_M)
-    line, area, point = (F.col("p_form") == f for f in ("LineString", "Polygon", "Point"))
+    line, area, point = (F.col("p_form").isin(*f) for f in (LINES, AREAS, ["Point"]))
     match = F.when(point, (F.col("distance") <= R.MAX_OFFSET_M) & (same | (F.col("distance") <= max(3.0, R.TOLERANCE_M)))).otherwise((share >= R.MIN_OVERLAP) | named)
     score = (
         F.when(line, F.greatest(F.least("planning_share", "reference_share"), F.when(named, 0.45).otherwise(0.0)))
@@ -170,7 +234,8 @@ def feature_matches(planning: DataFrame, reference: DataFrame) -> DataFrame:
         .otherwise(F.greatest(F.lit(0.0), fade))
     )
     both = F.least("strict_planning", "strict_reference") >= R.EQUIVALENT_SHARE
-    found = m.filter((F.col("p_form") == F.col("r_form")) & match)
+    alike = F.col("distance").isNotNull()  # both areas, both lines or both points
+    found = m.filter(alike & match)
     return found.select(
         F.col("p_id").alias("planning_id"), F.col("r_id").alias("reference_id"), *(F.round(c, 6).alias(c) for c in ("planning_share", "reference_share", "strict_planning", "strict_reference")),
         F.round(score, 6).alias("score"), F.when(point, F.col("distance") <= R.TOLERANCE_M).otherwise(both).alias("equivalent"),
