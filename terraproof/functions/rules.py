@@ -109,8 +109,18 @@ EQUIVALENT_SHARE, AMBIGUITY = 0.82, 0.9
 CONSENSUS_M, CONSENSUS_CONFIDENCE, CONSENSUS_DOCUMENTS = 140.0, 0.72, 2
 VARIANT_SEPARATION_M, MAX_VARIANTS = 8.0, 12
 ANCHOR_DISTANCE_PX = 120.0
+ANCHOR_SEPARATION_PX, LOWEST_COSTS, MIN_REGISTRATION_POINTS, SUPPORT_M = 35.0, 8, 5, 500.0
+EDGE_REACH_PX, MIN_PLAN_EDGES, MIN_REFERENCE_EDGES = 4, 80, 50
+STRAIGHT_STEP, DIAGONAL_STEP = 0.955, 1.3693  # of a distance transform with a 3 x 3 mask
 CONTROL_PADDING_M, METRES_PER_DEGREE = 1000.0, 111320.0
 
+# Places of a page, as shares of its width and height, at which a registration is sampled.
+CONTROL_SAMPLES = ((0.15, 0.15), (0.85, 0.15), (0.85, 0.85), (0.15, 0.85), (0.5, 0.5), (0.5, 0.2), (0.8, 0.5), (0.5, 0.8))
+
+# Tags of mapped elements that a reference raster shows, and those with thick lines.
+DRAWN_TAGS = ("highway", "building", "barrier", "natural", "water", "waterway", "landuse", "leisure", "tourism", "attraction", "railway", "man_made")
+THICK_TAGS = ("highway", "railway", "building", "barrier")
+
 # Classes that the world bridge passes on, and those it knowingly withholds.
 BRIDGE_CLASSES = ("barrier", "building", "fence", "path", "rock", "wall", "water")
 BRIDGE_WITHHELD = {"terrain-detail": "unsupported-by-world-contract"}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraproof.functions import geo, rules, text
-from terraproof.operators import cache, documents, evidence, georef, matching, semantics
+from terraproof.operators import cache, documents, evidence, georef, matching, registration, semantics
 from terraproof.sources import catalog
 from terraproof.sources.adapters import view, with_views
 
@@ -485,19 +485,37 @@ def osm_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Georeference ---------------------------------------------------------------------------------------------------------
 
 
-@query()
+def _greedy_sql(rows: str, keys: str, near: str, most: int) -> str:
+    """CTEs: rows (keys, k = 1.., x, y, id) taken greedily in order of k unless near one taken before; picked (keys, id, rank)."""
+    join = " AND ".join(f"r.{k} = t.{k}" for k in keys.split(", "))
+    mine = ", ".join(f"r.{k}" for k in keys.split(", "))
+    ok = f"len(t.ids) < {most} AND len(list_filter(t.taken, lambda p: {near})) = 0"
+    return f"""{rows}, steps AS (SELECT {keys}, k, [{{'x': x, 'y': y}}] AS taken, [id] AS ids FROM ordered WHERE k = 1
+    UNION ALL SELECT {mine}, r.k, CASE WHEN {ok} THEN list_append(t.taken, {{'x': r.x, 'y': r.y}}) ELSE t.taken END, CASE WHEN {ok} THEN list_append(t.ids, r.id) ELSE t.ids END FROM steps t JOIN ordered r ON {join} AND r.k = t.k + 1),
+    ends AS (SELECT {keys}, max_by(ids, k) AS ids FROM steps GROUP BY ALL), picked AS (SELECT {keys}, unnest(ids) AS id, unnest(range(1, len(ids) + 1)) AS rank FROM ends)"""
+
+
+_NEAR_M = f"{HAVERSINE.format('r.x', 'r.y', 'p.x', 'p.y')} < {rules.VARIANT_SEPARATION_M}"
+VARIANTS_SQL = _greedy_sql(
+    f"{with_views('georef').replace('WITH ', 'WITH RECURSIVE ', 1)}, ordered AS (SELECT application, document, lon AS x, lat AS y, ordinal AS id, row_number() OVER (PARTITION BY application, document ORDER BY rank, ordinal) AS k FROM georef WHERE confidence >= CAST(0.72 AS DOUBLE))",
+    "application, document", _NEAR_M, rules.MAX_VARIANTS,
+)
+
+
+@query(VARIANTS_SQL + " SELECT g.application, g.document, g.ordinal, round(lon, 6) AS lon FROM picked JOIN georef g ON picked.application = g.application AND picked.document = g.document AND picked.id = g.ordinal")
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return georef.variants(view(spark, sf_dir, "georef")).select("application", "document", "ordinal", F.round("lon", 6).alias("lon"))
 
 
 _HAV = HAVERSINE.format("a.lon", "a.lat", "v.lon", "v.lat")
-CONSENSUS_SQL = f"""{with_views('georef')}, v AS (SELECT *, round(confidence * 2 + f1, 6) AS score FROM georef WHERE confidence >= CAST(0.72 AS DOUBLE)),
-n AS (SELECT a.application, a.document AS a_doc, a.ordinal AS a, v.document, v.ordinal, v.score, v.rank, round({_HAV}, 6) AS d FROM v a JOIN v ON a.application = v.application),
+_CONSENSUS_REST = f"""n AS (SELECT a.application, a.document AS a_doc, a.ordinal AS a, v.document, v.ordinal, v.score, v.rank, round({_HAV}, 6) AS d FROM v a JOIN v ON a.application = v.application),
 k AS (SELECT *, row_number() OVER (PARTITION BY application, a_doc, a, document ORDER BY d, score DESC, ordinal) AS k FROM n WHERE d <= 140),
 m AS (SELECT * FROM k WHERE k = 1), gr AS (SELECT application, a_doc, a, count(*) AS documents, max(d) AS spread, round(count(*) * 10000 + sum(score) * 100 - max(d), 4) AS total FROM m GROUP BY 1, 2, 3),
 b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY application ORDER BY total DESC, a_doc, a) AS r FROM gr) WHERE r = 1),
 z AS (SELECT application, count(DISTINCT document) AS candidates, count(*) AS variants FROM v GROUP BY 1)
 """
+CONSENSUS_SQL = f"{with_views('georef')}, v AS (SELECT *, round(confidence * 2 + f1, 6) AS score FROM georef WHERE confidence >= CAST(0.72 AS DOUBLE)), {_CONSENSUS_REST}"
+SELECTED_SQL = f"{VARIANTS_SQL}, v AS (SELECT g.*, round(confidence * 2 + f1, 6) AS score FROM picked JOIN georef g ON picked.application = g.application AND picked.document = g.document AND picked.id = g.ordinal), {_CONSENSUS_REST}"
 
 
 def _consensus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -515,6 +533,17 @@ def consensus_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _consensus(spark, sf_dir)[1]
 
 
+@query(SELECTED_SQL + "SELECT application, candidates, variants, documents, documents >= 2 AS accepted, round(spread, 1) AS spread_m FROM b JOIN z USING (application)")
+def consensus_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consensus between the variants that are kept: apart from each other, a bounded number for each document."""
+    return georef.consensus(georef.variants(view(spark, sf_dir, "georef")))[0]
+
+
+@query(SELECTED_SQL + "SELECT m.application, m.document, m.ordinal, round(m.d, 1) AS distance_m, m.rank FROM m JOIN b ON m.application = b.application AND m.a_doc = b.a_doc AND m.a = b.a WHERE b.documents >= 2")
+def consensus_selected_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return georef.consensus(georef.variants(view(spark, sf_dir, "georef")))[1]
+
+
 @query(f"""{with_views('controls')}, m AS (SELECT candidate, avg(x) AS mx, avg(y) AS my, avg(lon) AS mo, avg(lat) AS ma FROM controls GROUP BY 1),
 s AS (SELECT candidate, count(*) AS points, sum((x - mx) * (x - mx)) AS xx, sum((x - mx) * (y - my)) AS xy, sum((y - my) * (y - my)) AS yy, sum((x - mx) * (lon - mo)) AS xo, sum((y - my) * (lon - mo)) AS yo,
  sum((x - mx) * (lat - ma)) AS xa, sum((y - my) * (lat - ma)) AS ya FROM controls JOIN m USING (candidate) GROUP BY 1)
@@ -560,6 +589,158 @@ def control_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.checked_controls(view(spark, sf_dir, "controls"), "candidate", BBOX)
 
 
+# Registration on a reference raster -----------------------------------------------------------------------------------
+
+RASTER = (400, 400)
+_W, _H = 1000.0, 800.0
+_PX, _PY = (BBOX[3] - BBOX[1]) / (RASTER[0] - 1), (BBOX[2] - BBOX[0]) / (RASTER[1] - 1)
+
+
+def _placements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "placements")
+    zero = F.lit(0.0)
+    matrix = F.struct(F.col("scale").alias("a"), zero.alias("b"), F.col("shift").alias("c"), zero.alias("d"), F.col("scale").alias("e"), (F.col("shift") / 2).alias("f"))
+    f1 = registration.edge_f1(F.col("precision"), F.col("recall"))
+    return rows.withColumns({"matrix": matrix, "crop_x": zero, "crop_y": F.lit(10.0), "width": F.lit(_W), "height": F.lit(_H), "f1": F.round(f1, 9), "anchor_x": F.col("x"), "anchor_y": F.col("y")}).withColumn(
+        "score", F.round(registration.registration_score(F.col("f1"), F.col("offset_m")), 9)
+    )
+
+
+_F1_SQL = "round(precision * 2 * recall / greatest(CAST(1e-9 AS DOUBLE), precision + recall), 9)"
+_SAMPLES_SQL = "(VALUES " + ", ".join(f"(CAST({fx * _W!r} AS DOUBLE), CAST({fy * _H!r} AS DOUBLE))" for fx, fy in rules.CONTROL_SAMPLES) + ") s(sx, sy)"
+_PLACED_SQL = f"""{with_views('placements').replace('WITH ', 'WITH RECURSIVE ', 1)}, f AS (SELECT *, {_F1_SQL} AS f1 FROM placements),
+g AS (SELECT *, round(f1 + CASE WHEN offset_m IS NULL THEN 0 ELSE greatest(CAST(-0.06 AS DOUBLE), CAST(0.05 AS DOUBLE) - offset_m / 10000) END, 9) AS score FROM f),
+c AS (SELECT ordinal, count(*) AS points, avg(CAST({BBOX[1]!r} AS DOUBLE) + (scale * sx + shift) * CAST({_PX!r} AS DOUBLE)) AS lon, avg(CAST({BBOX[2]!r} AS DOUBLE) - (scale * (sy - 10) + shift / 2) * CAST({_PY!r} AS DOUBLE)) AS lat
+ FROM placements, {_SAMPLES_SQL} WHERE scale * sx + shift >= 0 AND scale * sx + shift < {RASTER[0]} AND scale * (sy - 10) + shift / 2 >= 0 AND scale * (sy - 10) + shift / 2 < {RASTER[1]} GROUP BY 1),
+ordered AS (SELECT page, g.ordinal AS id, x, y, row_number() OVER (PARTITION BY page ORDER BY score DESC, f1 DESC, precision DESC, recall DESC, g.ordinal) AS k FROM g JOIN c ON g.ordinal = c.ordinal WHERE points >= 5)"""
+_NEAR_PX = "sqrt((r.x - p.x) * (r.x - p.x) + (r.y - p.y) * (r.y - p.y)) < 35"
+
+
+@query(f"""{_greedy_sql(_PLACED_SQL, 'page', _NEAR_PX, rules.MAX_VARIANTS)}
+SELECT picked.page, CAST(picked.rank AS BIGINT) AS rank, g.ordinal, g.score, round(least(0.99, greatest(0, least(1, f1)) * 0.6 + precision * CAST(0.2 AS DOUBLE) + recall * CAST(0.2 AS DOUBLE) + CASE WHEN offset_m > 0 AND offset_m <= 500 THEN CAST(0.03 AS DOUBLE) ELSE 0 END), 6) AS confidence, points, round(lon, 6) AS lon, round(lat, 6) AS lat
+FROM picked JOIN g ON picked.id = g.ordinal JOIN c ON c.ordinal = g.ordinal""")
+def registration_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = registration.alternatives(_placements(spark, sf_dir), "page", BBOX, RASTER)
+    return found.select("page", F.col("rank").cast("long").alias("rank"), "ordinal", "score", F.round("confidence", 6).alias("confidence"), F.size("points").cast("long").alias("points"), F.round("center.lon", 6).alias("lon"), F.round("center.lat", 6).alias("lat"))
+
+
+_LOWEST_SQL = f"""{with_views('placements').replace('WITH ', 'WITH RECURSIVE ', 1)}, ordered AS (SELECT * FROM (SELECT page * 10 + angle AS search, x, y, {{'x': x, 'y': y, 'cost': cost}} AS id, row_number() OVER (PARTITION BY page * 10 + angle ORDER BY cost, y, x) AS k FROM placements) WHERE k <= 8)"""
+
+
+@query(f"{_greedy_sql(_LOWEST_SQL, 'search', _NEAR_PX, 8)} SELECT search, id.x AS x, id.y AS y, id.cost AS cost FROM picked")
+def lowest_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "placements").select((F.col("page") * 10 + F.col("angle")).alias("search"), "x", "y", "cost")
+    return registration.lowest_costs(rows, "search")
+
+
+_MPP = registration.metres_per_pixel(BBOX, *RASTER)
+
+
+@query(f"""{with_views('georef')}, p AS (SELECT application, ordinal, lon, lat, (lon - CAST({BBOX[1]!r} AS DOUBLE)) / CAST({BBOX[3] - BBOX[1]!r} AS DOUBLE) * 399 AS x, (CAST({BBOX[2]!r} AS DOUBLE) - lat) / CAST({BBOX[2] - BBOX[0]!r} AS DOUBLE) * 399 AS y FROM georef)
+SELECT application, ordinal, round(x, 6) AS x, round(y, 6) AS y, round(lon, 9) AS lon, round(lat, 9) AS lat, round({HAVERSINE.format('-1.89', '52.985', 'lon', 'lat').replace('-1.89', 'CAST(-1.89 AS DOUBLE)').replace('52.985', 'CAST(52.985 AS DOUBLE)')}, 3) AS metres FROM p""")
+def raster_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """There and back again, and the distance from an expected place."""
+    x, y = registration.to_reference(F.col("lon"), F.col("lat"), BBOX, *RASTER)
+    rows = view(spark, sf_dir, "georef").select("application", "ordinal", x.alias("x"), y.alias("y"))
+    lon, lat = registration.to_wgs84(F.col("x"), F.col("y"), BBOX, *RASTER)
+    metres = registration.offset_m(F.col("x"), F.col("y"), F.lit(-1.89), F.lit(52.985), BBOX, *RASTER)
+    return rows.select("application", "ordinal", *(F.round(c, 6).alias(c) for c in ("x", "y")), F.round(lon, 9).alias("lon"), F.round(lat, 9).alias("lat"), F.round(metres, 3).alias("metres"))
+
+
+_STEPS_SQL = "least(abs(a.x - b.x), abs(a.y - b.y)) * CAST(1.3693 AS DOUBLE) + abs(abs(a.x - b.x) - abs(a.y - b.y)) * CAST(0.955 AS DOUBLE) <= 4"
+
+
+def _hit_sql(one: str, other: str) -> str:
+    return f"SELECT a.candidate, count(*) AS n, count(*) FILTER (EXISTS (SELECT 1 FROM {other} b WHERE a.candidate = b.candidate AND {_STEPS_SQL})) AS hits FROM {one} a GROUP BY 1"
+
+
+@query(f"""{with_views('placements')}, e AS (SELECT DISTINCT page AS candidate, CAST(x AS BIGINT) % 120 AS x, CAST(y AS BIGINT) % 120 AS y, angle % 2 = 0 AS plan FROM placements), p AS (SELECT * FROM e WHERE plan), q AS (SELECT * FROM e WHERE NOT plan),
+s AS (SELECT coalesce(u.candidate, v.candidate) AS candidate, coalesce(u.n, 0) AS edges, coalesce(v.n, 0) AS reference_edges, CASE WHEN u.n >= 80 AND v.n >= 50 THEN u.hits / u.n END AS precision, CASE WHEN u.n >= 80 AND v.n >= 50 THEN v.hits / v.n END AS recall
+ FROM ({_hit_sql('p', 'q')}) u FULL JOIN ({_hit_sql('q', 'p')}) v ON u.candidate = v.candidate)
+SELECT candidate, edges, reference_edges, round(precision, 6) AS precision, round(recall, 6) AS recall, round(precision * 2 * recall / greatest(CAST(1e-9 AS DOUBLE), precision + recall), 6) AS f1 FROM s""")
+def edge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = view(spark, sf_dir, "placements").select(F.col("page").alias("candidate"), (F.col("x").cast("long") % 120).alias("x"), (F.col("y").cast("long") % 120).alias("y"), (F.col("angle") % 2 == 0).alias("plan"))
+    found = registration.edge_scores(e.filter("plan"), e.filter("NOT plan"))
+    return found.select("candidate", "edges", "reference_edges", *(F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")))
+
+
+_CONTOUR = ((0, 0), (60, 0), (60, 30))
+
+
+@query(f"""{with_views('anchors')}, a AS (SELECT *, {label_sql('label')} AS role FROM anchors WHERE is_anchor),
+s AS (SELECT page, id AS contour, x + ux AS x, y + uy AS y, vx, vy FROM anchors, (VALUES {', '.join(f'({p[0]}, {p[1]}, {q[0] - p[0]}, {q[1] - p[1]})' for p, q in zip(_CONTOUR, (*_CONTOUR[1:], _CONTOUR[0]), strict=True))}) v(ux, uy, vx, vy) WHERE NOT is_anchor),
+t AS (SELECT s.*, a.id AS anchor, a.confidence, a.role, a.label, a.x AS px, a.y AS py, greatest(0, least(1, ((a.x - s.x) * vx + (a.y - s.y) * vy) / (vx * vx + vy * vy))) AS t FROM s JOIN a ON s.page = a.page AND a.role IS NOT NULL),
+d AS (SELECT page, contour, anchor, confidence, role, label, min(sqrt((px - x - vx * t) * (px - x - vx * t) + (py - y - vy * t) * (py - y - vy * t))) AS d FROM t GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY page, contour ORDER BY round(d, 9), confidence DESC, anchor) AS k FROM d WHERE d <= 120)
+SELECT page, contour, anchor, role, label, round(d, 1) AS distance FROM k WHERE k = 1""")
+def contour_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "anchors").withColumn("role", text.label_role(F.col("label")))
+    points = F.array(*(F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y")) for dx, dy in _CONTOUR))
+    found = registration.contour_anchors(rows.filter("NOT is_anchor").select("page", F.col("id").alias("contour"), points.alias("points")), rows.filter("is_anchor"))
+    return found.withColumn("distance", F.round("distance", 1))
+
+
+@query(f"""{with_views('osm')} SELECT id, coalesce(building, highway, barrier, natural_, attraction) IS NOT NULL AS drawn, CASE WHEN coalesce(building, highway, barrier) IS NOT NULL THEN 2 ELSE 1 END AS thickness FROM osm""")
+def drawn_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    there = {"building": "building", "highway": "highway", "barrier": "barrier", "natural": "natural_", "attraction": "attraction"}
+    tag = lambda k: F.col(there[k]) if k in there else F.lit(None).cast("string")
+    return view(spark, sf_dir, "osm").select("id", registration.relevant(tag).alias("drawn"), registration.thickness(tag).alias("thickness"))
+
+
+@query(f"{with_views('placements')} SELECT ordinal, floor(precision * 1000 + CAST(0.5 AS DOUBLE)) / 1000 AS precision, floor(cost * 1000 + CAST(0.5 AS DOUBLE)) / 1000 AS cost FROM placements")
+def compact_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "placements").select("ordinal", *registration.compact_metrics("precision", "cost"))
+
+
+# Areas with holes and several parts, one pair far from the next.
+
+_AREA = {"p": ((0, 0, 0, 40), (0, 1, 10, 10), (1, 0, 60, 10)), "r": ((0, 0, 0, 36), (0, 1, 4, 8))}  # part, ring, corner, side
+
+
+def _area_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("id"))
+    east = F.col("id") * 1000.0
+
+    def side(which: str, dx: F.Column) -> DataFrame:
+        corner = lambda part, ring, x, y: F.struct((east + x + dx).alias("x"), F.lit(float(y)).alias("y"), F.lit(part).alias("part"), F.lit(ring).alias("ring"))
+        points = [corner(part, ring, x, y) for part, ring, at, n in _AREA[which] for x, y in ((at, at), (at + n, at), (at + n, at + n), (at, at + n))]
+        return s.select("id", F.lit("building").alias("kind"), F.lit(None).cast("string").alias("name"), F.lit("MultiPolygon" if which == "p" else "Polygon").alias("form"), F.array(*points).alias("points"))
+
+    return side("p", F.lit(0.0)), side("r", (F.col("id") % 11) * 3.0)
+
+
+def _covered_sql(which: str, dx: str) -> str:
+    inside = lambda at, n: f"(x > {at} + {dx} AND x < {at + n} + {dx} AND y > {at} AND y < {at + n})"
+    parts: dict[int, list[str]] = {}
+    for part, _, at, n in _AREA[which]:
+        parts.setdefault(part, []).append(inside(at, n))
+    return "(" + " OR ".join("(" + " AND NOT ".join(rings) + ")" for rings in parts.values()) + ")"
+
+
+@query(f"""WITH s AS (SELECT s_suppkey AS id, CAST(s_suppkey % 11 * 3 AS DOUBLE) AS dx FROM supplier),
+b AS (SELECT id, dx, greatest(0.5, least(3, sqrt((least(70, dx + 36) - greatest(0, dx)) * 36 / 4000))) AS step, least(70, dx + 36) - dx AS wide FROM s),
+g AS (SELECT id, dx, step, dx + step * (i + CAST(0.5 AS DOUBLE)) AS x, step * (j + CAST(0.5 AS DOUBLE)) AS y FROM b, range(200) r(i), range(200) q(j) WHERE step * (i + CAST(0.5 AS DOUBLE)) < wide AND step * (j + CAST(0.5 AS DOUBLE)) < 36),
+n AS (SELECT id, count(*) FILTER ({_covered_sql('p', '0')} AND {_covered_sql('r', 'dx')}) * any_value(step) * any_value(step) AS hit FROM g GROUP BY id),
+m AS (SELECT id, least(1, hit / 1600) AS planning_share, least(1, hit / 1232) AS reference_share, least(1, hit / (1600 + 1232 - hit)) AS iou FROM n)
+SELECT id AS planning_id, id AS reference_id, round(planning_share, 6) AS planning_share, round(reference_share, 6) AS reference_share, round(greatest(iou, least(planning_share, reference_share)), 6) AS score, least(planning_share, reference_share) >= CAST(0.82 AS DOUBLE) AS equivalent FROM m WHERE greatest(planning_share, reference_share, iou) >= CAST(0.18 AS DOUBLE)""")
+def area_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.feature_matches(*_area_pairs(spark, sf_dir)).select("planning_id", "reference_id", "planning_share", "reference_share", "score", "equivalent")
+
+
+@query(f"""WITH s AS (SELECT s_suppkey AS id, CAST(s_suppkey % 75 AS DOUBLE) + CAST(0.25 AS DOUBLE) AS x, CAST(s_suppkey * 7 % 75 AS DOUBLE) + CAST(0.25 AS DOUBLE) AS y FROM supplier)
+SELECT id, CAST(1600 AS DOUBLE) AS area, {_covered_sql('p', '0')} AS inside FROM s""")
+def parts_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net area of a shape of two parts, one with a hole, and whether a point lies in it."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    ring = lambda at, n: F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((at, at), (at + n, at), (at + n, at + n), (at, at + n))))
+    rings: dict[int, list] = {}
+    for part, _, at, n in _AREA["p"]:
+        rings.setdefault(part, []).append(ring(at, n))
+    parts = F.array(*(F.array(*r) for r in rings.values()))
+    x, y = (F.col("s_suppkey") % 75) + F.lit(0.25), (F.col("s_suppkey") * 7 % 75) + F.lit(0.25)
+    return s.select(F.col("s_suppkey").alias("id"), geo.net_area(parts).alias("area"), geo.point_in_parts(x, y, parts).alias("inside"))
+
+
 # Bridge, keys, sources ------------------------------------------------------------------------------------------------
 
 

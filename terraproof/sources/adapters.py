@@ -74,6 +74,19 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "lon": "CAST(-1.9 AS DOUBLE) + (l_partkey % 400) * CAST(0.00001 AS DOUBLE) + l_quantity * CAST(0.000002 AS DOUBLE) + l_discount * CAST(0.00001 AS DOUBLE)",
         "lat": "CAST(52.98 AS DOUBLE) + l_quantity * CAST(0.00003 AS DOUBLE) - l_tax * CAST(0.00001 AS DOUBLE)",
     }),
+    "placements": ("lineitem", {
+        "page": "l_suppkey",
+        "ordinal": "l_orderkey * 1000 + CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate) AS BIGINT)",
+        "precision": "1 - l_discount * 4",
+        "recall": "1 - l_tax * 5",
+        "x": "CAST(l_partkey % 400 AS DOUBLE)",
+        "y": "l_quantity * 8",
+        "angle": "CAST(l_orderkey % 4 AS BIGINT)",
+        "cost": "CAST(l_orderkey * 7 % 1000 AS DOUBLE) / 8",
+        "scale": "CAST(1 + l_linenumber % 3 AS DOUBLE) / 4",
+        "shift": "CAST(l_partkey % 90 AS DOUBLE)",
+        "offset_m": "CASE WHEN l_linenumber = 1 THEN NULL ELSE CAST(l_partkey % 1500 AS DOUBLE) END",
+    }),
     "pages_gate": ("orders", {
         "page": "o_orderkey",
         "status": case("o_orderkey % 8", STATUSES),
