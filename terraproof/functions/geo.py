@@ -143,3 +143,16 @@ def center(points: Column) -> Column:
     n = F.nullif(F.size(points), F.lit(0))
     mean = lambda c: F.aggregate(points, F.lit(0.0), lambda s, p: s + p[c]) / n
     return F.struct(mean("lon").alias("lon"), mean("lat").alias("lat"))
+
+
+def unit(value: Column) -> Column:
+    """A number between 0 and 1; null and NaN are 0."""
+    return F.when(value.isNull() | F.isnan(value.cast("double")), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value.cast("double"))))
+
+
+def valid_box(south: Column, west: Column, north: Column, east: Column) -> Column:
+    """Struct (south, west, north, east) of numbers or texts, null unless all are finite and the box has an extent."""
+    s, w, n, e = (F.nanvl(c.try_cast("double"), F.lit(None).cast("double")) for c in (south, west, north, east))
+    far = F.lit(float("inf"))
+    finite = (F.abs(s) < far) & (F.abs(w) < far) & (F.abs(n) < far) & (F.abs(e) < far)
+    return F.when(finite & (s < n) & (w < e), F.struct(s.alias("south"), w.alias("west"), n.alias("north"), e.alias("east")))

@@ -175,11 +175,22 @@ def href(tag: Column) -> Column:
     return F.regexp_replace(target, r"(?i)&amp;|&#38;|\\u0026|\\x26", "&")
 
 
+def without_dots(url: Column) -> Column:
+    """An absolute address whose path has no ``.`` and ``..`` segments; one that leaves the root stays at the root."""
+    parts = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)(/[^?#]*)?(.*)$"
+    head, path, tail = (F.regexp_extract(url, "(?s)" + parts, k) for k in (1, 2, 3))
+    steps = F.split(path, "/")
+    up = lambda done: F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda done, s: F.when(s == ".", done).when(s == "..", up(done)).otherwise(F.concat(done, F.array(s))))
+    ends = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when((head != "") & path.rlike(r"/\.{1,2}(/|$)"), F.concat(head, F.array_join(ends, "/"), tail)).otherwise(url)
+
+
 def resolve_url(base: Column, target: Column) -> Column:
     """Absolute form of ``target`` as seen from ``base``: absolute, without scheme, from the root, query, fragment, relative."""
     scheme, origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     page, folder = F.regexp_extract(base, r"^([^?#]*)", 1), F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    return (
+    return without_dots(
         F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), target).when(target.startswith("//"), F.concat(scheme, target)).when(target.startswith("/"), F.concat(origin, target))
         .when(target.startswith("?"), F.concat(page, target)).when(target.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), target))
         .otherwise(F.concat(folder, F.when(folder == origin, "/").otherwise(""), target))
@@ -205,3 +216,21 @@ def page_size(info: Column, page: int | None = None) -> Column:
     line = lambda p: rf"(?im)^Page\s+{p}size:\s*([0-9.]+)\s+x\s+([0-9.]+)\s+pts"
     found = [F.struct(*(F.regexp_extract(F.coalesce(info, F.lit("")), line(p), k).try_cast("double").alias(n) for k, n in ((1, "width"), (2, "height")))) for p in ([rf"{int(page)}\s+"] if page is not None else []) + ["", r"\d+\s+"]]
     return F.coalesce(*(F.when((s["width"] > 0) & (s["height"] > 0), s) for s in found))
+
+
+def is_pdf(mime: Column, path: Column) -> Column:
+    """A document is a PDF by its media type or by its name."""
+    return (F.lower(F.coalesce(mime, F.lit(""))) == "application/pdf") | F.lower(F.coalesce(path, F.lit(""))).endswith(".pdf")
+
+
+def safe_token(value: Column) -> Column:
+    """A text as part of a file name: other characters become single hyphens, none at the ends, 96 characters at most."""
+    made = F.substring(F.regexp_replace(F.regexp_replace(F.coalesce(value, F.lit("")), "[^A-Za-z0-9._-]+", "-"), "^-+|-+$", ""), 1, 96)
+    return F.coalesce(F.nullif(made, F.lit("")), F.lit("unknown"))
+
+
+def png_size(content: Column) -> Column:
+    """Struct (width, height) of a PNG file's bytes; null for other bytes."""
+    digits = F.hex(F.substring(content, 1, 24))
+    number = lambda at: F.conv(F.substring(digits, at, 8), 16, 10).cast("long")
+    return F.when((F.length(content) >= 24) & digits.startswith("89504E470D0A1A0A"), F.struct(number(33).alias("width"), number(41).alias("height")))

@@ -92,6 +92,13 @@ def assert_bridge(features: DataFrame) -> DataFrame:
     return judged.withColumn("disposition", ok.cast("string"))
 
 
+def bridge_totals(features: DataFrame) -> DataFrame:
+    """One row (input, passed, withheld); fails if there are features and none of them passes, or if one is refused."""
+    n = assert_bridge(features).agg(F.count(F.lit(1)).alias("input"), F.count_if(F.col("disposition") == "passed").alias("passed"), F.count_if(F.col("disposition") == "withheld").alias("withheld"))
+    empty = (F.col("input") > 0) & (F.col("passed") == 0)
+    return n.select(F.when(empty, F.raise_error(F.lit("bridge withholds every feature"))).otherwise(F.col("input")).cast("long").alias("input"), "passed", "withheld")
+
+
 def normalize_vectors(vectors: DataFrame) -> DataFrame:
     """Planning features of (role, geometry, confidence, application, status), withheld rows with their reason."""
     from terraproof.functions.text import normal_status, role_feature_class, status_eligible, status_reason

@@ -326,9 +326,15 @@ def raster_dpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "labels_text").select("id", text.raster_dpi(F.col("dpi"), F.col("width"), F.col("height")).alias("dpi"))
 
 
-@query(f"""{with_views('labels_text')} SELECT id, CASE id % 9 WHEN 3 THEN 'wgs84' WHEN 4 THEN 'wgs84' WHEN 6 THEN 'wgs84' WHEN 0 THEN 'osgb' WHEN 1 THEN NULL WHEN 2 THEN 'osgb' END AS kind,
-CAST(CASE id % 9 WHEN 0 THEN 403000 WHEN 2 THEN 403000 WHEN 3 THEN -1.8851 WHEN 4 THEN 52.9876 WHEN 6 THEN 13 END AS DOUBLE) AS first,
-CAST(CASE id % 9 WHEN 0 THEN 344000 WHEN 2 THEN 344000 WHEN 3 THEN 52.9876 WHEN 4 THEN -1.8851 WHEN 6 THEN 14.5 END AS DOUBLE) AS second FROM labels_text""")
+_LABELLED = r"(?:e(?:asting)?\s*[:=]?\s*)(\d{5,6}(?:\.\d+)?)\D{0,20}(?:n(?:orthing)?\s*[:=]?\s*)(\d{5,7}(?:\.\d+)?)"
+
+
+@query(f"""{with_views('labels_text')}, f AS (SELECT id, replace(coalesce(coordinates, ''), ',', ' ') AS flat FROM labels_text),
+l AS (SELECT id, flat, regexp_extract(flat, {quote(_LABELLED)}, 1, 'i') AS e, regexp_extract(flat, {quote(_LABELLED)}, 2, 'i') AS n, regexp_extract_all(flat, '[-+]?\\d+(?:\\.\\d+)?') AS t FROM f),
+w AS (SELECT id, e, n, unnest(range(1, greatest(2, len(t)))) AS i, t FROM l), v AS (SELECT id, e, n, i, CAST(t[i] AS DOUBLE) AS a, CAST(t[i + 1] AS DOUBLE) AS b FROM w),
+k AS (SELECT *, a BETWEEN 10000 AND 700000 AND b BETWEEN 10000 AND 1300000 AS grid, (a <> floor(a) OR b <> floor(b)) AND abs(a) <= 180 AND abs(b) <= 90 AS lonlat, (a <> floor(a) OR b <> floor(b)) AND abs(a) <= 90 AND abs(b) <= 180 AS latlon FROM v),
+g AS (SELECT id, any_value(e) AS e, any_value(n) AS n, min_by({{'kind': CASE WHEN grid THEN 'osgb' ELSE 'wgs84' END, 'first': CASE WHEN grid OR lonlat THEN a ELSE b END, 'second': CASE WHEN grid OR lonlat THEN b ELSE a END}}, i) FILTER (grid OR lonlat OR latlon) AS p FROM k GROUP BY id)
+SELECT id, CASE WHEN e <> '' THEN 'osgb' ELSE p.kind END AS kind, CASE WHEN e <> '' THEN CAST(e AS DOUBLE) ELSE p.first END AS first, CASE WHEN e <> '' THEN CAST(n AS DOUBLE) ELSE p.second END AS second FROM g""")
 def coordinate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "labels_text").withColumn("c", text.coordinate_pair(F.col("coordinates"))).select("id", "c.kind", "c.first", "c.second")
 
@@ -751,6 +757,31 @@ def bridge_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.bridge(view(spark, sf_dir, "bridge_input")).groupBy("feature_class", "disposition", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"""{with_views('bridge_input')} SELECT count(*) AS input, count(*) FILTER (feature_class <> 'terrain-detail') AS passed, count(*) FILTER (feature_class = 'terrain-detail') AS withheld FROM bridge_input
+WHERE lower(source) = 'planning' AND NOT renderable AND authority AND feature_class IN ({", ".join(map(quote, (*rules.BRIDGE_CLASSES, *rules.BRIDGE_WITHHELD)))})""")
+def bridge_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the features that are not refused."""
+    rows = view(spark, sf_dir, "bridge_input")
+    return evidence.bridge_totals(evidence.bridge(rows).filter("disposition <> 'refused'").select(*rows.columns))
+
+
+@query(f"""{with_views('labels_text')} SELECT id, coalesce(nullif(substr(regexp_replace(regexp_replace(text, '[^A-Za-z0-9._-]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 96), ''), 'unknown') AS token, lower(title) LIKE '%.pdf' AS pdf FROM labels_text""")
+def safe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "labels_text").select("id", text.safe_token(F.col("text")).alias("token"), text.is_pdf(F.lit(None).cast("string"), F.col("title")).alias("pdf"))
+
+
+@query(f"""{with_views('placements')} SELECT ordinal, CASE WHEN offset_m IS NOT NULL AND offset_m < y THEN offset_m END AS south, least(1, greatest(0, coalesce(offset_m / 1000, 0))) AS share FROM placements""")
+def valid_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    box = geo.valid_box(F.col("offset_m"), F.lit(0), F.col("y").cast("string"), F.lit("1.5"))
+    return view(spark, sf_dir, "placements").select("ordinal", box["south"].alias("south"), geo.unit(F.col("offset_m") / 1000).alias("share"))
+
+
+@query(f"""{with_views('placements')} SELECT ordinal, CASE WHEN angle = 0 THEN 'embedded-geospatial' WHEN offset_m > 700 THEN 'explicit-control-points' WHEN cost > 50 THEN 'printed-coordinates' END AS method, CASE WHEN angle = 0 OR offset_m > 700 THEN 1 WHEN cost > 50 THEN CAST(0.98 AS DOUBLE) END AS confidence FROM placements""")
+def strongest_method(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = georef.strongest(F.when(F.col("angle") == 0, 1), F.when(F.col("offset_m") > 700, 1), F.when(F.col("cost") > 50, 1))
+    return view(spark, sf_dir, "placements").select("ordinal", best.alias("b")).select("ordinal", "b.method", "b.confidence")
+
+
 _CLASS_SQL = "CASE role " + " ".join(f"WHEN '{r}' THEN '{c}'" for r, c in rules.ROLE_FEATURE_CLASS.items()) + " END"
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
+from urllib.parse import urlsplit, urlunsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,20 @@ def first_success(attempts: DataFrame, key: str = "source") -> DataFrame:
     return done.select(key, F.when(F.col("attempt").isNotNull(), F.col("p")).alias("payload"), "attempt", "attempts", F.when(F.col("attempt").isNull(), "unavailable").otherwise("ready").alias("status"))
 
 
+def endpoints(first: str, fallbacks: Iterable[str | None] = ()) -> list[str]:
+    """Addresses to try in order, each once; only HTTPS is accepted, hosts are lower-cased, empty ones skipped."""
+    if not first:
+        raise ValueError("an endpoint is required")
+    out: dict[str, None] = {}
+    for value in (first, *fallbacks):
+        if value:
+            url = urlsplit(value.strip())
+            if url.scheme.lower() != "https" or not url.hostname:
+                raise ValueError(f"endpoint must use HTTPS: {value}")
+            out[urlunsplit(("https", url.netloc.lower().removesuffix(":443"), url.path or "/", url.query, url.fragment))] = None
+    return list(out)
+
+
 def overpass_query(bbox: tuple[float, float, float, float], timeout: int = 25) -> str:
     """Query text for the mapped elements in a (south, west, north, east) box of limited size."""
     south, west, north, east = bbox

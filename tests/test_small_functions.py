@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import struct
+
+import pytest
 from pyspark.sql import functions as F
 
 from terraproof.functions import geo, text
-from terraproof.operators import documents
+from terraproof.operators import documents, evidence
+from terraproof.sources import catalog
 
 
 def test_page_size_and_priors(spark):
@@ -30,3 +34,39 @@ def test_document_aggregates(spark):
     c = spark.createDataFrame([("candidate", None, [0.5] * 20), ("rejected", "m", None)], "status string, method string, alternatives array<double>")
     (r,) = documents.page_candidates(c).collect()
     assert len(r["alternatives"]) == 12 and r["alternatives"][0]["rank"] == 1 and r["method"] == "visual-registration"
+
+
+def test_dot_segments_against_the_standard_library(spark):
+    from urllib.parse import urljoin
+
+    base = "https://h.example/a/b/c.html?q=1"
+    targets = ["../d", "./d", "../../../d", "x/./y/../z?k=../k", "..", ".", "/a/../b/./c", "d..e/...", "#../f"]
+    df = spark.createDataFrame([(t,) for t in targets], "t string")
+    assert [r[0] for r in df.select(text.resolve_url(F.lit(base), F.col("t"))).collect()] == [urljoin(base, t) for t in targets]
+    # the library leaves an absolute address as it is, a browser does not
+    assert df.limit(1).select(text.resolve_url(F.lit(base), F.lit("https://o.example/x/../y"))).first()[0] == "https://o.example/y"
+
+
+def test_tokens_boxes_and_headers(spark):
+    png = b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + struct.pack(">II", 640, 70000)
+    df = spark.createDataFrame([("  A b/c.pdf ", png, "1", 2.0), (None, png[:20], "x", float("nan")), ("--", None, "5", None)], "t string, b binary, s string, v double")
+    got = df.select(text.safe_token(F.col("t")).alias("t"), text.png_size(F.col("b")).alias("p"), geo.valid_box(F.col("s"), F.lit(0), F.lit(4), F.lit("1")).alias("x"), geo.unit(F.col("v")).alias("u"), text.is_pdf(F.lit("Application/PDF"), F.col("t")).alias("pdf")).collect()
+    assert [r["t"] for r in got] == ["A-b-c.pdf", "unknown", "unknown"] and tuple(got[0]["p"]) == (640, 70000) and got[1]["p"] is None and got[2]["p"] is None
+    assert tuple(got[0]["x"]) == (1.0, 0.0, 4.0, 1.0) and got[1]["x"] is None and got[2]["x"] is None and [r["u"] for r in got] == [1.0, 0.0, 0.0] and all(r["pdf"] for r in got)
+
+
+def test_endpoints():
+    assert catalog.endpoints("https://A.example/api", [None, "https://a.example:443/api", "https://b.example", ""]) == ["https://a.example/api", "https://b.example/"]
+    for bad in ("http://a.example", ""):
+        with pytest.raises(ValueError):
+            catalog.endpoints(bad)
+
+
+def test_bridge_fails_where_nothing_passes(spark):
+    schema = "feature_class string, source string, authority boolean, renderable boolean"
+    held, passed = ("terrain-detail", "planning", True, False), ("path", "planning", True, False)
+    assert tuple(evidence.bridge_totals(spark.createDataFrame([held, passed], schema)).first()) == (2, 1, 1)
+    assert tuple(evidence.bridge_totals(spark.createDataFrame([], schema)).first()) == (0, 0, 0)
+    for bad in ([held], [passed, ("path", "osm", True, False)]):
+        with pytest.raises(Exception, match="bridge"):
+            evidence.bridge_totals(spark.createDataFrame(bad, schema)).collect()
