@@ -50,6 +50,9 @@ class ResultStore:
             return self.spark.createDataFrame([], self.schema)
 
     def get_or_create(self, work: DataFrame, compute: Callable[[DataFrame], DataFrame], key: str = "content_key") -> DataFrame:
-        """Results for all rows of ``work``; only those missing are computed."""
+        """One result for each key of ``work``; only those missing are computed.
+
+        Two jobs that compute the same key at once both append it; one of the equal results is read.
+        """
         compute(missing(work, self.read(), key).dropDuplicates([key])).write.mode("append").parquet(self.path)
-        return self.read().join(work.select(key).distinct(), key, "left_semi")
+        return self.read().join(work.select(key).distinct(), key, "left_semi").dropDuplicates([key])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -40,18 +40,32 @@ def variants(candidates: DataFrame, min_confidence: float = R.CONSENSUS_CONFIDEN
     return lists.select("application", "document", F.explode(taken).alias("v")).select("application", "document", "v.*")
 
 
+#: Less than a degree of latitude has, so that cells are wider than the reach.
+METRES_PER_DEGREE_LOW = 110000.0
+
+
+def _cell(lon: Column, across: Column) -> Column:
+    return F.floor((lon + 180) / 360 * across)
+
+
 def consensus(found: DataFrame, within_m: float = R.CONSENSUS_M, min_documents: int = R.CONSENSUS_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """(evidence by application, members of accepted applications) from variants.
 
     Every variant is an anchor; of each document the nearest variant within reach is its member. Most documents win,
     then quality, then the smaller spread; ties go to the first anchor. Anchors are compared within their application
-    and within cells of latitude as wide as the reach.
+    and within cells a little wider than the reach, which meet across the 180th meridian.
     """
+    high = within_m / METRES_PER_DEGREE_LOW
+    # cells of a band around the globe: their width holds at the band's neighbours too
+    far = F.least(F.lit(90.0), (F.greatest(F.abs("band"), F.abs(F.col("band") + 1)) + 1) * high)
+    across = F.greatest(F.lit(1).cast("long"), F.floor(F.cos(F.radians(far)) * (360 / high)))
+    cell = F.pmod(_cell(F.col("lon"), across), across)
     score = F.round(variant_score(F.col("confidence"), F.col("f1"), F.lit(None).cast("double"), F.lit(None).cast("double")), 6)
-    v = found.withColumns({"score": score, "band": F.floor(F.col("lat") * (R.METRES_PER_DEGREE / within_m))})
+    v = found.withColumns({"score": score, "band": F.floor(F.col("lat") / high)}).withColumn("cell", cell)
     a = v.select("application", F.col("document").alias("a_doc"), F.col("ordinal").alias("a"), F.col("lon").alias("a_lon"), F.col("lat").alias("a_lat"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    a = a.withColumn("cell", F.explode(F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.pmod(_cell(F.col("a_lon"), across) + i, across)))))
     d = haversine_m(F.col("a_lon"), F.col("a_lat"), F.col("lon"), F.col("lat"))
-    near = a.join(v, ["application", "band"]).withColumn("d", F.round(d, 6)).filter(F.col("d") <= within_m)
+    near = a.join(v, ["application", "band", "cell"]).withColumn("d", F.round(d, 6)).filter(F.col("d") <= within_m)
     members = near.groupBy("application", "a_doc", "a", "document").agg(F.min(F.struct("d", (-F.col("score")).alias("s"), "ordinal", "rank")).alias("m"))
     groups = members.groupBy("application", "a_doc", "a").agg(F.count(F.lit(1)).alias("documents"), F.sum(-F.col("m.s")).alias("quality"), F.max("m.d").alias("spread"))
     total = F.round(F.col("documents") * 10000 + F.col("quality") * 100 - F.col("spread"), 4)
@@ -128,5 +142,5 @@ def strongest(embedded: Column, explicit: Column, printed: Column) -> Column:
 def choose_registrations(direct: DataFrame, agreed: DataFrame) -> DataFrame:
     """Union of direct and consensus registrations by document; a direct one takes precedence, then the better score, then the first page."""
     both = direct.withColumn("way", F.lit(0)).unionByName(agreed.withColumn("way", F.lit(1)))
-    w = Window.partitionBy("document").orderBy("way", F.desc("score"), "page")
-    return both.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("document", "page", "score", F.when(F.col("way") == 0, "direct").otherwise("consensus").alias("method"))
+    best = both.groupBy("document").agg(F.min(F.struct("way", (-F.coalesce("score", F.lit(float("-inf")))).alias("s"), "page", "score")).alias("b"))
+    return best.select("document", F.col("b.page").alias("page"), F.col("b.score").alias("score"), F.when(F.col("b.way") == 0, "direct").otherwise("consensus").alias("method"))

@@ -108,6 +108,25 @@ def test_variants_and_consensus(spark):
     assert evidence.first()["accepted"] and {(r["document"], r["rank"]) for r in members.collect()} == {("a", 1), ("b", 1)}
 
 
+def test_consensus_at_the_edge_of_the_reach(spark):
+    """Pairs just within the reach, wherever they lie on the grid, north to south, east to west and across 180 degrees."""
+    import math
+
+    schema = "application long, document string, rank int, ordinal long, lon double, lat double, confidence double, f1 double"
+    degree, rows, app = 6371008.8 * math.pi / 180, [], 0
+    for k in range(60):
+        lat, lon = (52.98, -70.0, 89.999)[k % 3] + k * 0.00002, (10.0, 179.9995, -180.0)[k // 3 % 3]
+        for dlat, dlon in ((139.9 / degree, 0.0), (0.0, 139.9 / degree / max(math.cos(math.radians(lat)), 0.01))):
+            app += 1
+            other = (lon + dlon + 180) % 360 - 180
+            rows += [(app, "a", 0, 0, lon, lat, 0.9, 0.8), (app, "b", 0, 1, other, min(lat + dlat, 90.0), 0.9, 0.8)]
+    # a pair that spans three bands where a band is a hair narrower than the reach
+    app, low = app + 1, (math.floor(52.98 * 111320 / 140) + 1) * 140 / 111320 - 0.02 / degree
+    rows += [(app, "a", 0, 0, 10.0, low, 0.9, 0.8), (app, "b", 0, 1, 10.0, low + 139.9 / degree, 0.9, 0.8)]
+    evidence, _ = georef.consensus(spark.createDataFrame(rows, schema))
+    assert {r["application"] for r in evidence.collect() if r["documents"] == 2} == set(range(1, app + 1))
+
+
 def test_consensus_queries_keep_every_usable_candidate(spark, small, monkeypatch):
     from terraproof.plans import queries
 
