@@ -84,6 +84,8 @@ def test_result_store_computes_only_what_is_missing(spark, tmp_path):
     assert store.get_or_create(work("a", "b", "a"), compute).count() == 2
     assert store.get_or_create(work("b", "c"), compute).count() == 2
     assert seen == [["a", "b"], ["c"]]
+    work("c").withColumn("v", F.lit(1).cast("long")).write.mode("append").parquet(store.path)  # another job's append
+    assert store.get_or_create(work("c"), compute).count() == 1
 
 
 def test_evidence_key(spark):
