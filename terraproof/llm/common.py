@@ -42,6 +42,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def forget_files(spark: SparkSession, folder: str) -> None:
+    """Removes what an operator wrote meanwhile, through the file system that holds it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)  # noqa: SLF001
+
+
 def id_crc32(id_column: str) -> Column:
     """CRC-32 of an id's decimal text."""
     return F.crc32(F.col(id_column).cast("string").cast("binary"))

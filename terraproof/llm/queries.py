@@ -14,6 +14,9 @@ from terraproof.llm.q08_chat import SQL as OP8_SQL
 from terraproof.llm.q08_chat import op8_chat
 from terraproof.llm.q09_language import op9_language
 from terraproof.llm.q10_packing import op10_packing
+from terraproof.llm.q11_classifier import op11_classifier
+from terraproof.llm.q12_whitening import op12_whitening
+from terraproof.llm.q13_spelling import op13_spelling
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_language": op9_language,
     "op10_packing": op10_packing,
+    "op11_classifier": op11_classifier,
+    "op12_whitening": op12_whitening,
+    "op13_spelling": op13_spelling,
 }
 ORACLES: dict[str, str] = {
     "op2_quality": OP2_SQL,
