@@ -10,8 +10,9 @@ against those behind it, and every candidate is verified.
 
 Each pair is found in one block only: it goes to the right half of a split if its common prefix reaches the split, else to
 the left half; so in a block with b < l a pair counts if its common prefix ends before b. A word's rows carry the counts of
-whole blocks, never pairs. Sizes of blocks are counted with partial counts; the list of large blocks is joined with the
-words by block and salt, so that one block with a third of all words is no hot partition.
+whole blocks, never pairs. Sizes of blocks are counted with partial counts. The list of large blocks is broadcast if it is
+counted to have at most MOST_BROADCAST rows, some MB; a longer one is joined with the words by block and salt, so that one
+block with a third of all words is no hot partition.
 
 Defined results: a null text has no words; a null id is written as the empty text. Repeated rows count as occurrences. Ties
 of the largest n go to the smallest word in code-point order. Without words the result is empty. Input columns other than
@@ -36,6 +37,7 @@ from terraproof.llm.common import ensure_checkpoint_dir, forget_files, release_m
 RUN = r"[a-zÀ-ÿ]"
 MIN_LENGTH, MIN_COUNT, DROP_ONE_IN, FORM_RATIO = 7, 2, 31, 10
 SALTS = 16
+MOST_BROADCAST = 100_000
 PAIR_BYTES = 8 << 20
 FOUND = "word string, near long, best_n long, best string"
 
@@ -90,10 +92,15 @@ def subdivided(words: DataFrame, most_rows: int, home: str) -> DataFrame:
         large = f"{home}/large-{level}"
         rows.filter(F.col("b") - F.col("a") > 1).groupBy("block").count().filter(F.col("count") > most_rows).select("block").write.parquet(large)
         blocks = spark.read.schema("block long").parquet(large)
-        if blocks.isEmpty():
+        n_large = blocks.count()
+        if not n_large:
             done.append(rows)
             break
-        marked = rows.withColumn("salt", salt).join(blocks.select("block", salts.alias("salt"), F.lit(True).alias("split")), ["block", "salt"], "left")
+        split = F.lit(True).alias("split")
+        if n_large <= MOST_BROADCAST:
+            marked = rows.join(F.broadcast(blocks.select("block", split)), "block", "left")
+        else:
+            marked = rows.withColumn("salt", salt).join(blocks.select("block", salts.alias("salt"), split).hint("merge"), ["block", "salt"], "left")
         marked = marked.withColumn("split", F.coalesce("split", F.lit(False)) & (F.col("b") - F.col("a") > 1))
         done.append(marked.filter(~F.col("split")).select(*rows.columns))
         at = f"{home}/rows-{level}"

@@ -80,8 +80,9 @@ def spelled() -> list[tuple]:
     return texts
 
 
-@pytest.mark.parametrize("most_rows", [2, 64])
-def test_spelling_against_brute_force(spark, most_rows):
+@pytest.mark.parametrize(("most_rows", "most_broadcast"), [(2, 100_000), (2, 0), (64, 100_000)])
+def test_spelling_against_brute_force(spark, monkeypatch, most_rows, most_broadcast):
+    monkeypatch.setattr(spelling, "MOST_BROADCAST", most_broadcast)
     docs = spelled()
     df = spark.createDataFrame([(t, i, "clash", 1) for i, t in docs], "text string, doc_id long, word string, n int")
     out = spelling.group_variants(df, "doc_id", "text", most_rows)
