@@ -143,16 +143,18 @@ def coordinate_pair(text: Column) -> Column:
     flat = F.regexp_replace(F.coalesce(text, F.lit("")), ",", " ")
     label = r"(?i)(?:e(?:asting)?\s*[:=]?\s*)(\d{5,6}(?:\.\d+)?)\D{0,20}(?:n(?:orthing)?\s*[:=]?\s*)(\d{5,7}(?:\.\d+)?)"
     east, north = (F.try_to_number(F.nullif(F.regexp_extract(flat, label, k), F.lit("")), F.lit("9999999.9999999999")).cast("double") for k in (1, 2))
-    texts = F.regexp_extract_all(flat, F.lit(r"[-+]?\d+(?:\.\d+)?"), F.lit(0))
-    pairs = F.when(F.size(texts) > 1, F.transform(F.sequence(F.lit(0), F.size(texts) - 2), lambda i: F.struct(F.get(texts, i).alias("s"), F.get(texts, i + 1).alias("t"), F.get(texts, i).cast("double").alias("a"), F.get(texts, i + 1).cast("double").alias("b"))))
+    # transform over a one-element array binds a value to a name, so that it is computed once
+    bound = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
+    pair = lambda texts, i: F.struct(F.get(texts, i).cast("double").alias("a"), F.get(texts, i + 1).cast("double").alias("b"))
+    pairs = bound(F.regexp_extract_all(flat, F.lit(r"[-+]?\d+(?:\.\d+)?"), F.lit(0)), lambda texts: F.when(F.size(texts) > 1, F.transform(F.sequence(F.lit(0), F.size(texts) - 2), lambda i: pair(texts, i))))
     make = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("first"), b.alias("second"))
     # a number counts as fractional if its value is, as "1.0" and "1" are one number
     fractional = lambda p: (p["a"] != F.floor(p["a"])) | (p["b"] != F.floor(p["b"]))
     grid = lambda p: p["a"].between(10000, 700000) & p["b"].between(10000, 1300000)
     lon_lat = lambda p: (F.abs(p["a"]) <= 180) & (F.abs(p["b"]) <= 90) & fractional(p)
     lat_lon = lambda p: (F.abs(p["a"]) <= 90) & (F.abs(p["b"]) <= 180) & fractional(p)
-    p = F.get(F.filter(pairs, lambda p: grid(p) | lon_lat(p) | lat_lon(p)), F.lit(0))
-    free = F.when(p.isNotNull(), F.when(grid(p), make("osgb", p["a"], p["b"])).when(lon_lat(p), make("wgs84", p["a"], p["b"])).otherwise(make("wgs84", p["b"], p["a"])))
+    first = F.get(F.filter(pairs, lambda p: grid(p) | lon_lat(p) | lat_lon(p)), F.lit(0))
+    free = bound(first, lambda p: F.when(p.isNotNull(), F.when(grid(p), make("osgb", p["a"], p["b"])).when(lon_lat(p), make("wgs84", p["a"], p["b"])).otherwise(make("wgs84", p["b"], p["a"]))))
     return F.when(east.isNotNull() & north.isNotNull(), make("osgb", east, north)).otherwise(free)
 
 

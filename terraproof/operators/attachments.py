@@ -32,10 +32,26 @@ def parse_attachments(pages: DataFrame, base: str = "url", markup: str = "html")
     return best.select("page_id", "image", "b.title", "b.row_text", url.alias("url"), F.regexp_replace(url, "(?i)^https:", "http:").alias("transport_url"), "b.r.*")
 
 
+def best_attachments(found: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """Of each (application, image) the row of the best rank; ties go to the first by the columns of ``order``, then to a
+    title, then to the least row, so that the result does not depend on the order of rows."""
+    rest = [c for c in found.columns if c not in ("application", "image")]
+    plain = [c for c in rest if c not in order and c != "priority"]
+    key = F.struct((-F.col("priority")).alias("_p"), *order, F.to_json(F.struct(*plain)).alias("_row"))
+    return found.groupBy("application", "image").agg(F.min_by(F.struct(*rest), key).alias("b")).select("application", "image", "b.*")
+
+
 def union_attachments(*found: DataFrame) -> DataFrame:
-    """Attachments of several pages of one application (application, image, priority, ...), the best rank of each image."""
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    rest = [c for c in out.columns if c not in ("application", "image")]
-    return out.groupBy("application", "image").agg(F.max_by(F.struct(*rest), "priority").alias("b")).select("application", "image", "b.*")
+    """Attachments of several pages of one application (application, image, priority, ...), the best rank of each image;
+    of equal ranks the one of the earlier argument."""
+    out = None
+    for k, more in enumerate(found):
+        more = more.withColumn("_page", F.lit(k))
+        out = more if out is None else out.unionByName(more)
+    return best_attachments(out, ("_page",)).drop("_page")
+
+
+def in_order(attachments: DataFrame, *first: str) -> DataFrame:
+    """Attachments as they are listed: best rank, narrative last where that is a column, name of the image."""
+    narrative = [F.coalesce("narrative", F.lit(False))] if "narrative" in attachments.columns else []
+    return attachments.orderBy(*first, F.desc("priority"), *narrative, "image")

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from terraproof.functions import rules as R
-from terraproof.functions.geo import haversine_m
+from terraproof.functions.geo import haversine_m, ring_area
 
 
 def variant_score(confidence: Column, f1: Column, precision: Column, recall: Column) -> Column:
@@ -95,42 +93,53 @@ def affine_fit(points: DataFrame, key: str) -> DataFrame:
     return fit.select(key, F.col("n").cast("long").alias("points"), "lon_x", "lon_y", (F.col("mo") - F.col("lon_x") * F.col("mx") - F.col("lon_y") * F.col("my")).alias("lon_0"), "lat_x", "lat_y", (F.col("ma") - F.col("lat_x") * F.col("mx") - F.col("lat_y") * F.col("my")).alias("lat_0"))
 
 
-def _clip(points: list[tuple[float, float]], axis: int, at: float, sign: float) -> list[tuple[float, float]]:
-    out = []
-    for k, p in enumerate(points):
-        q = points[k - 1]
-        inside, before = sign * p[axis] >= sign * at, sign * q[axis] >= sign * at
-        if inside != before:
-            t = (at - q[axis]) / (p[axis] - q[axis])
-            cross = [q[0] + (p[0] - q[0]) * t, q[1] + (p[1] - q[1]) * t]
-            cross[axis] = at
-            out.append((cross[0], cross[1]))
-        if inside:
-            out.append(p)
-    return out
+def clip_to_box(points: Column, bbox: tuple[float, float, float, float]) -> Column:
+    """A polygon, array of (x, y), cut to a (south, west, north, east) box: a fold over the box's four sides.
 
+    Each side keeps what lies on its inner side of the polygon and the places where the polygon's edges cross it.
+    """
+    south, west, north, east = bbox
+    sides = F.array(*(F.struct(F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b"), F.lit(float(c)).alias("c")) for a, b, c in ((1, 0, west), (-1, 0, -east), (0, 1, south), (0, -1, -north))))
+    kind = "array<struct<x:double,y:double>>"
+    depth = lambda side, p: side["a"] * p["x"] + side["b"] * p["y"] - side["c"]
 
-def _area(points: list[tuple[float, float]]) -> float:
-    return abs(sum(points[k - 1][0] * p[1] - p[0] * points[k - 1][1] for k, p in enumerate(points))) / 2
+    def cut(acc: Column, side: Column) -> Column:
+        before = F.concat(F.slice(acc, F.lit(-1), F.lit(1)), F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
 
+        def step(q: Column, p: Column) -> Column:
+            t = depth(side, q) / F.nullif(depth(side, q) - depth(side, p), F.lit(0.0))
+            cross = F.struct((q["x"] + (p["x"] - q["x"]) * t).alias("x"), (q["y"] + (p["y"] - q["y"]) * t).alias("y"))
+            return F.array(F.when((depth(side, q) >= 0) != (depth(side, p) >= 0), cross), F.when(depth(side, p) >= 0, F.struct(p["x"].alias("x"), p["y"].alias("y"))))
 
-def geofence_overlap(corners: Column, bbox: tuple[float, float, float, float]) -> Column:
-    """Share of a four-cornered extent, array of (lon, lat), inside a (south, west, north, east) box."""
-    south, west, north, east = bbox
+        return F.array_compact(F.flatten(F.zip_with(before, acc, step))).cast(kind)
 
-    def run(extents: pd.Series) -> pd.Series:
-        out = []
-        for extent in extents:
-            points = [(p["lon"], p["lat"]) for p in extent] if extent is not None else []
-            if any(v is None for p in points for v in p) or not (whole := _area(points)):
-                out.append(None)
-                continue
-            for axis, at, sign in ((0, west, 1), (0, east, -1), (1, south, 1), (1, north, -1)):
-                points = _clip(points, axis, at, sign)
-            out.append(max(0.0, min(1.0, _area(points) / whole)))
-        return pd.Series(out, dtype="float64")
-
-    return pandas_udf(run, "double")(corners)
+    return F.aggregate(sides, points.cast(kind), cut)
+
+
+def geofence_overlap(corners: Column, bbox: tuple[float, float, float, float]) -> Column:
+    """Share of an extent, array of (lon, lat), inside a (south, west, north, east) box; null without an area."""
+    points = F.transform(corners, lambda p: F.struct(p["lon"].cast("double").alias("x"), p["lat"].cast("double").alias("y")))
+    bad = lambda c: F.exists(c, lambda p: p["x"].isNull() | p["y"].isNull())
+    # transform over a one-element array binds a value to a name, so that it is computed once
+    bound = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
+    share = lambda c, whole: F.when(whole > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), bound(clip_to_box(c, bbox), ring_area) / F.nullif(whole, F.lit(0.0)))))
+    return F.when(corners.isNotNull(), bound(points, lambda c: F.when(~bad(c) & (F.size(c) > 2), bound(ring_area(c), lambda whole: share(c, whole)))))
+
+
+def extent_corners(width: Column, height: Column, fit: dict[str, Column]) -> Column:
+    """Corners (lon, lat) of a page of that size under an affine fit, in order around it; null without a size or a fit."""
+    zero = F.lit(0.0)
+    at = lambda x, y: F.struct((fit["lon_x"] * x + fit["lon_y"] * y + fit["lon_0"]).alias("lon"), (fit["lat_x"] * x + fit["lat_y"] * y + fit["lat_0"]).alias("lat"))
+    return F.when((width > 0) & (height > 0) & fit["lon_x"].isNotNull(), F.array(at(zero, zero), at(width, zero), at(width, height), at(zero, height)))
+
+
+def page_extents(pages: DataFrame, points: DataFrame, bbox: tuple[float, float, float, float], key: str = "page") -> DataFrame:
+    """``pages`` (key, width, height, ...) and ``overlap``: the share of the page that its control points (key, x, y, lon,
+    lat) put into the box; null where they determine no transform."""
+    fit = affine_fit(points, key).drop("points")
+    joined = pages.join(fit, key, "left")
+    corners = extent_corners(F.col("width").cast("double"), F.col("height").cast("double"), {c: F.col(c) for c in fit.columns})
+    return joined.withColumn("_corners", corners).withColumn("overlap", geofence_overlap(F.col("_corners"), bbox)).select(*(F.col(c) for c in pages.columns), "overlap")
 
 
 def strongest(embedded: Column, explicit: Column, printed: Column) -> Column:

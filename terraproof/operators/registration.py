@@ -187,16 +187,18 @@ def compact_metrics(*columns: str) -> list[Column]:
 
 
 def printed_controls(lines: DataFrame, key: str, bbox: Box) -> DataFrame:
-    """Control points (key, x, y, lon, lat) printed on a page as longitude and latitude, where they pass the checks.
+    """Control points (key, x, y, lon, lat) printed on a page, as grid references or as longitude and latitude.
 
-    Lines carry text and x, y of their middle. A page with fewer than three printed pairs has none. Grid references count
-    as pairs but give no point, as the datum shift to degrees needs a tool.
+    Lines carry text and x, y of their middle. A page has points if three or more pass the checks near the box.
     """
     from terraproof.functions.geo import checked_controls
+    from terraproof.functions.grid import with_place
     from terraproof.functions.text import coordinate_pair
 
-    found = lines.withColumn("_c", coordinate_pair(F.col("text"))).filter("_c IS NOT NULL")
-    world = lambda c: F.when(F.col("_c.kind") == "wgs84", F.col("_c")[c])
-    points = found.select(key, "x", "y", world("first").alias("lon"), world("second").alias("lat"))
+    found = lines.withColumn("_c", coordinate_pair(F.col("text"))).filter("_c IS NOT NULL").select(key, "x", "y", "_c.kind", "_c.first", "_c.second")
+    on_grid = F.col("kind") == "osgb"
+    placed = with_place(found, F.when(on_grid, F.col("first")), F.when(on_grid, F.col("second")))
+    world = lambda c, n: F.when(on_grid, F.col(c)).otherwise(F.col(n)).alias(c)
+    points = placed.select(key, "x", "y", world("lon", "first"), world("lat", "second"))
     good = checked_controls(points, key, bbox).filter("accepted").select(key)
-    return points.filter("lon IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL").join(good, key, "left_semi")
+    return points.filter("lon IS NOT NULL AND lat IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL").join(good, key, "left_semi")

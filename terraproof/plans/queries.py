@@ -3,35 +3,20 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraproof.functions import geo, rules, text
 from terraproof.operators import cache, documents, evidence, georef, matching, registration, semantics
+from terraproof.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from terraproof.sources import catalog
 from terraproof.sources.adapters import view, with_views
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 BBOX = (52.975, -1.905, 52.995, -1.875)
 GATE_BBOX = (-5.0, -5.0, 5.0, 5.0)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its name, with its SQL."""
-
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 def quote(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -848,3 +833,8 @@ def chosen_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = view(spark, sf_dir, "georef")
     rows = g.select((F.col("document") * 100000 + F.col("application")).alias("document"), F.col("rank").alias("page"), F.round(F.col("confidence") * 2 + F.col("f1"), 6).alias("score"), "ordinal")
     return georef.choose_registrations(rows.filter("ordinal % 2 = 0").drop("ordinal"), rows.filter("ordinal % 2 = 1").drop("ordinal"))
+
+
+# Queries of later modules ---------------------------------------------------------------------------------------------
+
+from terraproof.plans import queries_grid, queries_rounds  # noqa: E402, F401

@@ -97,6 +97,34 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "south": "CAST(o_custkey % 70 AS DOUBLE) / 10 - 6",
         "size": "CAST(1 + o_orderkey % 10 AS DOUBLE)",
     }),
+    "tilted": ("orders", {
+        "page": "o_orderkey",
+        "status": case("o_orderkey % 8", STATUSES),
+        "confidence": "CAST(0.8 AS DOUBLE) + (o_orderkey % 20) / CAST(100 AS DOUBLE)",
+        "offset_m": "CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE CAST(o_custkey % 50 AS DOUBLE) END",
+        "direct": "o_orderkey % 6 = 0",
+        "width": "CAST(100 + o_custkey % 900 AS DOUBLE)",
+        "height": "CASE WHEN o_custkey % 23 = 0 THEN NULL ELSE CAST(100 + o_custkey * 3 % 700 AS DOUBLE) END",
+        "lon_x": "cos(CAST(o_orderkey % 360 AS DOUBLE)) / 100",
+        "lon_y": "sin(CAST(o_orderkey % 360 AS DOUBLE)) / 100 + CAST(o_custkey % 5 AS DOUBLE) / 1000",
+        "lon_0": "CAST(o_custkey % 140 AS DOUBLE) / 10 - 7",
+        "lat_x": "sin(CAST(o_orderkey % 360 AS DOUBLE)) / 120",
+        "lat_y": "-cos(CAST(o_orderkey % 360 AS DOUBLE)) / 120",
+        "lat_0": "CAST(o_orderkey % 130 AS DOUBLE) / 10 - 6",
+    }),
+    "grid_lines": ("lineitem", {
+        "page": "l_suppkey",
+        "x": "CAST(l_partkey % 400 AS DOUBLE)",
+        "y": "l_quantity * 8",
+        "east": "405800 + l_partkey * 7 % 3400",
+        "north": "341000 + l_orderkey * 11 % 4000",
+        "text": "CASE l_linenumber % 4 WHEN 0 THEN concat('E ', CAST(405800 + l_partkey * 7 % 3400 AS VARCHAR(20)), ' N ', CAST(341000 + l_orderkey * 11 % 4000 AS VARCHAR(20))) WHEN 1 THEN concat(CAST(405800 + l_partkey * 7 % 3400 AS VARCHAR(20)), ', ', CAST(341000 + l_orderkey * 11 % 4000 AS VARCHAR(20))) WHEN 2 THEN 'sheet 1 of 3' ELSE NULL END",
+    }),
+    "grid_points": ("orders", {
+        "id": "o_orderkey",
+        "east": "CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE CAST(90000 + o_orderkey * 131 % 560000 AS DOUBLE) + CAST(o_custkey % 100 AS DOUBLE) / 100 END",
+        "north": "CAST(10000 + o_custkey * 977 % 1200000 AS DOUBLE) + CAST(o_orderkey % 100 AS DOUBLE) / 100",
+    }),
     "stages": ("events", {
         "page": "event_id",
         "failed": "event_type = 'error'",

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import urlsplit, urlunsplit
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraproof.functions.rules import PHASE_BUDGET_MS, RUN_BUDGET_MS
+from terraproof.operators.state import shared_folder, written
 
 # Source and whether its geometry may be rendered in the world.
 CATALOG = {
@@ -85,16 +89,28 @@ def overpass_query(bbox: tuple[float, float, float, float], timeout: int = 25) -
     return f"[out:json][timeout:{timeout}];(" + "".join(f'nwr["{k}"]({box});' for k in OVERPASS_SELECTORS) + ");out geom;"
 
 
-def acquire(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], fail_open: bool = True) -> DataFrame:
-    """The union of what the readers give, each row with its source; a reader that fails is an unavailable row."""
-    out = []
-    for name, read in readers.items():
+def acquire(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], fail_open: bool | Iterable[str] = True, lanes: int = 4) -> DataFrame:
+    """The union of what the readers give, each row with its source; a reader that fails is an unavailable row.
+
+    Every reader's rows are written to the shared folder by a job of its own, ``lanes`` at a time, so that one that fails
+    half-way gives the unavailable row alone, and none of its rows. ``fail_open`` may name the sources that may fail.
+    """
+    if not readers or not all(re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", x) for x in readers):
+        raise ValueError("at least one source, named by letters, digits, dot, underscore and hyphen")
+    may_fail = set(readers) if fail_open is True else set(fail_open or ())
+    home = shared_folder(spark, "acquire")
+
+    def read(name: str) -> DataFrame:
         try:
-            out.append(read().withColumns({"source": F.lit(name), "status": F.lit("ready"), "error": F.lit(None).cast("string")}))
+            rows = readers[name]().withColumns({"source": F.lit(name), "status": F.lit("ready"), "error": F.lit(None).cast("string")})
+            return written(rows, f"{home}/{name}")
         except Exception as e:
-            if not fail_open:
+            if name not in may_fail:
                 raise
-            out.append(spark.createDataFrame([(name, "unavailable", str(e)[:200])], "source string, status string, error string"))
+            return spark.createDataFrame([(name, "unavailable", str(e)[:200])], "source string, status string, error string")
+
+    with ThreadPoolExecutor(max(1, lanes)) as pool:
+        out = list(pool.map(inheritable_thread_target(spark)(read), readers))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
 
 
