@@ -201,9 +201,10 @@ def near_links(prints: DataFrame, threshold: int = 2, blocks: int = 2) -> DataFr
     return home.hint("merge").join(copies, near).select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b"))
 
 
-def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: int = 2, width: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): rows has id and ``fp`` of each input row; classes has for each ``fp`` its component_id,
-    the fingerprints (``n_prints``) and rows (``n_rows``) of the component.
+def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: int = 2, width: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, heads): rows has id and ``fp`` of each input row; classes has for each ``fp`` its component_id,
+    the fingerprints (``n_prints``) and rows (``n_rows``) of the component; heads has for each component its
+    component_id and a ``fp`` that a row of that id has. Two components may bear the same id, where rows repeat it.
 
     A threshold beyond MAX_STEPS is reached in two rounds: the second links what the first left apart, so that a dense
     cluster of fingerprints, one component after the first round, does not give all of its pairs.
@@ -219,32 +220,34 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: int =
         joined = prints.join(linked, prints["component"] == linked["node"], "left").select("fp", "least", "n", F.coalesce("_to", "component").alias("component"))
         prints = cut(joined.repartition(parts, "fp"))
     # partial sums first: a component of very many fingerprints is no single group of rows in one task
-    heads = prints.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n_prints"), F.sum("n").alias("n_rows"))
+    first = F.min(F.struct(F.col("least").isNull().alias("nameless"), "least", "fp")).alias("_first")
+    heads = cut(prints.groupBy("component").agg(first, F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n_prints"), F.sum("n").alias("n_rows")))
     classes = cut(prints.select("fp", "component").join(heads, "component").select("fp", "component_id", "n_prints", "n_rows"))
-    return rows, classes
+    return rows, classes, heads.select("component_id", F.col("_first.fp").alias("fp"))
 
 
 def label_near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: int = 2, width: int = 3) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id, n_prints, n_rows."""
-    rows, classes = near_duplicates(df, id_col, text_col, threshold, width)
+    rows, classes, _ = near_duplicates(df, id_col, text_col, threshold, width)
     out = rows.join(classes, "fp").select(F.col("_id").alias(id_col), fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id", "n_prints", "n_rows")
     return out
 
 
 def keep_one(df: DataFrame, id_col: str, text_col: str, threshold: int = 2, width: int = 3) -> DataFrame:
-    """The rows of ``df`` without near duplicates: of each component the row with the smallest id stays.
+    """The rows of ``df`` without near duplicates: of each component one row with its smallest id stays.
 
-    Where several rows carry that id, one of them stays; where all ids are null, one of the rows.
+    Where several rows of a component carry that id, one of those with its head's fingerprint stays; where all ids of a
+    component are null, one of its rows. Rows that share an id but not a component are apart, and all stay.
     """
-    rows, classes = near_duplicates(df, id_col, text_col, threshold, width)
-    heads = rows.join(classes, "fp").filter(F.col("_id").eqNullSafe(F.col("component_id")))
-    heads = cut(heads.groupBy("_id").agg(F.count(F.lit(1)).alias("_n"), F.max("n_prints").alias("_p")))
-    once, often = heads.filter((F.col("_n") == 1) & F.col("_id").isNotNull()), heads.filter((F.col("_n") > 1) & F.col("_id").isNotNull())
-    first = df.join(once.select(F.col("_id").alias(id_col)), id_col, "left_semi")
-    # rows whose id occurs again: one per id and fingerprint, which are the same component
-    again = df.join(often.select(F.col("_id").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col])
+    rows, _, heads = near_duplicates(df, id_col, text_col, threshold, width)
+    counts = rows.filter("_id IS NOT NULL").groupBy("_id").agg(F.count(F.lit(1)).alias("_n"))
+    named = cut(heads.filter("component_id IS NOT NULL").join(counts, F.col("component_id") == F.col("_id")).select("_id", "fp", "_n"))
+    first = df.join(named.filter("_n = 1").select(F.col("_id").alias(id_col)), id_col, "left_semi")
+    # ids that occur again, and rows without one, are told apart by their fingerprints
     mark = f"fp_{uuid.uuid4().hex}"  # clashes with no input column
+    often = named.filter("_n > 1").select(F.col("_id").alias(id_col), F.col("fp").alias(mark))
+    again = with_fingerprint(df.join(often.select(id_col).distinct(), id_col, "left_semi").select(*df.columns), text_col, mark, width)
+    again = again.join(often, [id_col, mark], "left_semi").dropDuplicates([id_col, mark])
     nameless = with_fingerprint(df.filter(F.col(id_col).isNull()), text_col, mark, width)
-    alone = classes.filter(F.col("component_id").isNull()).select(F.col("fp").alias(mark))
-    rest = nameless.join(alone, mark, "left_semi").dropDuplicates([mark]).drop(mark)
+    rest = nameless.join(heads.filter("component_id IS NULL").select(F.col("fp").alias(mark)), mark, "left_semi").dropDuplicates([mark])
     return first.select(*df.columns).unionByName(again.select(*df.columns)).unionByName(rest.select(*df.columns))

@@ -112,6 +112,22 @@ def test_keep_one(spark):
     assert simhash.keep_one(df.limit(0), "doc_id", "text").count() == 0 and simhash.label_near_duplicates(df.limit(0), "doc_id", "text").count() == 0
 
 
+def test_keep_one_where_ids_repeat(spark):
+    """A row that shares its id with another, but no text, is no copy; a copy does not stay for its id."""
+    a, b = "ein langer text von vielen worten ganz ohne sinn", "etwas anderes steht hier und noch viel mehr davon"
+    schema = "doc_id long, text string"
+    kept = lambda rows: sorted(map(tuple, simhash.keep_one(spark.createDataFrame(rows, schema), "doc_id", "text").collect()), key=repr)
+    assert kept([(3, a), (5, a), (5, b)]) == [(3, a), (5, b)]
+    assert kept([(5, a), (5, b), (5, b), (5, a)]) == [(5, b), (5, a)] or kept([(5, a), (5, b), (5, b), (5, a)]) == [(5, a), (5, b)]
+    assert kept([(5, None), (4, ""), (4, b), (None, b), (None, a)]) == sorted([(4, ""), (4, b), (None, a)], key=repr)
+    # a component of null ids only, of two fingerprints
+    w = [f"wort{k}" for k in range(400)]
+    near = " ".join(w), " ".join([*w[:-1], "anders"])
+    prints = simhash.fingerprints(list(near))
+    assert prints[0] != prints[1] and int(prints[0] ^ prints[1]).bit_count() <= 2
+    assert len(kept([(None, near[0]), (None, near[1]), (None, a)])) == 2
+
+
 def test_hex(spark):
     got = spark.createDataFrame([(-1,), (0,), (255,)], "v long").select(simhash.fingerprint_hex(F.col("v"))).collect()
     assert [r[0] for r in got] == ["f" * 16, "0" * 16, "0" * 14 + "ff"]
