@@ -120,6 +120,11 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "north": "341000 + l_orderkey * 11 % 4000",
         "text": "CASE l_linenumber % 4 WHEN 0 THEN concat('E ', CAST(405800 + l_partkey * 7 % 3400 AS VARCHAR(20)), ' N ', CAST(341000 + l_orderkey * 11 % 4000 AS VARCHAR(20))) WHEN 1 THEN concat(CAST(405800 + l_partkey * 7 % 3400 AS VARCHAR(20)), ', ', CAST(341000 + l_orderkey * 11 % 4000 AS VARCHAR(20))) WHEN 2 THEN 'sheet 1 of 3' ELSE NULL END",
     }),
+    "strokes": ("lineitem", {
+        "page": "l_suppkey",
+        "x": "l_partkey * 7 % 60",
+        "y": "CAST(l_quantity AS BIGINT)",
+    }),
     "grid_points": ("orders", {
         "id": "o_orderkey",
         "east": "CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE CAST(90000 + o_orderkey * 131 % 560000 AS DOUBLE) + CAST(o_custkey % 100 AS DOUBLE) / 100 END",
