@@ -133,7 +133,7 @@ def test_a_body_that_breaks_off_and_retries_that_run_out(spark, tmp_path):
         yield BODY[:4]
         raise ConnectionResetError("broke off")
 
-    class Broken(list):
+    class Broken:
         def __iter__(self):
             return body()
 
