@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraproof.operators import contours
+from terraproof.operators import contours, raster
 from terraproof.plans.registry import query
 from terraproof.sources.adapters import view, with_views
 
@@ -40,3 +40,29 @@ def contour_borders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles of 32 pixels cut every page into four."""
     found = contours.contours(contours.closed(_strokes(spark, sf_dir), 32), 32)
     return found.select("page", "contour", "pixels", F.round("length", 6).alias("length"))
+
+
+# Rasters --------------------------------------------------------------------------------------------------------------
+
+_SIZE = 300
+_PIXELS = f"""segs AS (SELECT page, thick, x0, y0, x1, y1, greatest(abs(x1 - x0), abs(y1 - y0)) AS n FROM strips),
+ks AS (SELECT *, unnest(range(0, n + 1)) AS k FROM segs),
+st AS (SELECT page, thick, CASE WHEN n = 0 THEN x0 ELSE x0 + CAST(floor(CAST(2 * (x1 - x0) * k + n AS DOUBLE) / (2 * n)) AS BIGINT) END AS x, CASE WHEN n = 0 THEN y0 ELSE y0 + CAST(floor(CAST(2 * (y1 - y0) * k + n AS DOUBLE) / (2 * n)) AS BIGINT) END AS y FROM ks),
+px AS (SELECT DISTINCT page, x + i AS x, y + j AS y FROM st, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j) WHERE i < thick AND j < thick AND x + i BETWEEN 0 AND {_SIZE - 1} AND y + j BETWEEN 0 AND {_SIZE - 1})"""
+
+
+def _strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "strips")
+    point = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    return rows.select("page", F.array(point("x0", "y0"), point("x1", "y1")).alias("pixels"), F.lit(False).alias("closed"), F.col("thick").alias("thickness"))
+
+
+@query(f"{with_views('strips')}, {_PIXELS} SELECT page, x, y FROM px")
+def raster_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.pixel_rows(raster.draw(_strips(spark, sf_dir), _SIZE, "page"), "page")
+
+
+@query(f"{with_views('strips')}, {_PIXELS} SELECT page, y, x // 64 AS word, CAST(bit_count(bit_or(CAST(1 AS UBIGINT) << CAST(x % 64 AS INT))) AS INT) AS pixels FROM px GROUP BY ALL")
+def raster_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = raster.draw(_strips(spark, sf_dir), _SIZE, "page")
+    return drawn.select("page", "y", "word", F.bit_count("bits").alias("pixels"))

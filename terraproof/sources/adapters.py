@@ -125,6 +125,14 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         "x": "l_partkey * 7 % 60",
         "y": "CAST(l_quantity AS BIGINT)",
     }),
+    "strips": ("orders", {
+        "page": "o_custkey % 40",
+        "thick": "CAST(1 + o_orderkey % 2 AS INT)",
+        "x0": "o_orderkey * 13 % 380 - 40",
+        "y0": "o_orderkey * 29 % 380 - 40",
+        "x1": "CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey * 13 % 380 - 40 ELSE o_custkey * 31 % 420 - 60 END",
+        "y1": "CASE WHEN o_orderkey % 20 = 0 THEN o_orderkey * 29 % 380 - 40 ELSE o_custkey * 17 % 420 - 60 END",
+    }),
     "grid_points": ("orders", {
         "id": "o_orderkey",
         "east": "CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE CAST(90000 + o_orderkey * 131 % 560000 AS DOUBLE) + CAST(o_custkey % 100 AS DOUBLE) / 100 END",
