@@ -95,6 +95,11 @@ def replace_in_corpus(corpus: DataFrame, drop: str, replacement: DataFrame, key:
     return kept.unionByName(replacement.join(kept.select(key), key, "left_anti").select(*corpus.columns))
 
 
+def corpus_counts(corpus: DataFrame) -> DataFrame:
+    """What a corpus declares about itself (application, bytes): applications, documents and bytes, to be counted again after a change."""
+    return corpus.agg(F.count_distinct("application").alias("live_applications"), F.count(F.lit(1)).alias("documents_downloaded"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"))
+
+
 def links(pages: DataFrame, base: str = "url", markup: str = "html") -> DataFrame:
     """Anchors of each page in order: (page_id, position, href, text, resolved)."""
     from terraproof.functions.text import decode_html, href, resolve_url

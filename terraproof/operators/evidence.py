@@ -99,6 +99,32 @@ def bridge_totals(features: DataFrame) -> DataFrame:
     return n.select(F.when(empty, F.raise_error(F.lit("bridge withholds every feature"))).otherwise(F.col("input")).cast("long").alias("input"), "passed", "withheld")
 
 
+BRIDGE_SCHEMA = 1
+
+
+def bridge_report(features: DataFrame) -> DataFrame:
+    """One row about a bridge: counts, maps of counts by class, digests of what goes in and what comes out.
+
+    Digests do not depend on the order of rows or fields. Fails as ``bridge_totals`` does.
+    """
+    from terraproof.functions.canonical import rows_digest
+
+    columns = tuple(features.columns)
+    judged = assert_bridge(features).withColumn("_class", F.lower(F.trim(F.coalesce("feature_class", F.lit("")))))
+    counts = judged.groupBy("_class").agg(F.count(F.lit(1)).alias("i"), F.count_if(F.col("disposition") == "passed").alias("o"), F.count_if(F.col("disposition") == "withheld").alias("w"))
+    by_class = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col(c) > 0, F.struct("_class", c)))))
+    sums = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("i", "input"), ("o", "passed"), ("w", "withheld"))), *(by_class(c).alias(n) for c, n in (("i", "input_by_class"), ("o", "passed_by_class"), ("w", "withheld_by_class"))))
+    checked = F.when((F.col("input") > 0) & (F.col("passed") == 0), F.raise_error(F.lit("bridge withholds every feature")).cast("long")).otherwise(F.col("input"))
+    came, went = rows_digest(features).select(F.col("digest").alias("input_sha256")), rows_digest(judged.filter("disposition = 'passed'"), columns=columns).select(F.col("digest").alias("output_sha256"))
+    one = sums.withColumns({"schema_version": F.lit(BRIDGE_SCHEMA), "input": checked})
+    return one.crossJoin(came).crossJoin(went)  # three single rows
+
+
+def withheld_rows(features: DataFrame) -> DataFrame:
+    """The features that a bridge withholds, each with its reason."""
+    return assert_bridge(features).filter("disposition = 'withheld'").drop("disposition")
+
+
 def normalize_vectors(vectors: DataFrame) -> DataFrame:
     """Planning features of (role, geometry, confidence, application, status), withheld rows with their reason."""
     from terraproof.functions.text import normal_status, role_feature_class, status_eligible, status_reason

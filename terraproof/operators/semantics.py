@@ -20,16 +20,26 @@ def group_words(words: DataFrame, keys: list[str]) -> DataFrame:
     return lines.withColumns({"center_x": (F.col("left") + F.col("right")) / 2, "center_y": (F.col("top") + F.col("bottom")) / 2, "role": label_role(F.col("text"))})
 
 
+#: Columns of an OCR table.
+TSV_COLUMNS = ("page_num", "block_num", "par_num", "line_num", "left", "top", "width", "height", "conf", "text")
+
+
 def tsv_words(tsv: DataFrame, column: str = "tsv", min_confidence: float = 35.0, scale_x: float = 1.0, scale_y: float = 1.0) -> DataFrame:
-    """Words of OCR tables with a header line; columns are found by their names."""
-    lines = F.split(F.col(column), r"\r?\n")
+    """Words of OCR tables with a header line; columns are found by their names.
+
+    A table that lacks a column fails the job; one of fewer than two lines has no words. An empty number is 0, a confidence
+    that is missing or no number is -1.
+    """
+    lines = F.filter(F.split(F.coalesce(F.col(column), F.lit("")), r"\r?\n"), lambda x: x != "")
     rows = tsv.withColumn("_h", F.split(F.get(lines, F.lit(0)), "\t")).select("*", F.posexplode(F.slice(lines, F.lit(2), F.greatest(F.lit(0), F.size(lines) - 1))).alias("_n", "_l"))
     cells = rows.withColumn("_c", F.split("_l", "\t"))
     cell = lambda name: F.get("_c", F.array_position("_h", name).cast("int") - 1)
-    number = lambda name: F.coalesce(cell(name).try_cast("double"), F.lit(0.0))
+    number = lambda name, other=0.0: F.when(F.trim(cell(name)) == "", F.lit(0.0)).otherwise(F.coalesce(cell(name).try_cast("double"), F.lit(other)))
+    lacks = F.filter(F.array(*map(F.lit, TSV_COLUMNS)), lambda c: ~F.array_contains("_h", c))
+    cells = cells.withColumn("_c", F.when(F.size(lacks) > 0, F.raise_error(F.concat(F.lit("table lacks "), F.array_join(lacks, ", "))).cast("array<string>")).otherwise(F.col("_c")))
     found = cells.select(
         *tsv.columns, F.concat_ws(":", *(cell(c) for c in ("page_num", "block_num", "par_num", "line_num"))).alias("line_id"), F.col("_n").alias("pos"), F.trim(cell("text")).alias("text"),
-        (number("left") * scale_x).alias("left"), (number("top") * scale_y).alias("top"), (number("width") * scale_x).alias("width"), (number("height") * scale_y).alias("height"), number("conf").alias("conf"),
+        (number("left") * scale_x).alias("left"), (number("top") * scale_y).alias("top"), (number("width") * scale_x).alias("width"), (number("height") * scale_y).alias("height"), number("conf", -1.0).alias("conf"),
     ).drop(column)
     return found.filter((F.col("conf") >= min_confidence) & (F.coalesce("text", F.lit("")) != "")).withColumn("confidence", F.col("conf") / 100).drop("conf")
 

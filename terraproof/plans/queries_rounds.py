@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terraproof.functions import rules
 from terraproof.operators import discovery, hydrate
+from terraproof.operators.attachments import parse_attachments
 from terraproof.plans.queries import _DECODE, ATTACH_SQL, hit
 from terraproof.plans.registry import query
 from terraproof.sources.adapters import TITLES, case, view, with_views
@@ -58,6 +59,25 @@ def discovery_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _discovered(spark, sf_dir)[1].select("application", "image", "priority", "round", "page")
 
 
+# Links outside anchors and rows ---------------------------------------------------------------------------------------
+
+_HALF = "CAST(floor(length(html) / 2) AS INT)"
+_RAW = f"concat('/x/AttachmentShowServlet?ImageName=', {_TEXT('page_id + 7')})"
+_BEFORE = "CASE WHEN page_id % 3 = 0 THEN '<tr><td>Proposed site plan</td><td>' ELSE '<i>' END"
+_BEHIND = "CASE WHEN page_id % 3 = 0 THEN '</td></tr>' ELSE '</i>' END"
+_SCRIPTED = f"concat(substring(html, 1, {_HALF}), {_BEFORE}, 'open(\"', {_RAW}, '\")', {_BEHIND}, substring(html, {_HALF} + 1, length(html)))"
+_AT = f"({_HALF} + length({_BEFORE}) + 6)"
+
+
+@query(f"""WITH s AS (SELECT page_id, {_SCRIPTED} AS html, {_AT} AS place, page_id % 3 = 0 AS in_row, 'open(\"' || {_RAW} || '\")' AS said FROM pages),
+t AS (SELECT *, CASE WHEN in_row THEN '<tr><td>Proposed site plan</td><td>' || said || '</td></tr>' ELSE substring(html, greatest(0, place - 500) + 1, place + 500 - greatest(0, place - 500)) END AS around FROM s)
+SELECT page_id, CAST(page_id + 7 AS VARCHAR) AS image, {_DECODE.format('around')} AS row_text FROM t""")
+def raw_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses in scripts, in a table row for every third page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("page_id", f"'{SITE}/app' AS url", f"{_SCRIPTED} AS html")
+    return parse_attachments(pages).select("page_id", "image", "row_text")
+
+
 # Download -------------------------------------------------------------------------------------------------------------
 
 RETRIES = 2
