@@ -190,25 +190,56 @@ def projected(features: DataFrame, bbox: tuple[float, float, float, float]) -> D
     return features.withColumn("points", F.transform("points", metres))
 
 
-def candidate_pairs(planning: DataFrame, reference: DataFrame, cell_m: float = 250.0, reach_m: float = R.MAX_OFFSET_M) -> DataFrame:
-    """Pairs of one kind (path and road are one) whose boxes, one widened by the reach, meet.
+#: Sizes of cells, each twice the one before, from 250 metres; the last holds the earth.
+LEVELS = 18
+#: Shapes of one side in a cell from which on it is dealt to SALTS parts; crowded cells that are broadcast.
+CROWDED, SALTS, MOST_CROWDED = 4096, 16, 100_000
+
 
-    Both sides are dealt to grid cells, an equi-join; each pair is reported in the first cell that both touch. A
-    feature of the same name has its centre within the reach and so is among them.
+def covered(df: DataFrame, p: str, widen: float, cell_m: float, levels: list[int]) -> DataFrame:
+    """Boxes (p + id, kind, name, form, level, x0 ... y1) with the cells that they touch, and no geometry.
+
+    The level of a box is the first whose cells are no smaller than the box, so that it touches four of them at most. It is
+    dealt to its own level and to those of ``levels`` above it, where it meets larger boxes.
     """
-    kind = lambda c: F.when(F.col(c) == "road", "path").otherwise(F.col(c))
-    cell = lambda v: F.floor(v / cell_m)
+    kind = F.when(F.col("kind") == "road", "path").otherwise(F.col("kind"))
+    box = df.select(kind.alias("k"), *(F.col(c).alias(p + c) for c in ("id", "kind", "name", "form")), bounds(F.col("points")).alias("b"))
+    box = box.filter("b.min_x IS NOT NULL AND b.min_y IS NOT NULL").select("*", *((F.col(f"b.{at}_{c}") + w).alias(f"{p}{c}{k}") for k, at, w in ((0, "min", -widen), (1, "max", widen)) for c in "xy")).drop("b")
+    size = F.greatest(F.col(p + "x1") - F.col(p + "x0"), F.col(p + "y1") - F.col(p + "y0"))
+    own = F.least(F.lit(LEVELS - 1), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(size, F.lit(cell_m)) / cell_m)))).cast("int")
+    box = box.withColumn(p + "level", own)
+    box = box.withColumn("level", F.explode(F.array_distinct(F.concat(F.array(p + "level"), F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda v: v > F.col(p + "level"))))))
+    cell = lambda c: F.floor(F.col(p + c) / (cell_m * F.pow(F.lit(2.0), F.col("level"))))
+    box = box.withColumns({p + "i": cell("x0"), p + "j": cell("y0"), "ci": F.explode(F.sequence(cell("x0"), cell("x1")))})
+    return box.withColumn("cj", F.explode(F.sequence(F.col(p + "j"), cell("y1"))))
+
 
-    def side(df: DataFrame, p: str, widen: float) -> DataFrame:
-        box = df.select(kind("kind").alias("k"), *(F.col(c).alias(p + c) for c in ("id", "kind", "name", "form", "points"))).withColumn("b", bounds(F.col(p + "points")))
-        lo_i, lo_j, hi_i, hi_j = cell(F.col("b.min_x") - widen), cell(F.col("b.min_y") - widen), cell(F.col("b.max_x") + widen), cell(F.col("b.max_y") + widen)
-        box = box.withColumns({p + "i": lo_i, p + "j": lo_j, p + "x0": F.col("b.min_x") - widen, p + "y0": F.col("b.min_y") - widen, p + "x1": F.col("b.max_x") + widen, p + "y1": F.col("b.max_y") + widen, "ci": F.explode(F.sequence(lo_i, hi_i))})
-        return box.withColumn("cj", F.explode(F.sequence(F.col(p + "j"), hi_j))).drop("b")
+def levels_of(df: DataFrame, widen: float, cell_m: float) -> list[int]:
+    """The levels that some box has, LEVELS at most."""
+    return sorted(r[0] for r in covered(df, "", widen, cell_m, []).select("level").distinct().collect())
 
-    meet = side(planning, "p_", 0.0).join(side(reference, "r_", reach_m), ["k", "ci", "cj"])
-    first = (F.col("ci") == F.greatest("p_i", "r_i")) & (F.col("cj") == F.greatest("p_j", "r_j"))
+
+def candidate_pairs(planning: DataFrame, reference: DataFrame, cell_m: float = 250.0, reach_m: float = R.MAX_OFFSET_M) -> DataFrame:
+    """Pairs of one kind (path and road are one) whose boxes, one widened by the reach, meet; ids are unique on each side.
+
+    Boxes are joined first, by the cells of the larger box's level, an equi-join; each pair is reported in the first cell
+    that both touch. Crowded cells are dealt out by salt. Only the pairs that are left fetch their geometry, by id. A feature
+    of the same name has its centre within the reach and so is among them.
+    """
+    p = covered(planning, "p_", 0.0, cell_m, levels_of(reference, reach_m, cell_m))
+    r = covered(reference, "r_", reach_m, cell_m, levels_of(planning, 0.0, cell_m))
+    at = ["k", "level", "ci", "cj"]
+    crowded = p.groupBy(*at).count().filter(F.col("count") > CROWDED).select(*at, F.lit(True).alias("crowded"))
+    if crowded.count() <= MOST_CROWDED:
+        crowded = F.broadcast(crowded)
+    salted = lambda df: df.join(crowded, at, "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+    one = salted(p).withColumn("salt", F.when(F.col("crowded"), F.pmod(F.xxhash64("p_id"), F.lit(SALTS)).cast("int")).otherwise(0)).drop("crowded")
+    other = salted(r).withColumn("salt", F.explode(F.when(F.col("crowded"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("crowded")
+    first = (F.col("ci") == F.greatest("p_i", "r_i")) & (F.col("cj") == F.greatest("p_j", "r_j")) & (F.col("level") == F.greatest("p_level", "r_level"))
     boxes = (F.col("p_x0") <= F.col("r_x1")) & (F.col("r_x0") <= F.col("p_x1")) & (F.col("p_y0") <= F.col("r_y1")) & (F.col("r_y0") <= F.col("p_y1"))
-    return meet.filter(first & boxes)
+    meet = one.join(other, [*at, "salt"]).filter(first & boxes).select("k", *(f"{s}_{c}" for s in "pr" for c in ("id", "kind", "name", "form")))
+    shape = lambda df, s: df.select(F.col("id").alias(s + "id"), F.col("points").alias(s + "points"))
+    return meet.join(shape(planning, "p_"), "p_id").join(shape(reference, "r_"), "r_id")
 
 
 def feature_matches(planning: DataFrame, reference: DataFrame) -> DataFrame:
