@@ -10,7 +10,8 @@ container around all seeds is. A region's lines are kept, however short, apart f
 and main, from weak lines that are mostly links: menus that nothing names.
 
 Roles, names and forms only weigh as long as there is other text, and so do menus and the like that are never closed:
-one that holds nearly all of a page's unlinked text, as a form around the page, is no boilerplate. A name counts if each of its parts is a word of boilerplate or says nothing. Every step is linear in the page.
+one that holds nearly all of a page's unlinked text, as a form around the page, is no boilerplate. A class name counts if each of its parts is a word of boilerplate or says nothing, an id only on containers and lists
+outside articles. Every step is linear in the page.
 
 Defined results: a null or empty page, and one without text outside boilerplate, has the empty text. Text stands
 line by line, white space inside a line is one blank. A page without tags is one line per text. Repeated rows give
@@ -35,9 +36,10 @@ from terraproof.llm.common import release_memory, slices
 #: Fixed values of HTML: elements that begin a new line, have no end tag, or hold no text for readers.
 BLOCKS = frozenset("address article aside blockquote body canvas center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style template noscript svg math object iframe head title select option datalist button textarea canvas audio video map".split())
-BOILERPLATE = frozenset("nav header footer aside form menu dialog search fieldset".split())
+SILENT = frozenset("script style template noscript annotation annotation-xml metadata desc object iframe head title select option datalist button textarea canvas audio video map".split())
+BOILERPLATE = frozenset("nav header footer aside form menu dialog search".split())
 CONTAINERS = frozenset("article main section div td body blockquote".split())
+LISTS = frozenset("ul ol dl table".split())
 #: p cannot hold these; their start closes an open p.
 CLOSES_P = BLOCKS - {"body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "dd", "dt", "legend", "summary", "figcaption"}
 #: Parts of class names and ids that name boilerplate, and parts that say nothing of it.
@@ -115,11 +117,14 @@ class Lines(HTMLParser):
         if attrs:
             what = {k: v or "" for k, v in attrs}
             hidden = "hidden" in what or what.get("aria-hidden") == "true" or "display:none" in what.get("style", "").replace(" ", "").lower()
-            named = f"{what.get('class', '')} {what.get('id', '')}"
+            named = what.get("class", "")
+            # ids are often made from headings: one names its element only around text, and not within an article
+            if tag in CONTAINERS | LISTS and not (self.places["article"] or self.places["main"]):
+                named += f" {what.get('id', '')}"
             looks = looks or hidden or what.get("role", "").lower() in ROLES or tag not in ("body", "html") and names_boilerplate(named)
         if looks:
             self.junks.append(junk)
-            self.sure.append(tag in BOILERPLATE and tag not in ("form", "fieldset"))
+            self.sure.append(tag in BOILERPLATE and tag != "form")
             junk = len(self.junks) - 1
         if tag in CONTAINERS:
             self.regions.append((tag, region))

@@ -15,7 +15,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from terraproof.llm import bpe, chat, media, packing, quality
+from terraproof.llm import bpe, chat, html, media, packing, quality
 from terraproof.llm.q04_bpe import tokenizer_file
 from terraproof.llm.q07_media import UNIT
 
@@ -40,6 +40,24 @@ def test_quality_figures(spark):
     assert quality.score_quality(docs(spark).limit(0), "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize(
+    ("inside", "want"),
+    [
+        ('<h2 id="search">Search</h2>', "Search"),
+        ('<h2 id="notice">Notice of change</h2>', "Notice of change"),
+        ('<section id="disclaimer"><p>What we do not promise is written here.</p></section>', "What we do not promise is written here."),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> hold.</p>", "Let x=1 hold."),
+        ("<figure><svg><title>icon</title><desc>a chart</desc><text>Sales by year</text></svg></figure>", "Sales by year"),
+        ("<fieldset><legend>Note</legend>A box with text of the article in it.</fieldset>", "Note\nA box with text of the article in it."),
+    ],
+)
+def test_html_keeps_text_of_the_article(inside, want):
+    """Ids, formulas, drawings and boxes within an article are part of it; a sidebar named by its id is not."""
+    before, after = "Some words of an article that goes on for a while, as articles do.", "And here it ends, after some more words that say nothing much."
+    page = f'<html><body><div id="sidebar"><p>Links and other things here</p></div><article><p>{before}</p>{inside}<p>{after}</p></article><div id="footer">Imprint and so on</div></body></html>'
+    assert html.main_text(page) == f"{before}\n{want}\n{after}"
+
+
 def test_quality_filter_keeps_columns(spark):
     good = " ".join(f"the word{i} of thing{i}" for i in range(40))
     df = docs(spark, [good, good, None, "#### " * 80])
