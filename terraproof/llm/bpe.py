@@ -4,9 +4,10 @@ A text longer than ``leaf`` is halved until every piece fits; the halves are enc
 bottom-up. Around each join a window is encoded anew and grown until both sides agree exactly:
 
 * White space ends every pre-token of the vocabularies in question, so a join beside white space agrees at once.
-* A join inside a blank-free run re-encodes that run, if it is short.
-* In a long blank-free run the window starts at ``margin`` characters on either side and doubles until, on each
-  side of the join, it shares a token (same id, same span, clean edges) with the encoding of that side. Every
+* A join inside a blank-free run re-encodes that run, if it has no more than ``leaf`` characters.
+* In a longer blank-free run the tokens of both sides are kept with their places. The window starts at ``margin`` characters
+  on either side and doubles until, on each side of the join, it shares a token (same id, same span, clean edges) with the
+  encoding of that side; the tokens of the sides beyond are taken over as they are. Every
   adjacent pair of tokens then stands next to each other in some correct encoding, which is what makes the
   joined sequence the correct one. A window that reaches the end of a side needs no agreement there.
 
@@ -25,9 +26,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,6 +54,27 @@ class Encoded:
         self.ids, self.tokens, self.n = " ".join(map(str, ids)), " ".join(tokens), len(ids)
 
 
+class Spanned:
+    """A long run: its tokens as rows of id, start, end, so that a join can take them over."""
+
+    __slots__ = ("spans", "token")
+
+    def __init__(self, spans: np.ndarray, token: Callable[[int], str]):
+        self.spans, self.token = spans, token
+
+    @property
+    def n(self) -> int:
+        return len(self.spans)
+
+    @property
+    def ids(self) -> str:
+        return " ".join(map(str, self.spans[:, 0].tolist()))
+
+    @property
+    def tokens(self) -> str:
+        return " ".join(map(self.token, self.spans[:, 0].tolist()))
+
+
 class Piece:
     """An encoded piece of a text: its runs, and whether it begins or ends with white space."""
 
@@ -70,30 +93,39 @@ class TreeEncoder:
         self.tokenizer.no_truncation()
         self.token = {i: x for x, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}.__getitem__
         self.known, self.parts, self.letters = Recent(cache), Recent(cache), byte_letters()
+        self.read = 0  # characters that runs with places were read from
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
 
     # runs -----------------------------------------------------------------
 
-    def _tokens(self, text: str) -> list[tuple[int, int, int]]:
-        """(id, start, end) of each token of a blank-free text."""
+    def _tokens(self, text: str) -> np.ndarray:
+        """Id, start, end of each token of a blank-free text."""
         e = self.tokenizer.encode(text, add_special_tokens=False)
-        return [(i, a, b) for i, (a, b) in zip(e.ids, e.offsets, strict=True)]
+        self.read += len(text)
+        out = np.empty((len(e.ids), 3), np.int64)
+        out[:, 0], out[:, 1:] = e.ids, np.array(e.offsets, np.int64).reshape(-1, 2)
+        return out
 
-    def _long_run(self, text: str) -> list[tuple[int, int, int]]:
+    def _long_run(self, text: str) -> np.ndarray:
         """Tokens of a long blank-free run, from its halves."""
         if len(text) <= self.leaf:
             return self._tokens(text)
         cut = len(text) // 2
-        left = self._long_run(text[:cut])
-        right = [(i, a + cut, b + cut) for i, a, b in self._long_run(text[cut:])]
+        return self._spliced(text, self._long_run(text[:cut]), self._long_run(text[cut:]), cut)
+
+    def _spliced(self, text: str, left: np.ndarray, right: np.ndarray, cut: int) -> np.ndarray:
+        """Tokens of a text from those of its two sides, read anew only in a window around the join."""
         width = self.margin
         while True:
             start, end = max(0, cut - width), min(len(text), cut + width)
-            window = [(i, a + start, b + start) for i, a, b in self._tokens(text[start:end])]
-            head = _agreed(left, window, range(len(window) - 1), cut, before=True) if start else (0, 0)
-            tail = _agreed(right, window, range(len(window) - 1, 0, -1), cut, before=False) if end < len(text) else (len(right), len(window))
+            window = self._tokens(text[start:end]) + (0, start, start)
+            # of the sides only what reaches into the window is looked at
+            low, high = int(np.searchsorted(left[:, 2], start)), int(np.searchsorted(right[:, 1], end - cut, side="right"))
+            here, ahead, behind = window.tolist(), left[low:].tolist(), (right[:high] + (0, cut, cut)).tolist()
+            head = _agreed(ahead, here, range(len(here) - 1), cut, before=True) if start else (-low, 0)
+            tail = _agreed(behind, here, range(len(here) - 1, 0, -1), cut, before=False) if end < len(text) else (len(right), len(here))
             if head and tail and head[1] <= tail[1]:
-                return left[: head[0]] + window[head[1] : tail[1]] + right[tail[0] :]
+                return np.concatenate([left[: low + head[0]], window[head[1] : tail[1]], right[tail[0] :] + (0, cut, cut)])
             width *= 2
 
     def _part(self, text: str) -> Encoded:
@@ -106,6 +138,8 @@ class TreeEncoder:
         return found
 
     def _new(self, run: str) -> Encoded:
+        if len(run) > self.leaf:
+            return Spanned(self._long_run(run), self.token)
         plain = PLAIN.fullmatch(run)
         if plain and not any(x in run for x in self.special):
             word = self._part(plain[1].lower())
@@ -114,7 +148,7 @@ class TreeEncoder:
             tail, both = self._part(plain[2]), Encoded((), ())
             both.ids, both.tokens, both.n = f"{word.ids} {tail.ids}", f"{word.tokens} {tail.tokens}", word.n + tail.n
             return both
-        ids = self.tokenizer.encode(run, add_special_tokens=False).ids if len(run) <= self.leaf else [i for i, _, _ in self._long_run(run)]
+        ids = self.tokenizer.encode(run, add_special_tokens=False).ids
         return Encoded(ids, list(map(self.token, ids)))
 
     def _runs(self, runs: list[str]) -> list[Encoded]:
@@ -146,10 +180,16 @@ class TreeEncoder:
         if a.closes or b.opens:
             return Piece(a.first, b.last, a.runs + b.runs, a.opens, b.closes)
         both = a.last + b.first
-        (run,) = self._runs([both])
+        if len(both) > self.leaf:
+            run = Spanned(self._spliced(both, self._spans(a.last, a.runs[-1]), self._spans(b.first, b.runs[0]), len(a.last)), self.token)
+        else:
+            (run,) = self._runs([both])
         first = both if len(a.runs) == 1 else a.first
         return Piece(first, both if len(b.runs) == 1 else b.last, [*a.runs[:-1], run, *b.runs[1:]], a.opens, b.closes)
 
+    def _spans(self, text: str, run: Encoded | Spanned) -> np.ndarray:
+        return run.spans if isinstance(run, Spanned) else self._tokens(text)
+
     def join_all(self, pieces: list[Piece]) -> Piece:
         """Neighbours are joined level by level."""
         while len(pieces) > 1:
@@ -163,13 +203,13 @@ class TreeEncoder:
         return self.join(self.encode(text[:cut]), self.encode(text[cut:]))
 
 
-def _agreed(side: list[tuple], window: list[tuple], order: range, cut: int, before: bool) -> tuple[int, int] | None:
+def _agreed(side: list, window: list, order: range, cut: int, before: bool) -> tuple[int, int] | None:
     """Where to leave one sequence for the other: (index in side, index in window) behind or before a shared token.
 
     The shared token nearest to the window's edge is not taken but the one after it, as the first may be a
     fragment that only looks alike.
     """
-    at = {x[1:]: k for k, x in enumerate(side)}
+    at = {(x[1], x[2]): k for k, x in enumerate(side)}
     seen = 0
     for k in order:
         i, a, b = window[k]
@@ -207,7 +247,8 @@ def _row(piece: Piece, texts: bool) -> tuple:
     return (n, *(hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in (ids, decoded)), *((ids, decoded) if texts else ()))
 
 
-PART = "_key string, _at int, first string, last string, opens boolean, closes boolean, ids array<string>, tokens array<string>, n array<long>"
+#: ``head`` and ``tail``: starts, then ends, of the tokens of a long run that begins or ends a part.
+PART = "_key string, _at int, first string, last string, opens boolean, closes boolean, ids array<string>, tokens array<string>, n array<long>, head array<int>, tail array<int>"
 
 
 def ends_apart(piece: Piece) -> list[Encoded]:
@@ -219,10 +260,23 @@ def ends_apart(piece: Piece) -> list[Encoded]:
     return [piece.runs[0], inner, piece.runs[-1]]
 
 
-def _again(ids: str, tokens: str, n: int) -> Encoded:
-    out = Encoded((), ())
-    out.ids, out.tokens, out.n = ids, tokens, int(n)
-    return out
+def _places(run: Encoded | Spanned) -> list[int] | None:
+    return run.spans[:, 1:].T.ravel().tolist() if isinstance(run, Spanned) else None
+
+
+def _again(e: TreeEncoder, row: tuple) -> Piece:
+    """A piece as it came through the shuffle."""
+    runs: list[Encoded | Spanned] = []
+    for k, (ids, tokens, n) in enumerate(zip(row.ids, row.tokens, row.n, strict=True)):
+        places = row.head if k == 0 and row.head is not None else row.tail if k == len(row.ids) - 1 else None
+        if places is not None:
+            at = np.asarray(places, np.int64)
+            runs.append(Spanned(np.column_stack([np.array(ids.split(" ") if n else [], np.int64), at[: int(n)], at[int(n) :]]), e.token))
+        else:
+            run = Encoded((), ())
+            run.ids, run.tokens, run.n = ids, tokens, int(n)
+            runs.append(run)
+    return Piece(row.first, row.last, runs, row.opens, row.closes)
 
 
 def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, leaf: int = 4096, margin: int = 64, spread: int = 65_536, texts: bool = False) -> DataFrame:
@@ -261,14 +315,14 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, path: str, leaf: int
             for key, at, text in zip(*(batch.column(x).to_pylist() for x in ("_key", "_at", "_part")), strict=True):
                 piece = e.encode(text)
                 runs = ends_apart(piece)
-                out.append((key, at, piece.first, piece.last, piece.opens, piece.closes, *([getattr(x, held) for x in runs] for held in ("ids", "tokens", "n"))))
-            to = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
+                out.append((key, at, piece.first, piece.last, piece.opens, piece.closes, *([getattr(x, held) for x in runs] for held in ("ids", "tokens", "n")), *((_places(x) for x in (runs[0], runs[-1])) if runs else (None, None))))
+            to = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*out, strict=True), to)), names=named)
         release_memory()
 
     def joined(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         e, pdf = encoder(path, leaf, margin), pdf.sort_values("_at")
-        piece = e.join_all([Piece(x.first, x.last, list(map(_again, x.ids, x.tokens, x.n)), x.opens, x.closes) for x in pdf.itertuples()])
+        piece = e.join_all([_again(e, x) for x in pdf.itertuples()])
         return pd.DataFrame([(key[0], *_row(piece, texts))], columns=["_key", *names])
 
     # one pass over the table: results of all texts but the long ones, which come along in parts

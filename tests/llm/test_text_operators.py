@@ -106,6 +106,19 @@ def test_bpe_joins_at_any_place():
         assert bpe.decoded_text(p) == tok.decode(e.ids, skip_special_tokens=False), s
 
 
+@pytest.mark.parametrize("letters", ["etaoinsrhldcu", "etaoinsrh0123456789", "étaoñ's.,中"])
+def test_bpe_joins_take_the_tokens_of_both_sides_over(letters):
+    """Long unsplit text: what is read again in the joins is a small part of it, and the ids are the library's."""
+    path = tokenizer_file("word_bpe_49k.json")
+    tok, rng, tree = Tokenizer.from_file(path), random.Random(2), bpe.TreeEncoder(path)
+    text = "".join(rng.choices(letters, k=131_072))
+    pieces = [tree.encode(text[at : at + 16_384]) for at in range(0, len(text), 16_384)]
+    tree.read = 0
+    piece = tree.join_all(pieces)
+    assert 0 < tree.read < 0.05 * len(text)
+    assert bpe.ids_text(piece) == " ".join(map(str, tok.encode(text, add_special_tokens=False).ids))
+
+
 def test_packing(spark):
     path = tokenizer_file("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
