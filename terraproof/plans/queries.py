@@ -837,4 +837,4 @@ def chosen_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Queries of later modules ---------------------------------------------------------------------------------------------
 
-from terraproof.plans import queries_digests, queries_grid, queries_rounds, queries_shapes  # noqa: E402, F401
+from terraproof.plans import queries_digests, queries_grid, queries_rounds, queries_shapes, queries_small  # noqa: E402, F401
