@@ -8,7 +8,7 @@ probability. Windows overlap within a chunk and chunks overlap by more than a wi
 The network is fitted on the driver, on a bounded sample of labelled rows: about ``per_class`` documents of each label,
 those with the smallest hashes of their ids, none longer than ``most_chars``; with these bounds the sample has at most
 some 60 MB and a step works on chunks of a few MB. Each class weighs as it does among all labelled rows. The model has
-some 15,000 numbers, whatever the corpus, and is broadcast.
+some 3,000 numbers, whatever the corpus, and is broadcast.
 
 Defined results: a null or empty text is scored by the network's answer to no chunks. Labels other than 0 and 1 and null
 labels are passed over; contradicting labels of one id both count. Where one label only is known, each score is that
