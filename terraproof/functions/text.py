@@ -213,6 +213,11 @@ def content_key(namespace: str, *parts: Column) -> Column:
     return F.concat(F.lit(namespace + "-"), F.sha2(F.concat(F.lit(namespace), F.lit("\u0000"), body), 256))
 
 
+def payload_hash(provided: Column, payload: Column) -> Column:
+    """Digest of a source's payload: the one it brings, if that is one, else that of the payload's text."""
+    return F.when(provided.rlike("^[a-fA-F0-9]{64}$"), F.lower(provided)).otherwise(F.sha2(F.coalesce(payload, F.lit("{}")), 256))
+
+
 def page_size(info: Column, page: int | None = None) -> Column:
     """Struct (width, height) in points from a page-information text: the named page's line, else the common one, else the first."""
     line = lambda p: rf"(?im)^Page\s+{p}size:\s*([0-9.]+)\s+x\s+([0-9.]+)\s+pts"

@@ -95,6 +95,15 @@ def replace_in_corpus(corpus: DataFrame, drop: str, replacement: DataFrame, key:
     return kept.unionByName(replacement.join(kept.select(key), key, "left_anti").select(*corpus.columns))
 
 
+def valid_artifacts(renders: DataFrame, files: DataFrame) -> DataFrame:
+    """``renders`` (path, sha256, bytes, ...) and ``valid``: whether ``files`` (path, length) has the file with the bytes it
+    is said to have; without a digest or a path a render is not valid, without bytes any length is."""
+    there = files.groupBy("path").agg(F.max("length").alias("_length"))
+    known = F.col("path").isNotNull() & (F.coalesce("sha256", F.lit("")) != "") & F.col("_length").isNotNull()
+    sized = (F.coalesce("bytes", F.lit(0)) == 0) | (F.col("_length") == F.col("bytes"))
+    return renders.join(there, "path", "left").withColumn("valid", known & F.coalesce(sized, F.lit(False))).select(*renders.columns, "valid")
+
+
 def corpus_counts(corpus: DataFrame) -> DataFrame:
     """What a corpus declares about itself (application, bytes): applications, documents and bytes, to be counted again after a change."""
     return corpus.agg(F.count_distinct("application").alias("live_applications"), F.count(F.lit(1)).alias("documents_downloaded"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"))

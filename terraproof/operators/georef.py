@@ -75,6 +75,11 @@ def consensus(found: DataFrame, within_m: float = R.CONSENSUS_M, min_documents:
     return evidence, members.join(chosen, ["application", "a_doc", "a"], "left_semi").select("application", "document", F.col("m.ordinal").alias("ordinal"), F.round("m.d", 1).alias("distance_m"), F.col("m.rank").alias("rank"))
 
 
+def alternatives_used(members: DataFrame, first_rank: int = 0) -> DataFrame:
+    """(application, alternative_documents): members of a consensus that an alternative stands for, not the first registration."""
+    return members.groupBy("application").agg(F.count_if(F.col("rank") > first_rank).alias("alternative_documents"))
+
+
 def affine_fit(points: DataFrame, key: str) -> DataFrame:
     """Least-squares affine transform (x, y) -> (lon, lat) of each key's points, null where they determine none.
 

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraproof.functions import geo, text
-from terraproof.operators import cache, documents, matching, semantics
+from terraproof.operators import cache, documents, georef, matching, semantics
 from terraproof.plans import planning_pass
-from terraproof.plans.queries import BBOX
+from terraproof.plans.queries import BBOX, SELECTED_SQL
 from terraproof.plans.registry import query
 from terraproof.sources import sinks
-from terraproof.sources.adapters import COORDINATES, LABELS, case
+from terraproof.sources.adapters import LABELS, case, view
 
 _D = lambda x: f"CAST({x} AS DOUBLE)"
 _T = lambda x: f"CAST({x} AS VARCHAR(20))"
@@ -67,8 +67,6 @@ def extent_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", F.posexplode(points).alias("k", "p")).select("id", "k", "p.x", "p.y", "p.lon", "p.lat")
 
 
-_PLACES = case("o_orderkey % 9", COORDINATES)
-
 
 @query(f"""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 AND o_custkey % 400 <= 180 THEN {_D('o_custkey % 400')} WHEN o_custkey % 3 > 0 THEN {_D('o_custkey % 180')} END AS longitude,
 CASE WHEN o_orderkey % 2 = 0 AND o_custkey % 400 <= 180 THEN {_D('o_orderkey % 90')} WHEN o_custkey % 3 > 0 THEN {_D(-12.5)} END AS latitude FROM orders""")
@@ -143,6 +141,27 @@ def stage_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning_pass.stage_keys(rows, "1,2,3,4").select("id", "render_key", "semantic_key", "registration_key")
 
 
+@query("""SELECT o_orderkey AS id, coalesce(o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 AND (o_custkey % 3 = 0 OR o_custkey % 4 <> 0), false) AS valid FROM orders""")
+def artifact_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are not there, renders without a digest, sizes that are not told or told wrongly."""
+    path = "concat('r/', CAST(o_orderkey AS STRING))"
+    renders = _rows(spark, sf_dir, "orders", "o_orderkey AS id", f"{path} AS path", "CASE WHEN o_orderkey % 7 <> 0 THEN 'abc' END AS sha256", "CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE o_custkey + CASE WHEN o_custkey % 4 = 0 THEN 1 ELSE 0 END END AS bytes")
+    files = _rows(spark, sf_dir, "orders", f"{path} AS path", "o_custkey AS length", "o_orderkey AS k").filter("k % 5 <> 0").drop("k")
+    return documents.valid_artifacts(renders, files).select("id", "valid")
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_custkey % 2 = 0 THEN sha256('p' || o_custkey) ELSE sha256(CASE WHEN o_custkey % 3 = 0 THEN '{}' ELSE o_orderpriority END) END AS digest FROM orders")
+def payload_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rows(spark, sf_dir, "orders", "o_orderkey AS id", "CASE WHEN o_custkey % 2 = 0 THEN upper(sha2(concat('p', CAST(o_custkey AS STRING)), 256)) WHEN o_custkey % 5 = 0 THEN 'no digest' END AS provided", "CASE WHEN o_custkey % 3 <> 0 THEN o_orderpriority END AS payload")
+    return rows.select("id", text.payload_hash(F.col("provided"), F.col("payload")).alias("digest"))
+
+
+@query(SELECTED_SQL + "SELECT m.application, count(*) FILTER (m.rank > 1) AS alternative_documents FROM m JOIN b ON m.application = b.application AND m.a_doc = b.a_doc AND m.a = b.a WHERE b.documents >= 2 GROUP BY 1")
+def consensus_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks begin with 1 here."""
+    return georef.alternatives_used(georef.consensus(georef.variants(view(spark, sf_dir, "georef")))[1], first_rank=1)
+
+
 # Reference and output -------------------------------------------------------------------------------------------------
 
 _MID_LON, _MID_LAT = (BBOX[1] + BBOX[3]) / 2, (BBOX[0] + BBOX[2]) / 2

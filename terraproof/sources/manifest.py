@@ -98,3 +98,8 @@ def prepare(ingested: DataFrame, limit: int = 500, page_cap: int = 12) -> DataFr
     kept = documents.geometry_first(ingested.filter("NOT narrative"), limit)
     pages = kept if "pages" in kept.columns else kept.withColumn("pages", F.lit(1))
     return documents.expand_pages(pages, page_cap)
+
+
+def adapter(spark: SparkSession, folder: str, most: int = MOST_DOCUMENTS) -> dict:
+    """A reader of the folder's manifest for ``catalog.acquire``, by its source's name."""
+    return {"planning": lambda: ingest(read_manifest(spark, f"{folder}/manifest.json"), most)}

@@ -70,3 +70,18 @@ def test_bridge_fails_where_nothing_passes(spark):
     for bad in ([held], [passed, ("path", "osm", True, False)]):
         with pytest.raises(Exception, match="bridge"):
             evidence.bridge_totals(spark.createDataFrame(bad, schema)).collect()
+
+
+def test_the_manifest_as_a_source(spark, tmp_path):
+    from terraproof.sources import catalog, manifest
+
+    (tmp_path / "manifest.json").write_text('{"schemaVersion": 1, "status": "usable", "liveApplications": 0, "documentsDownloaded": 1, "applications": [], "entries": [{"kind": "document", "url": "https://h.example/a", "file": "f/a.pdf", "bytes": 3, "sha256": "%s", "mime": "application/pdf"}]}' % ("a" * 64))
+    got = catalog.acquire(spark, {**manifest.adapter(spark, str(tmp_path)), "osm": manifest.adapter(spark, str(tmp_path / "none"))["planning"]}).collect()
+    assert sorted((r["source"], r["status"], r["url"]) for r in got) == [("osm", "unavailable", None), ("planning", "ready", "https://h.example/a")]
+
+
+def test_alternatives_used(spark):
+    from terraproof.operators import georef
+
+    got = georef.alternatives_used(spark.createDataFrame([("x", 0), ("x", 2), ("y", 0)], "application string, rank int")).collect()
+    assert {tuple(r) for r in got} == {("x", 1), ("y", 0)}
