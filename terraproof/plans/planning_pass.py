@@ -46,7 +46,7 @@ def accept_features(vectors: DataFrame, reference: DataFrame) -> tuple[DataFrame
     """(accepted features, judgements) of planning vectors (id, role, form, points, geometry, name, confidence, application, status)."""
     named = evidence.normalize_vectors(vectors).filter("withheld_reason IS NULL")
     planning = named.select("id", F.col("feature_class").alias("kind"), "name", "form", "points", "confidence", F.col("application_status").alias("status"), "eligible")
-    judged = matching.judge_features(planning, matching.feature_matches(planning, reference))
+    judged = matching.match_and_judge(planning, reference)
     accepted = planning.join(judged.filter("accepted").select("id", "action", "target"), "id").withColumns({"source": F.lit("planning"), "authority": F.lit(True), "renderable": F.lit(False)})
     return accepted, judged
 
