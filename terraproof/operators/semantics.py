@@ -16,10 +16,28 @@ def group_words(words: DataFrame, keys: list[str]) -> DataFrame:
         F.avg("confidence").alias("confidence"), F.min("left").alias("left"), F.min("top").alias("top"),
         F.max(F.col("left") + F.col("width")).alias("right"), F.max(F.col("top") + F.col("height")).alias("bottom"),
     )
+    return _with_role(lines)
+
+
+def _with_role(lines: DataFrame) -> DataFrame:
     lines = lines.withColumn("text", squeeze(F.col("text"))).filter("text <> ''")
     return lines.withColumns({"center_x": (F.col("left") + F.col("right")) / 2, "center_y": (F.col("top") + F.col("bottom")) / 2, "role": label_role(F.col("text"))})
 
 
+def lines_of_words(lines: DataFrame, keys: list[str], column: str = "words") -> DataFrame:
+    """As ``group_words`` has it, of lines whose words (pos, text, left, top, width, height, confidence) come as one list:
+    nothing is shuffled. A line is one row."""
+    w = F.col(column)
+    each = lambda f: F.transform(w, f)
+    sure = F.filter(each(lambda x: x["confidence"]), lambda c: c.isNotNull())
+    return _with_role(lines.filter(F.size(w) > 0).select(
+        *keys, F.concat_ws(" ", F.transform(F.array_sort(each(lambda x: F.struct(x["pos"].alias("pos"), x["text"].alias("text")))), lambda x: x["text"])).alias("text"),
+        F.when(F.size(sure) > 0, F.aggregate(sure, F.lit(0.0), lambda s, c: s + c) / F.size(sure)).alias("confidence"),
+        F.array_min(each(lambda x: x["left"])).alias("left"), F.array_min(each(lambda x: x["top"])).alias("top"),
+        F.array_max(each(lambda x: x["left"] + x["width"])).alias("right"), F.array_max(each(lambda x: x["top"] + x["height"])).alias("bottom"),
+    ))
+
+
 #: Columns of an OCR table.
 TSV_COLUMNS = ("page_num", "block_num", "par_num", "line_num", "left", "top", "width", "height", "conf", "text")
 
