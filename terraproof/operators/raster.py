@@ -55,8 +55,8 @@ def words(pixels: DataFrame, *keys: str) -> DataFrame:
 
 
 def draw(lines: DataFrame, size: int, *keys: str) -> DataFrame:
-    """The words of the polylines of each raster; ``keys`` name the raster."""
-    return words(stepped(segments(lines, *keys), size, *keys), *keys)
+    """The words of the polylines of each raster; ``keys`` name the raster. A segment that is drawn again is stepped once."""
+    return words(stepped(segments(lines, *keys).distinct(), size, *keys), *keys)
 
 
 def png(rows: dict[int, dict[int, int]], width: int, height: int) -> bytes:

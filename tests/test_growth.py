@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from terraproof.operators import raster
 from terraproof.plans import queries
 
 
@@ -9,6 +12,13 @@ def plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_repeated_segment_is_stepped_once(spark, monkeypatch):
+    lines = spark.createDataFrame([(1, [{"x": 0, "y": 0}, {"x": 9, "y": 4}])] * 5, "page int, pixels array<struct<x:long,y:long>>").withColumns({"closed": F.lit(False), "thickness": F.lit(1)})
+    stepped, seen = raster.stepped, []
+    monkeypatch.setattr(raster, "stepped", lambda parts, *a: seen.append(parts.count()) or stepped(parts, *a))
+    assert raster.draw(lines, 64, "page").agg(F.sum(F.bit_count("bits"))).first()[0] == 10 and seen == [1]
+
+
 def test_lines_are_made_where_they_are_read(spark, small, tmp_path):
     got = queries.line_text_hash(spark, small)
     assert "collect_list" not in plan(got).split("Union", 1)[1].split("Join LeftSemi", 1)[0].split("Join LeftAnti", 1)[0]
