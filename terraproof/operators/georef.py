@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terraproof.functions import rules as R
 from terraproof.functions.geo import haversine_m, ring_area
+from terraproof.operators.state import shared_folder, written
 
 
 def variant_score(confidence: Column, f1: Column, precision: Column, recall: Column) -> Column:
@@ -38,12 +39,13 @@ def variants(candidates: DataFrame, min_confidence: float = R.CONSENSUS_CONFIDEN
     return lists.select("application", "document", F.explode(taken).alias("v")).select("application", "document", "v.*")
 
 
-#: Less than a degree of latitude has, so that cells are wider than the reach.
-METRES_PER_DEGREE_LOW = 110000.0
+#: Less than a degree of latitude has, so that cells are wider than counted; the reaches a cell is wide, and cells around the
+#: globe below which a band is one cell.
+METRES_PER_DEGREE_LOW, REACHES, LEAST_ACROSS = 110000.0, 4, 16
 
 
-def _cell(lon: Column, across: Column) -> Column:
-    return F.floor((lon + 180) / 360 * across)
+def _cell(lon: Column, across: Column, shift: float = 0.0) -> Column:
+    return F.pmod(F.floor((lon + 180) / 360 * across + shift), across)
 
 
 def consensus(found: DataFrame, within_m: float = R.CONSENSUS_M, min_documents: int = R.CONSENSUS_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
@@ -51,28 +53,41 @@ def consensus(found: DataFrame, within_m: float = R.CONSENSUS_M, min_documents:
 
     Every variant is an anchor; of each document the nearest variant within reach is its member. Most documents win,
     then quality, then the smaller spread; ties go to the first anchor. Anchors are compared within their application
-    and within cells a little wider than the reach, which meet across the 180th meridian.
+    and within cells of four reaches, which meet across the 180th meridian; an anchor is dealt to the cells that its reach
+    touches, two and a quarter on average.
     """
     high = within_m / METRES_PER_DEGREE_LOW
-    # cells of a band around the globe: their width holds at the band's neighbours too
-    far = F.least(F.lit(90.0), (F.greatest(F.abs("band"), F.abs(F.col("band") + 1)) + 1) * high)
-    across = F.greatest(F.lit(1).cast("long"), F.floor(F.cos(F.radians(far)) * (360 / high)))
-    cell = F.pmod(_cell(F.col("lon"), across), across)
+    height = REACHES * high
+    # cells of a band around the globe: their width holds within reach of the band too
+    far = F.least(F.lit(90.0), F.greatest(F.abs("band"), F.abs(F.col("band") + 1)) * height + high)
+    fit = F.floor(F.cos(F.radians(far)) * (360 / height))
+    across = F.when(fit < LEAST_ACROSS, F.lit(1).cast("long")).otherwise(fit)
     score = F.round(variant_score(F.col("confidence"), F.col("f1"), F.lit(None).cast("double"), F.lit(None).cast("double")), 6)
-    v = found.withColumns({"score": score, "band": F.floor(F.col("lat") / high)}).withColumn("cell", cell)
-    a = v.select("application", F.col("document").alias("a_doc"), F.col("ordinal").alias("a"), F.col("lon").alias("a_lon"), F.col("lat").alias("a_lat"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-    a = a.withColumn("cell", F.explode(F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.pmod(_cell(F.col("a_lon"), across) + i, across)))))
+    # read twice below: as anchors and as what lies near them
+    v = written(found.select("application", "document", "rank", "ordinal", "lon", "lat", score.alias("score")), shared_folder(found.sparkSession, "consensus"))
+    v = v.withColumn("band", F.floor(F.col("lat") / height)).withColumn("cell", _cell(F.col("lon"), across))
+    bands = F.array_distinct(F.array(F.floor((F.col("lat") - high) / height), F.floor((F.col("lat") + high) / height)))
+    a = v.select("application", F.col("document").alias("a_doc"), F.col("ordinal").alias("a"), F.col("lon").alias("a_lon"), F.col("lat").alias("a_lat"), F.explode(bands).alias("band"))
+    a = a.withColumn("cell", F.explode(F.array_distinct(F.array(*(_cell(F.col("a_lon"), across, w / REACHES) for w in (-1, 1))))))
     d = haversine_m(F.col("a_lon"), F.col("a_lat"), F.col("lon"), F.col("lat"))
     near = a.join(v, ["application", "band", "cell"]).withColumn("d", F.round(d, 6)).filter(F.col("d") <= within_m)
+    # dealt once by anchor, which serves its documents and its sums
+    near = near.select("application", "a_doc", "a", "document", "d", "score", "ordinal", "rank").repartition("application", "a_doc", "a")
     members = near.groupBy("application", "a_doc", "a", "document").agg(F.min(F.struct("d", (-F.col("score")).alias("s"), "ordinal", "rank")).alias("m"))
-    groups = members.groupBy("application", "a_doc", "a").agg(F.count(F.lit(1)).alias("documents"), F.sum(-F.col("m.s")).alias("quality"), F.max("m.d").alias("spread"))
+    sums = F.count(F.lit(1)).alias("documents"), F.sum(-F.col("m.s")).alias("quality"), F.max("m.d").alias("spread")
     total = F.round(F.col("documents") * 10000 + F.col("quality") * 100 - F.col("spread"), 4)
-    best = groups.groupBy("application").agg(F.min(F.struct((-total).alias("t"), "a_doc", "a", "documents", "spread")).alias("b"))
+
+    def best(*more: str) -> DataFrame:
+        lists = [F.collect_list(F.struct("document", "m.ordinal", "m.d", "m.rank")).alias(c) for c in more]
+        groups = members.groupBy("application", "a_doc", "a").agg(*sums, *lists)
+        return groups.groupBy("application").agg(F.min(F.struct((-total).alias("t"), "a_doc", "a", "documents", "spread", *more)).alias("b"))
+
     sizes = v.groupBy("application").agg(F.count_distinct("document").alias("candidates"), F.count(F.lit(1)).alias("variants"))
     accepted = F.col("b.documents") >= min_documents
-    evidence = sizes.join(best, "application").select("application", "candidates", "variants", F.col("b.documents").alias("documents"), accepted.alias("accepted"), F.round("b.spread", 1).alias("spread_m"))
-    chosen = best.filter(accepted).select("application", F.col("b.a_doc").alias("a_doc"), F.col("b.a").alias("a"))
-    return evidence, members.join(chosen, ["application", "a_doc", "a"], "left_semi").select("application", "document", F.col("m.ordinal").alias("ordinal"), F.round("m.d", 1).alias("distance_m"), F.col("m.rank").alias("rank"))
+    evidence = sizes.join(best(), "application").select("application", "candidates", "variants", F.col("b.documents").alias("documents"), accepted.alias("accepted"), F.round("b.spread", 1).alias("spread_m"))
+    # an anchor brings its members along, so that they are not sought again
+    chosen = best("members").filter(accepted & F.col("b.a_doc").isNotNull() & F.col("b.a").isNotNull()).select("application", F.explode("b.members").alias("m"))
+    return evidence, chosen.select("application", F.col("m.document").alias("document"), F.col("m.ordinal").alias("ordinal"), F.round("m.d", 1).alias("distance_m"), F.col("m.rank").alias("rank"))
 
 
 def alternatives_used(members: DataFrame, first_rank: int = 0) -> DataFrame:

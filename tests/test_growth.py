@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from terraproof.operators import raster
+from terraproof.operators import georef, raster
 from terraproof.plans import queries
 
 
@@ -19,6 +20,24 @@ def test_a_repeated_segment_is_stepped_once(spark, monkeypatch):
     assert raster.draw(lines, 64, "page").agg(F.sum(F.bit_count("bits"))).first()[0] == 10 and seen == [1]
 
 
+@pytest.mark.parametrize("lat", [0.0, 52.98, 89.9995, -89.9])
+def test_anchors_are_dealt_to_few_cells(spark, lat):
+    n = 4000
+    found = spark.range(n).select(F.lit(1).alias("application"), (F.col("id") % 5).alias("document"), F.lit(1).alias("rank"), F.col("id").alias("ordinal"), (F.lit(179.99) + F.rand(1) * 0.02).alias("lon"), (F.lit(lat) + F.rand(2) * 0.0004).alias("lat"), F.lit(0.9).alias("confidence"), F.lit(0.5).alias("f1"))
+    found = found.withColumn("lon", F.when(F.col("lon") > 180, F.col("lon") - 360).otherwise(F.col("lon"))).localCheckpoint()
+    dealt = found.filter("ordinal < 300")
+    got = {(r["document"], r["ordinal"]) for r in georef.consensus(dealt)[1].collect()}
+    from terraproof.functions.geo import haversine_m
+
+    a, b = dealt.alias("a"), dealt.alias("b")
+    pairs = a.join(b, F.round(haversine_m(F.col("a.lon"), F.col("a.lat"), F.col("b.lon"), F.col("b.lat")), 6) <= 140).select("a.document", "a.ordinal", F.col("b.document").alias("d")).distinct().groupBy("document", "ordinal").count()
+    most = pairs.agg(F.max("count")).first()[0]
+    assert georef.consensus(dealt)[0].first()["documents"] == most == len(got)
+    # nine copies of each anchor before
+    text = plan(georef.consensus(found)[0])
+    assert text.count("Generate explode") == 2 and "cast(-1 as bigint)" not in text and "Repartition" in text
+
+
 def test_lines_are_made_where_they_are_read(spark, small, tmp_path):
     got = queries.line_text_hash(spark, small)
     assert "collect_list" not in plan(got).split("Union", 1)[1].split("Join LeftSemi", 1)[0].split("Join LeftAnti", 1)[0]
