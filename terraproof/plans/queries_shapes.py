@@ -38,7 +38,7 @@ def closed_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{_BORDERS} SELECT page, contour, pixels, length FROM b")
 def contour_borders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles of 32 pixels cut every page into four."""
-    found = contours.contours(contours.closed(_strokes(spark, sf_dir), 32), 32)
+    found = contours.contours(_strokes(spark, sf_dir), 32, close=True, lines=False)
     return found.select("page", "contour", "pixels", F.round("length", 6).alias("length"))
 
 

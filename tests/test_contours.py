@@ -126,3 +126,26 @@ def test_vectorize(spark):
         xs, ys = [round((p["lon"] + 2) * 100, 6) for p in r["points"]], [round((53 - p["lat"]) * 100, 6) for p in r["points"]]
         assert min(xs) in (30, 31) and max(xs) in (88, 89) and min(ys) in (25, 26) and max(ys) in (64, 65) and 4 <= len(xs) <= 8
     assert C.contours(as_rows(spark, {"a": {(1, 1)}}).limit(0)).count() == 0
+
+
+def test_measures_of_closed_shapes_need_no_sides(spark, monkeypatch):
+    monkeypatch.setattr(C, "STACK", 1)  # a tile at a time
+    monkeypatch.setattr(C, "BLOCK", 2)  # several rounds of blocks
+    pages = {"a": drawing(3), "dot": {(3, 3)}, "rest": {(x, y) for x in range(90) for y in range(70) if x % 9 and y % 11}}
+    want = {}
+    for page, px in pages.items():
+        for name, line in plain_borders(plain_closed(px)).items():
+            want[page, name] = (len(line), round(sum(math.dist(p, q) for p, q in zip(line, line[1:], strict=False)), 9))
+    for tile in (8, 13, 65, 256):
+        assert "sides" not in C.chains(as_rows(spark, pages), tile, close=True, sides=False).columns
+        got = C.contours(as_rows(spark, pages), tile, close=True, lines=False).collect()
+        assert len(got) == len(want) and {(r["page"], r["contour"]): (r["pixels"], round(r["length"], 9)) for r in got} == want
+
+
+def test_contours_leave_a_task_many_to_a_batch():
+    import pyarrow as pa
+
+    n = 500
+    rows = pa.RecordBatch.from_pydict({"page": ["a"] * n, "border": list(range(0, 4 * n, 4)), "start": list(range(0, 4 * n, 4)), "after": pa.array([None] * n, pa.int64()), "sides": [[k * 4 + d for d in range(4)] for k in range(n)]})
+    got = list(C._assembled(iter([rows]), ["page", "contour", "pixels", "length", "points", "line"]))
+    assert len(got) == 1 and got[0].column("contour").to_pylist() == list(range(0, 4 * n, 4))  # a batch for each contour before
