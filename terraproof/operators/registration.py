@@ -48,18 +48,30 @@ def through(matrix: Column, x: Column, y: Column, crop_x: Column, crop_y: Column
     return matrix["a"] * u + matrix["b"] * v + matrix["c"], matrix["d"] * u + matrix["e"] * v + matrix["f"]
 
 
-def sample_controls(matrix: Column, crop_x: Column, crop_y: Column, width: Column, height: Column, bbox: Box, reference: tuple[int, int]) -> Column:
-    """Control points (x, y, lon, lat) at fixed places of the page, those that fall on the reference raster."""
+def _samples(matrix: Column, crop_x: Column, crop_y: Column, width: Column, height: Column, reference: tuple[int, int]) -> list[tuple[Column, Column, Column, Column, Column]]:
+    """(x, y, reference x, reference y, whether that is on the reference raster) of fixed places of the page."""
     made = []
     for fx, fy in R.CONTROL_SAMPLES:
         x, y = width * fx, height * fy
         rx, ry = through(matrix, x, y, crop_x, crop_y)
+        made.append((x, y, rx, ry, (rx >= 0) & (rx < reference[0]) & (ry >= 0) & (ry < reference[1])))
+    return made
+
+
+def sample_controls(matrix: Column, crop_x: Column, crop_y: Column, width: Column, height: Column, bbox: Box, reference: tuple[int, int]) -> Column:
+    """Control points (x, y, lon, lat) at fixed places of the page, those that fall on the reference raster."""
+    made = []
+    for x, y, rx, ry, on in _samples(matrix, crop_x, crop_y, width, height, reference):
         lon, lat = to_wgs84(rx, ry, bbox, *reference)
-        on = (rx >= 0) & (rx < reference[0]) & (ry >= 0) & (ry < reference[1])
         made.append(F.when(on, F.struct(F.round(x, 3).alias("x"), F.round(y, 3).alias("y"), lon.alias("lon"), lat.alias("lat"))))
     return F.array_compact(F.array(*made))
 
 
+def count_controls(matrix: Column, crop_x: Column, crop_y: Column, width: Column, height: Column, reference: tuple[int, int]) -> Column:
+    """How many points ``sample_controls`` gives, without making them."""
+    return sum((F.coalesce(on, F.lit(False)).cast("int") for *_, on in _samples(matrix, crop_x, crop_y, width, height, reference)), F.lit(0))
+
+
 def apart(rows: Column, kind: str, x: str, y: str, distance: float, most: int | None = None) -> Column:
     """Of an array of structs, in its order, those no nearer than ``distance`` to one taken before; at most ``most``."""
     near = lambda taken, r: F.exists(taken, lambda t: F.sqrt((r[x] - t[x]) * (r[x] - t[x]) + (r[y] - t[y]) * (r[y] - t[y])) < distance)
@@ -117,18 +129,20 @@ def alternatives(candidates: DataFrame, key: str, bbox: Box, reference: tuple[in
 
     Candidates carry ordinal, score, f1, precision, recall, anchor_x, anchor_y, matrix, crop_x, crop_y, width, height and
     offset_m (null without an expected place). Those with fewer than five control points on the reference are passed
-    over. The search bounds the candidates of a page (a few placements for each angle and scale).
+    over. The search bounds the candidates of a page (a few placements for each angle and scale). Points are made for the
+    registrations that are taken; a candidate travels with its matrix alone.
     """
-    points = sample_controls(F.col("matrix"), F.col("crop_x"), F.col("crop_y"), F.col("width"), F.col("height"), bbox, reference)
-    usable = candidates.withColumn("points", points).filter(F.size("points") >= R.MIN_REGISTRATION_POINTS)
+    place = ("matrix", "crop_x", "crop_y", "width", "height")
+    usable = candidates.filter(count_controls(*map(F.col, place), reference) >= R.MIN_REGISTRATION_POINTS)
     # an offset of exactly zero counts as none
     supported = F.coalesce((F.col("offset_m") > 0) & (F.col("offset_m") <= R.SUPPORT_M), F.lit(False)).cast("double")
     unit = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(c, F.lit(0.0))))
-    row = F.struct(*((-F.coalesce(c, F.lit(0.0))).alias("o_" + c) for c in ("score", "f1", "precision", "recall")), "ordinal", "anchor_x", "anchor_y", registration_confidence(unit("f1"), unit("precision"), unit("recall"), supported).alias("confidence"), "points")
-    lists = usable.groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("all"))
+    row = F.struct(*((-F.coalesce(c, F.lit(0.0))).alias("o_" + c) for c in ("score", "f1", "precision", "recall")), "ordinal", "anchor_x", "anchor_y", registration_confidence(unit("f1"), unit("precision"), unit("recall"), supported).alias("confidence"), *place)
+    lists = usable.groupBy(key).agg(F.sort_array(F.collect_list(row)).alias("all"))
     taken = apart(F.col("all"), lists.schema["all"].dataType.simpleString(), "anchor_x", "anchor_y", R.ANCHOR_SEPARATION_PX, most)
     out = lists.select(key, F.posexplode(taken).alias("at", "v"))
-    return out.select(key, (F.col("at") + 1).alias("rank"), "v.ordinal", (-F.col("v.o_score")).alias("score"), "v.confidence", "v.points", center(F.col("v.points")).alias("center"))
+    out = out.withColumn("points", sample_controls(*(F.col(f"v.{c}") for c in place), bbox, reference))
+    return out.select(key, (F.col("at") + 1).alias("rank"), "v.ordinal", (-F.col("v.o_score")).alias("score"), "v.confidence", "points", center(F.col("points")).alias("center"))
 
 
 def contour_anchors(contours: DataFrame, anchors: DataFrame, within: float = R.ANCHOR_DISTANCE_PX) -> DataFrame:

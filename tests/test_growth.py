@@ -46,3 +46,21 @@ def test_lines_are_made_where_they_are_read(spark, small, tmp_path):
     out = {(r["doc_id"], r["line_id"]): (r["left"], r["right"], round(r["confidence"], 6)) for r in queries.line_bounds(spark, str(tmp_path)).collect()}
     assert set(out) == {(1, 0), (1, 2), (2, 0), (2, 1), (None, 0)}
     assert out[1, 0] == (0.0, 47.0, 0.51) and out[2, 0] == (0.0, 87.0, 0.51)
+
+
+def test_control_points_are_made_for_taken_registrations_only(spark, small):
+    plans = plan(queries.registration_alternatives(spark, small))
+    lists = [line for line in plans.splitlines() if "collect_list" in line]
+    assert len(lists) == 1 and "points" not in lists[0] and "named_struct(x" not in plans.split("collect_list", 1)[1]  # points of all candidates travelled before
+
+
+def test_control_points_are_counted_as_they_are_made(spark):
+    from terraproof.operators import registration
+
+    value = lambda n: F.when(F.rand(n) < 0.02, None).when(F.rand(n + 50) < 0.02, float("nan")).otherwise(F.rand(n + 100) * 2 - 0.5)
+    matrix = F.struct(*((value(n) * (400 if c in "cf" else 1)).alias(c) for n, c in enumerate("abcdef")))
+    rows = spark.range(2000).select(F.when(F.col("id") % 50 > 0, matrix).alias("m"), *((value(20 + n) * s).alias(c) for n, (c, s) in enumerate((("cx", 50), ("cy", 50), ("w", 900), ("h", 700))))).localCheckpoint()
+    place = [F.col(c) for c in ("m", "cx", "cy", "w", "h")]
+    made, counted = F.size(registration.sample_controls(*place, queries.BBOX, queries.RASTER)), registration.count_controls(*place, queries.RASTER)
+    got = rows.select(made.alias("made"), counted.alias("counted")).collect()
+    assert all(r["made"] == r["counted"] for r in got) and {r["made"] for r in got} >= {0, 4, 8}
