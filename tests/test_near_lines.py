@@ -26,6 +26,18 @@ def test_shares_equal_all_distances(monkeypatch):
                 assert abs(got[i, j] - want) < 1e-12
 
 
+def test_few_points_of_a_crowd_are_measured(monkeypatch):
+    rng = np.random.default_rng(5)
+    made = lambda n: near_lines.Lines([[rng.normal(0, 12.5, (32, 2)) + rng.uniform(0, 90, 2)] for _ in range(n)])
+    a, b, measured = made(60), made(60), []
+    squares = near_lines.squares
+    monkeypatch.setattr(near_lines, "squares", lambda dx, dy, vx, vy: measured.append(dx.size) or squares(dx, dy, vx, vy))
+    for tolerance in (25.0, 3.0):
+        measured.clear()
+        near_lines.shares(a, b, np.ones((60, 60), bool), tolerance)
+        assert sum(measured) * 10 < len(a.sampled(tolerance)[0]) * len(b.start)  # cells and points, of all points against all segments
+
+
 def test_geometry_travels_by_block(spark, small, monkeypatch):
     planning, reference = queries._sides(spark, small)
     want = {tuple(r) for r in matching.feature_matches(planning, reference).collect()}
