@@ -15,8 +15,10 @@ import numpy as np
 FINE, SIDE, MOST = 16, 0.5, 2048
 #: Cells across at first, about; cells, points, and distances that are worked on at once.
 COARSE, CELLS, POINTS, AT_ONCE = 32, 1 << 22, 1 << 21, 1 << 16
+#: Cells to a tolerance and at most across where shares are bounded; what rounding may add to a sum of them in single precision.
+ROUGH, FEW_CELLS, SLACK = 4, 64, 1e-3
 #: Distances of a line below which it is measured without cells.
-FEW = 1 << 15
+FEW = 1 << 16
 
 
 class Lines:
@@ -221,3 +223,51 @@ def _near(of: Lines, to: Lines, tolerance: float) -> np.ndarray:
                 hit = points[np.sqrt(squares(x[points] - qx[seg], y[points] - qy[seg], vx[seg], vy[seg])) <= tolerance]
                 add(b, hit[once(hit, seen)])
     return np.minimum(1.0, out.T / whole[:, None])
+
+
+class Rough:
+    """Bounds of the shares of all pairs by products of matrices over large cells, and exact shares of some pairs."""
+
+    def __init__(self, of: Lines, to: Lines, tolerance: float):
+        self.of, self.to, self.tolerance = of, to, tolerance
+        self.grid = Grid(to, tolerance, ROUGH, FEW_CELLS)
+        self.cells = self.grid.nx * self.grid.ny + 1
+        points = np.concatenate([[0], np.cumsum(of.counts(tolerance)[0])])
+        self.count = np.diff(points[of.at])
+        self.inside, self.open = np.zeros((to.n, self.cells), bool), np.zeros((to.n, self.cells), bool)
+        keys, segments = [np.zeros(0, int)], [np.zeros(0, int)]
+        for first, _, (owner, run, length), (open_owner, open_cell, segment) in self.grid.around(to, tolerance):
+            self.inside[first + np.repeat(owner, length), ranges(run, length)] = True
+            self.open[first + open_owner, open_cell] = True
+            keys.append((first + open_owner) * self.cells + open_cell)
+            segments.append(segment)
+        self.segment = np.concatenate(segments)
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(np.concatenate(keys), minlength=to.n * self.cells))])
+
+    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """(share that may lie beyond the tolerance, share that may lie within it), within SLACK; nothing beyond is exactly 0."""
+        held = np.zeros((self.of.n, self.cells), np.float32)
+        for part in _parts(np.maximum(1, self.count), POINTS):
+            x, y, weight, at, whole = self.of.some(np.arange(self.of.n)[part]).sampled(self.tolerance)
+            n = len(whole)
+            place = np.repeat(np.arange(n), np.diff(at)) * self.cells + self.grid.cells(x, y)
+            sums = np.bincount(place, weight, n * self.cells).reshape(n, self.cells)
+            held[part] = sums / np.where(whole > 0, whole, 1.0)[:, None]
+        return held @ (~self.inside).T.astype(np.float32), held @ (self.inside | self.open).T.astype(np.float32)
+
+    def exact(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Shares of pairs (of, to)."""
+        out = np.zeros(len(a))
+        qx, qy, vx, vy = (np.ascontiguousarray(c) for c in (*self.to.start.T, *self.to.step.T))
+        for part in _parts(np.maximum(1, self.count[a]), POINTS // 8):
+            x, y, weight, at, whole = self.of.some(a[part]).sampled(self.tolerance)
+            pair = np.repeat(np.arange(len(whole)), np.diff(at))
+            key = b[part][pair] * self.cells + self.grid.cells(x, y)
+            near = self.inside.ravel()[key]
+            asked = np.flatnonzero(self.open.ravel()[key])
+            n = self.begin[key[asked] + 1] - self.begin[key[asked]]
+            for some in _parts(n, 4 * AT_ONCE):
+                points, seg = np.repeat(asked[some], n[some]), self.segment[ranges(self.begin[key[asked[some]]], n[some])]
+                near[points[np.sqrt(squares(x[points] - qx[seg], y[points] - qy[seg], vx[seg], vy[seg])) <= self.tolerance]] = True
+            out[part] = np.minimum(1.0, np.bincount(pair, weight * near, len(whole)) / np.where(whole > 0, whole, 1.0))
+        return out

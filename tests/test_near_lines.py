@@ -58,3 +58,28 @@ def test_best_matches_alone_decide(spark, small, monkeypatch):
 def test_rounded_ties_go_by_rank():
     score = np.array([0.5000004, 0.5, 0.4999996, 0.3, 0.4999994])
     assert matching._best(score, np.array([4, 3, 0, 1, 2]), 2).tolist() == [2, 1]
+
+
+def test_contenders_hold_the_best():
+    rng = np.random.default_rng(7)
+    made = lambda n: near_lines.Lines([[rng.normal(0, rng.choice([2.0, 12.5, 60.0]), (9, 2)) + rng.uniform(0, 80, 2)] for _ in range(n)])
+    p, r, line, rank = made(40), made(50), rng.random((40, 50)) < 0.9, rng.permutation(50)
+    named = line & (rng.random((40, 50)) < 0.02)
+    one, two, chosen = matching._line_contenders(p, r, line, named, rank, 2)
+    ones, twos = near_lines.shares(p, r, line, 25.0), near_lines.shares(r, p, line.T, 25.0).T
+    assert np.allclose(one[chosen], ones[chosen], atol=1e-12) and np.allclose(two[chosen], twos[chosen], atol=1e-12)
+    assert chosen.sum() * 4 < line.sum()
+    score = np.round(np.maximum(np.minimum(ones, twos), np.where(named, 0.45, 0)), 6)
+    for a in range(40):
+        match = np.flatnonzero(line[a] & (named[a] | (np.maximum(ones[a], twos[a]) >= 0.18)))
+        assert chosen[a, match[np.lexsort((rank[match], -score[a, match]))[:2]]].all()
+
+
+def test_later_blocks_meet_only_what_lacks_whole_matches(spark, monkeypatch):
+    monkeypatch.setattr(matching, "BLOCK_POINTS", 256)
+    far = lambda k, dx: [(dx, 0.0), (dx + 10.0 + k % 3, 5.0)]
+    made = lambda rows: spark.createDataFrame([(i, "path", None, "LineString", [{"x": x, "y": y} for x, y in line]) for i, line in rows], "id int, kind string, name string, form string, points array<struct<x:double,y:double>>")
+    planning = made([(k, far(k, 0.0)) for k in range(5)] + [(9, far(0, 160.0))])
+    reference = made([(k, far(k, 0.0)) for k in range(100, 160)] + [(200, far(0, 165.0))])
+    got = sorted((r["planning_id"], r["reference_id"], r["score"]) for r in matching.best_matches(planning, reference).collect())
+    assert got[:10] == [(k, i, 1.0) for k in range(5) for i in (100, 101)] and got[10:] == [(9, 200, 1.0)]
